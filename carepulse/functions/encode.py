@@ -69,7 +69,7 @@ def apply_value_maps(df: DataFrame, maps: Mapping[str, tuple[Mapping[str, int],
 # --- P5 / P6 coercion ------------------------------------------------------
 def coerce_double(col: Column) -> Column:
     """Text -> DOUBLE, unparsable -> NULL (`250.83` stays 250.83, `V57` -> NULL)."""
-    return F.try_cast(col, "double")
+    return col.try_cast("double")
 
 
 def coerce_int(col: Column) -> Column:
@@ -78,7 +78,7 @@ def coerce_int(col: Column) -> Column:
     A plain cast raises under ANSI and `try_cast('250.83' as int)` is NULL, so
     parse as DOUBLE first and truncate; out-of-range values become NULL.
     """
-    return F.try_cast(F.try_cast(col, "double"), "int")
+    return col.try_cast("double").try_cast("int")
 
 
 # --- P8 / P9 / P10 feature alignment ---------------------------------------

@@ -1 +1,246 @@
-"""(filled in below)"""
+"""Queries for cleaning / encoding / record helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from carepulse.functions.encode import (
+    align_features, apply_value_maps, cast_all_string, coerce_double, coerce_int,
+    encode_features, fill_zero, intersect_features, replace_null_markers,
+)
+from carepulse.functions.records import default_fields, format_pct, predict_label
+from carepulse.operators.clean import drop_all_null, drop_target, distinct_rows
+from carepulse.plans.catalog import register
+from carepulse.plans.standins import (
+    ENCOUNTERS_SQL, PREDICTIONS_SQL, encounters, predictions, table,
+)
+from carepulse.schemas import (
+    ENCOUNTER_COLUMNS, FEATURE_COLUMNS, RECORD_DEFAULTS, VALUE_MAPS, quote,
+)
+
+_ENC = f"WITH e AS ({ENCOUNTERS_SQL})\n"
+
+
+def _dq(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sql_map(expr: str, mapping: dict, default: int) -> str:
+    whens = " ".join(f"WHEN {_sql_str(k)} THEN {int(v)}" for k, v in mapping.items())
+    return f"COALESCE(CASE {expr} {whens} END, {int(default)})"
+
+
+def _sql_null(col: str) -> str:
+    return f"NULLIF({_dq(col)}, '?')"
+
+
+# --- P3 -------------------------------------------------------------------
+@register("null_marker", _ENC + """
+SELECT encounter_id, NULLIF(race, '?') AS race, NULLIF(age, '?') AS age,
+       NULLIF(num_lab_procedures, '?') AS num_lab_procedures, NULLIF(diag_2, '?') AS diag_2
+FROM e
+""")
+def q_null_marker(spark, sf):
+    return (replace_null_markers(encounters(spark, sf))
+            .select("encounter_id", "race", "age", "num_lab_procedures", "diag_2"))
+
+
+# --- P4 -------------------------------------------------------------------
+_MAPPED = ["gender", "race", "age", "change", "diabetesMed", "insulin"]
+
+
+@register("value_map", _ENC + "SELECT encounter_id, " + ", ".join(
+    f"{_sql_map(_dq(c), *VALUE_MAPS[c])} AS {_dq(c)}" for c in _MAPPED) + " FROM e")
+def q_value_map(spark, sf):
+    return apply_value_maps(encounters(spark, sf)).select("encounter_id", *_MAPPED)
+
+
+# --- P5 / P6 ----------------------------------------------------------------
+_PART_TEXT = [
+    ("brand_raw", "p_brand"),
+    ("brand_num", "replace(p_brand, 'Brand#', '')"),
+    ("size_txt", "CAST(p_size AS VARCHAR)"),
+    ("size_dec", "CAST(p_size AS VARCHAR) || '.83'"),
+    ("price_txt", "CAST(p_retailprice AS VARCHAR)"),
+]
+
+
+def _part_text(spark, sf):
+    p = table(spark, sf, "part")
+    return p.select(
+        "p_partkey",
+        F.col("p_brand").alias("brand_raw"),
+        F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).alias("brand_num"),
+        F.col("p_size").cast("string").alias("size_txt"),
+        F.concat(F.col("p_size").cast("string"), F.lit(".83")).alias("size_dec"),
+        F.col("p_retailprice").cast("string").alias("price_txt"),
+    )
+
+
+@register("coerce_int", "SELECT p_partkey, " + ", ".join(
+    f"CAST(trunc(TRY_CAST({e} AS DOUBLE)) AS INTEGER) AS {n}" for n, e in _PART_TEXT) + " FROM part")
+def q_coerce_int(spark, sf):
+    t = _part_text(spark, sf)
+    return t.select("p_partkey", *[coerce_int(F.col(n)).alias(n) for n, _ in _PART_TEXT])
+
+
+@register("coerce_double", "SELECT p_partkey, " + ", ".join(
+    f"TRY_CAST({e} AS DOUBLE) AS {n}" for n, e in _PART_TEXT) + " FROM part")
+def q_coerce_double(spark, sf):
+    t = _part_text(spark, sf)
+    return t.select("p_partkey", *[coerce_double(F.col(n)).alias(n) for n, _ in _PART_TEXT])
+
+
+# --- P7 -------------------------------------------------------------------
+_FILLED = ["time_in_hospital", "num_lab_procedures", "diag_1", "diag_2"]
+
+
+@register("fill_zero", _ENC + "SELECT encounter_id, " + ", ".join(
+    f"COALESCE(TRY_CAST({_sql_null(c)} AS DOUBLE), 0.0) AS {c}" for c in _FILLED) + " FROM e")
+def q_fill_zero(spark, sf):
+    e = replace_null_markers(encounters(spark, sf))
+    typed = e.select("encounter_id", *[coerce_double(F.col(c)).alias(c) for c in _FILLED])
+    return fill_zero(typed, _FILLED)
+
+
+# --- the full encoder (P3-P9 together), 49 features ------------------------
+def _encode_sql(insulin: bool, numeric: str) -> str:
+    present = set(ENCOUNTER_COLUMNS[:0]) | {
+        "encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
+        "num_lab_procedures", "diag_1", "diag_2", "insulin", "change", "diabetesMed", "readmitted"}
+    typ = "DOUBLE" if numeric == "double" else "INTEGER"
+    cols = []
+    for c in FEATURE_COLUMNS:
+        if c not in present:
+            e = "0"
+        elif c in VALUE_MAPS and (insulin or c != "insulin"):
+            e = _sql_map(_sql_null(c), *VALUE_MAPS[c])
+        elif numeric == "double":
+            e = f"COALESCE(TRY_CAST({_sql_null(c)} AS DOUBLE), 0)"
+        else:
+            e = f"COALESCE(CAST(trunc(TRY_CAST({_sql_null(c)} AS DOUBLE)) AS INTEGER), 0)"
+        cols.append(f"CAST({e} AS {typ}) AS {_dq(c)}")
+    return _ENC + "SELECT " + ", ".join(cols) + " FROM e"
+
+
+@register("encode_features", _encode_sql(True, "double"))
+def q_encode_features(spark, sf):
+    return encode_features(encounters(spark, sf))
+
+
+@register("encode_features_int", _encode_sql(False, "int"))
+def q_encode_features_int(spark, sf):
+    """Landing-file batch variant: integer coercion and no insulin map."""
+    return encode_features(encounters(spark, sf), insulin=False, numeric="int")
+
+
+# --- P8 / P9 / P10 ----------------------------------------------------------
+_ALIGN = ["l_quantity", "l_extendedprice", "missing_a", "l_discount", "l_tax", "missing_b"]
+
+
+@register("align_features", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"{c}" if not c.startswith("missing") else f"0.0 AS {c}" for c in _ALIGN) + " FROM lineitem")
+def q_align_features(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return align_features(li, _ALIGN, keep=["l_orderkey", "l_linenumber"])
+
+
+_INTERSECT = ["l_tax", "absent_x", "l_quantity", "absent_y", "l_discount"]
+
+
+@register("intersect_features",
+          "SELECT l_orderkey, l_linenumber, l_tax, l_quantity, l_discount FROM lineitem")
+def q_intersect_features(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", *intersect_features(li, _INTERSECT))
+
+
+# --- P11 / P12 / P17 / W2 ---------------------------------------------------
+_LI_NO_TS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@register("drop_target", "SELECT " + ", ".join(c for c in _LI_NO_TS if c != "l_returnflag")
+          + " FROM lineitem")
+def q_drop_target(spark, sf):
+    return drop_target(table(spark, sf, "lineitem").select(*_LI_NO_TS), "l_returnflag")
+
+
+@register("cast_all_string", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus, o_orderpriority FROM orders
+""")
+def q_cast_all_string(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return cast_all_string(o)
+
+
+@register("drop_all_null", """
+SELECT * FROM (
+  SELECT NULLIF(o_orderpriority, '4-NOT SPECIFIED') AS priority,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+         CASE WHEN o_totalprice < 100000 THEN NULL ELSE o_totalprice END AS price
+  FROM orders)
+WHERE priority IS NOT NULL OR status IS NOT NULL OR price IS NOT NULL
+""")
+def q_drop_all_null(spark, sf):
+    o = table(spark, sf, "orders")
+    holed = o.select(
+        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority"),
+        F.when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_totalprice") < 100000, None).otherwise(F.col("o_totalprice")).alias("price"),
+    )
+    return drop_all_null(holed)
+
+
+@register("distinct_rows", "SELECT DISTINCT " + ", ".join(
+    f"{_sql_map(_dq(c), *VALUE_MAPS[c])} AS {_dq(c)}" for c in ["gender", "race", "insulin"]) + " FROM (" + ENCOUNTERS_SQL + ")")
+def q_distinct_rows(spark, sf):
+    enc = apply_value_maps(encounters(spark, sf)).select("gender", "race", "insulin")
+    return distinct_rows(enc)
+
+
+# --- P22 ----------------------------------------------------------------------
+def _default_sql() -> str:
+    present = {"encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
+               "num_lab_procedures", "diag_1", "diag_2", "insulin", "change", "diabetesMed", "readmitted"}
+    cols = []
+    for c in ENCOUNTER_COLUMNS:
+        base = _dq(c) if c in present else "CAST(NULL AS VARCHAR)"
+        if c in RECORD_DEFAULTS:
+            base = f"COALESCE({base}, {_sql_str(RECORD_DEFAULTS[c])})"
+        cols.append(f"{base} AS {_dq(c)}")
+    return _ENC + "SELECT " + ", ".join(cols) + " FROM e"
+
+
+@register("default_fields", _default_sql())
+def q_default_fields(spark, sf):
+    return default_fields(encounters(spark, sf))
+
+
+# --- P15 / P16 ----------------------------------------------------------------
+@register("predict_label", f"""
+SELECT encounter_id, readmission_prediction,
+       CASE WHEN readmission_prediction = 1 THEN 'Readmitted' ELSE 'Not Readmitted' END AS label
+FROM ({PREDICTIONS_SQL})
+""")
+def q_predict_label(spark, sf):
+    p = predictions(spark, sf)
+    return p.select("encounter_id", "readmission_prediction",
+                    predict_label(F.col("readmission_prediction")).alias("label"))
+
+
+@register("format_pct", f"""
+SELECT encounter_id,
+       printf('%.2f%%', round(readmission_probability_pct, 2)) AS pct_2,
+       printf('%.1f%%', round(readmission_probability_pct, 1)) AS pct_1
+FROM ({PREDICTIONS_SQL})
+""")
+def q_format_pct(spark, sf):
+    p = predictions(spark, sf)
+    c = F.col("readmission_probability_pct")
+    return p.select("encounter_id", format_pct(c, 2).alias("pct_2"), format_pct(c, 1).alias("pct_1"))
