@@ -34,30 +34,36 @@ def _partitions(df: DataFrame, requested: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
-def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str,
-                by: Sequence[str] = (), out: str = "_cum",
+def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | Sequence[str],
+                by: Sequence[str] = (), out: str | Sequence[str] = "_cum",
                 num_partitions: int | None = None) -> DataFrame:
-    """Add `out` = inclusive running sum of `weight_col` in (`by`, `order_cols`) order.
+    """Add `out` = inclusive running sum(s) of `weight_col`(s) in (`by`, `order_cols`) order.
 
-    The running sum restarts for each `by` group. Rows should be unique on
+    The running sums restart for each `by` group. Rows should be unique on
     (`by`, `order_cols`) (aggregate first); ties would be summed in an
-    arbitrary order.
+    arbitrary order. Several weight columns share one range pass.
     """
     by, order_cols = list(by), list(order_cols)
+    weights = [weight_col] if isinstance(weight_col, str) else list(weight_col)
+    outs = [out] if isinstance(out, str) else list(out)
+    if len(weights) != len(outs):
+        raise ValueError("one output name per weight column")
     scratch_root(df.sparkSession)  # make sure a reliable checkpoint dir exists
     n = _partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *[F.col(c) for c in by + order_cols])
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
-    totals = ranged.groupBy("_pid", *by).agg(F.sum(weight_col).alias("_t"))
+    totals = ranged.groupBy("_pid", *by).agg(*[F.sum(w).alias(f"_t{i}") for i, w in enumerate(weights)])
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *by, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
+                                           for i in range(len(weights))])
     if offsets.count() <= BROADCAST_ROW_LIMIT:
         offsets = F.broadcast(offsets)
     local = Window.partitionBy("_pid", *by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    return (ranged.join(offsets, ["_pid", *by])
-                  .withColumn(out, F.col("_off") + F.sum(weight_col).over(local))
-                  .drop("_pid", "_off"))
+    res = ranged.join(offsets, ["_pid", *by])
+    for i, (w, o) in enumerate(zip(weights, outs)):
+        res = res.withColumn(o, F.col(f"_o{i}") + F.sum(w).over(local))
+    return res.drop("_pid", *[f"_o{i}" for i in range(len(weights))])
 
 
 def dense_index(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "_idx",
