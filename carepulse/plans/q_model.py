@@ -1 +1,117 @@
-"""(filled in below)"""
+"""Forest queries (M3-M9, P13, P14): train on the hash split of the encounter stand-in, save, load, score.
+
+Tree fitting has no SQL oracle; these keys get the driver's row check plus
+pytest invariants (probabilities sum to 1, prediction = argmax, same seed ->
+same model).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from carepulse.functions.encode import align_features, encode_features
+from carepulse.functions.records import predict_label
+from carepulse.operators.clean import train_test_split
+from carepulse.operators.evaluate import classification_report
+from carepulse.operators.forest import (
+    feature_importance, fit_forest, load_model, model_features, save_model, score,
+)
+from carepulse.operators.results import top_k
+from carepulse.plans.catalog import register
+from carepulse.plans.standins import encounters, table
+from carepulse.schemas import FEATURE_COLUMNS, PROFILE_COLUMNS, PROBABILITY_COLUMN
+from carepulse.session import new_scratch
+
+FEATURES = model_features(include_ids=False)
+QUERY_TREES, QUERY_DEPTH = 20, 5
+
+_MODELS: dict = {}
+
+
+def encoded_encounters(spark, sf):
+    """Training / serving frame: record key, target text, split and the 49 encoded features."""
+    raw = encounters(spark, sf).withColumn("record_key", F.col("encounter_id").cast("long"))
+    enc = encode_features(raw, keep=["record_key", "readmitted"])
+    return train_test_split(enc, "record_key")
+
+
+def trained_model(spark, sf):
+    """Fit once per (application, data dir), save to the shared folder, serve the loaded copy."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        data = encoded_encounters(spark, sf)
+        model = fit_forest(data.where(F.col("split") == "train"), FEATURES, "readmitted",
+                           num_trees=QUERY_TREES, max_depth=QUERY_DEPTH, seed=42)
+        path = new_scratch(spark, "forest")
+        save_model(model, path)
+        _MODELS[key] = load_model(path)
+    return _MODELS[key]
+
+
+@register("rf_train_score")
+def q_rf_train_score(spark, sf):
+    model = trained_model(spark, sf)
+    s = score(model, encoded_encounters(spark, sf), FEATURES, keep=["record_key", "split"])
+    return s.select(F.col("record_key").alias("encounter_id"), "split", "readmission_prediction",
+                    F.round(PROBABILITY_COLUMN, 6).alias(PROBABILITY_COLUMN))
+
+
+@register("score_proba")
+def q_score_proba(spark, sf):
+    model = trained_model(spark, sf)
+    s = score(model, encoded_encounters(spark, sf), FEATURES, keep=["record_key"])
+    return s.select(F.col("record_key").alias("encounter_id"), "readmission_prediction",
+                    F.round(PROBABILITY_COLUMN, 6).alias(PROBABILITY_COLUMN),
+                    F.round("p_any", 6).alias("p_any"),
+                    predict_label(F.col("readmission_prediction")).alias("label"))
+
+
+def numeric_profiles(spark, sf):
+    """F7 profile rows: numeric age, coded gender, ids as numbers (no text maps needed)."""
+    o = table(spark, sf, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        k.alias("record_key"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("gender"),
+        (c % 100).cast("int").alias("age"),
+        ((k % 8) + 1).cast("int").alias("admission_type_id"),
+        ((k % 29) + 1).cast("int").alias("discharge_disposition_id"),
+        ((k % 14) + 1).cast("int").alias("time_in_hospital"),
+        (k % 150).cast("int").alias("num_lab_procedures"),
+        (k % 20).cast("int").alias("num_procedures"),
+        (c % 100).cast("int").alias("num_medications"),
+        (c % 20).cast("int").alias("number_outpatient"),
+        (k % 10).cast("int").alias("number_emergency"),
+        (c % 10).cast("int").alias("number_inpatient"),
+    )
+
+
+@register("score_numeric_profile")
+def q_score_numeric_profile(spark, sf):
+    """M7: score profile rows with the same model: align to the feature list, no text maps."""
+    model = trained_model(spark, sf)
+    prof = numeric_profiles(spark, sf)
+    aligned = align_features(prof.select("record_key", *[F.col(x).cast("double").alias(x) for x in PROFILE_COLUMNS]),
+                             FEATURE_COLUMNS, keep=["record_key"])
+    s = score(model, aligned, FEATURES, keep=["record_key"])
+    return s.select(F.col("record_key").alias("encounter_id"), "readmission_prediction",
+                    F.round(PROBABILITY_COLUMN, 6).alias(PROBABILITY_COLUMN))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """M6 + W5: the 15 most important features."""
+    imp = feature_importance(spark, trained_model(spark, sf), FEATURES)
+    return top_k(imp, 15, "importance", ["feature"]).select("feature", F.round("importance", 6).alias("importance"))
+
+
+@register("holdout_report")
+def q_holdout_report(spark, sf):
+    """M8: classification report of the forest on the hold-out split (labels as text)."""
+    model = trained_model(spark, sf)
+    labels = model.stages[0].labelsArray[0]
+    s = score(model, encoded_encounters(spark, sf).where(F.col("split") == "test"), FEATURES,
+              keep=["readmitted"])
+    name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("readmission_prediction") + 1)
+    rep = classification_report(s.withColumn("predicted", name), "readmitted", "predicted")
+    return rep.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
