@@ -1 +1,229 @@
-"""(filled in below)"""
+"""Streaming queries: events become JSON messages in a landing folder, then stream through the live path.
+
+Each call uses brand-new landing, sink and checkpoint folders under the
+shared scratch root, runs to ``availableNow`` and returns the sink read back
+as a batch DataFrame. The message text is built by plain concatenation, so
+DuckDB can rebuild byte-identical messages for the oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carepulse.plans.catalog import register
+from carepulse.plans.q_encode import _sql_map
+from carepulse.plans.standins import table
+from carepulse.schemas import AGE_MAP, GENDER_MAP, PROBABILITY_COLUMN, RACE_MAP, VITALS_SCHEMA
+from carepulse.session import new_scratch
+from carepulse.streaming.jobs import (
+    CORRUPT, keyed_upsert_sink, land_raw, message_stream, parse_messages, parse_typed,
+    progress_frame, read_upserted, run_available, score_stream, write_batch_partition,
+)
+
+LANDING_FILES = 4  # message files per landing folder (so several micro-batches happen)
+FILES_PER_TRIGGER = 1
+
+_MSG_FIELDS = ["encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
+               "num_lab_procedures", "insulin", "readmitted"]
+_MSG_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in _MSG_FIELDS])
+
+
+def encounter_messages(spark, sf):
+    """One JSON message per event; `error` events arrive truncated (malformed)."""
+    e = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    et = F.col("event_type")
+    race = (F.when(et == "click", "Caucasian").when(et == "view", "AfricanAmerican")
+             .when(et == "purchase", "Hispanic").otherwise("?"))
+    gender = F.when(F.col("user_id") % 2 == 0, "Male").otherwise("Female")
+    decade = (k % 10) * 10
+    age = F.concat(F.lit("["), decade.cast("string"), F.lit("-"), (decade + 10).cast("string"), F.lit(")"))
+    body = F.concat(
+        F.lit('{"encounter_id":"'), F.col("event_id").cast("string"),
+        F.lit('","patient_nbr":"'), F.col("user_id").cast("string"),
+        F.lit('","race":"'), race, F.lit('","gender":"'), gender, F.lit('","age":"'), age,
+        F.lit('","time_in_hospital":"'), ((k % 14) + 1).cast("string"),
+        F.lit('","num_lab_procedures":"'), F.col("value").cast("string"),
+        F.lit('","insulin":"'), F.when(k % 4 == 0, "Up").otherwise("No"),
+        F.lit('","readmitted":"?"'))
+    return e.select("event_id", F.when(et == "error", body).otherwise(F.concat(body, F.lit("}"))).alias("value"))
+
+
+_MSG_CTE = """
+m AS (
+  SELECT event_id, user_id, event_type, value AS v, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events),
+msg AS (
+  SELECT event_id, user_id, event_type, k, v,
+         CASE event_type WHEN 'click' THEN 'Caucasian' WHEN 'view' THEN 'AfricanAmerican'
+              WHEN 'purchase' THEN 'Hispanic' ELSE '?' END AS race,
+         CASE WHEN user_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+         '[' || CAST((k % 10) * 10 AS VARCHAR) || '-' || CAST((k % 10) * 10 + 10 AS VARCHAR) || ')' AS age,
+         CAST(k % 14 + 1 AS VARCHAR) AS stay,
+         CAST(v AS VARCHAR) AS labs,
+         CASE WHEN k % 4 = 0 THEN 'Up' ELSE 'No' END AS insulin
+  FROM m),
+txt AS (
+  SELECT *, '{"encounter_id":"' || CAST(event_id AS VARCHAR) || '","patient_nbr":"' || CAST(user_id AS VARCHAR)
+            || '","race":"' || race || '","gender":"' || gender || '","age":"' || age
+            || '","time_in_hospital":"' || stay || '","num_lab_procedures":"' || labs
+            || '","insulin":"' || insulin || '","readmitted":"?"' AS body
+  FROM msg)
+"""
+
+
+def land_messages(spark, sf, messages=None) -> str:
+    """Producer (S12): write the messages as JSON-lines files into a fresh landing folder."""
+    path = new_scratch(spark, "landing")
+    msgs = messages if messages is not None else encounter_messages(spark, sf)
+    msgs.select("value").repartition(LANDING_FILES, "value").write.text(path)
+    return path
+
+
+def _stream_to_parquet(spark, frame) -> str:
+    out, ckpt = new_scratch(spark, "sink"), new_scratch(spark, "ckpt")
+    writer = frame.writeStream.outputMode("append").foreachBatch(
+        lambda b, i: write_batch_partition(b, out, i, "parquet"))
+    run_available(writer, ckpt)
+    return out
+
+
+@register("stream_json_parse", "WITH " + _MSG_CTE + """
+SELECT CASE WHEN event_type = 'error' THEN NULL ELSE CAST(event_id AS VARCHAR) END AS encounter_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS patient_nbr,
+       CASE WHEN event_type = 'error' THEN NULL ELSE race END AS race,
+       CASE WHEN event_type = 'error' THEN NULL ELSE gender END AS gender,
+       CASE WHEN event_type = 'error' THEN NULL ELSE age END AS age,
+       CASE WHEN event_type = 'error' THEN NULL ELSE stay END AS time_in_hospital,
+       CASE WHEN event_type = 'error' THEN NULL ELSE labs END AS num_lab_procedures,
+       CASE WHEN event_type = 'error' THEN NULL ELSE insulin END AS insulin,
+       CASE WHEN event_type = 'error' THEN NULL ELSE '?' END AS readmitted,
+       event_type = 'error' AS is_corrupt
+FROM txt
+""")
+def q_stream_json_parse(spark, sf):
+    landing = land_messages(spark, sf)
+    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), _MSG_SCHEMA)
+    parsed = parsed.withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+    return spark.read.parquet(_stream_to_parquet(spark, parsed)).drop("batch_id")
+
+
+def vitals_messages(spark, sf):
+    """D2 messages with the age as a quoted number (text for `error` events)."""
+    e = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k")
+    age = F.when(F.col("event_type") == "error", F.lit("unknown")).otherwise(k)
+    value = F.concat(
+        F.lit('{"patient_id":"'), F.col("user_id").cast("string"), F.lit('","age":"'), age,
+        F.lit('","gender":"'), F.when(F.col("user_id") % 2 == 0, "Male").otherwise("Female"),
+        F.lit('","blood_pressure":'), F.col("value").cast("string"), F.lit(',"readmitted":"?"}'))
+    return e.select("event_id", value.alias("value"))
+
+
+@register("stream_json_typed", """
+SELECT CAST(user_id AS VARCHAR) AS patient_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS age,
+       CASE WHEN user_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+       value AS blood_pressure, '?' AS readmitted
+FROM events
+""")
+def q_stream_json_typed(spark, sf):
+    landing = land_messages(spark, sf, vitals_messages(spark, sf))
+    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), VITALS_SCHEMA)
+    return spark.read.parquet(_stream_to_parquet(spark, typed.drop(CORRUPT))).drop("batch_id")
+
+
+@register("stream_land_raw", "WITH " + _MSG_CTE + """
+SELECT CASE WHEN event_type = 'error' THEN body ELSE body || '}' END AS value FROM txt
+""")
+def q_stream_land_raw(spark, sf):
+    landing = land_messages(spark, sf)
+    out, ckpt = new_scratch(spark, "raw"), new_scratch(spark, "ckpt")
+    land_raw(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), out, ckpt)
+    # A restart on the same checkpoint re-emits nothing
+    land_raw(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), out, ckpt)
+    return spark.read.text(out)
+
+
+def rule_scorer(enc):
+    """Stand-in for the forest in SQL-checkable form: a linear risk score and thresholds."""
+    s = 0.5 * F.col("time_in_hospital") + 0.1 * F.col("num_lab_procedures") + F.col("age") / 10.0
+    return enc.withColumn("readmission_prediction", F.when(s < 8, 0).when(s < 14, 1).otherwise(2)) \
+              .withColumn(PROBABILITY_COLUMN, F.round(F.least(s * 4.0, F.lit(100.0)), 6))
+
+
+def _scored_sql() -> str:
+    age = _sql_map("age", AGE_MAP, 0)
+    return "WITH " + _MSG_CTE + f""",
+enc AS (
+  SELECT event_id, user_id, CAST(k % 14 + 1 AS DOUBLE) AS t, v AS labs, CAST({age} AS DOUBLE) AS a,
+         {_sql_map("gender", GENDER_MAP, -1)} AS g, {_sql_map("NULLIF(race, '?')", RACE_MAP, 0)} AS r
+  FROM msg WHERE event_type <> 'error'),
+sc AS (SELECT *, 0.5 * t + 0.1 * labs + a / 10.0 AS s FROM enc)
+SELECT event_id AS encounter_id, user_id AS patient_nbr, CAST(a AS INTEGER) AS age,
+       CAST(g AS INTEGER) AS gender, CAST(r AS INTEGER) AS race, CAST(t AS INTEGER) AS time_in_hospital,
+       CAST(CASE WHEN s < 8 THEN 0 WHEN s < 14 THEN 1 ELSE 2 END AS INTEGER) AS readmission_prediction,
+       round(least(s * 4.0, 100.0), 6) AS {PROBABILITY_COLUMN}
+FROM sc
+"""
+
+
+_RESULT_SCHEMA = T.StructType([
+    T.StructField("encounter_id", T.LongType()), T.StructField("patient_nbr", T.LongType()),
+    T.StructField("age", T.IntegerType()), T.StructField("gender", T.IntegerType()),
+    T.StructField("race", T.IntegerType()), T.StructField("time_in_hospital", T.IntegerType()),
+    T.StructField("readmission_prediction", T.IntegerType()),
+    T.StructField(PROBABILITY_COLUMN, T.DoubleType()), T.StructField("batch_id", T.LongType()),
+])
+
+
+def run_scoring(spark, sf, scorer=rule_scorer, replay=False):
+    landing = land_messages(spark, sf)
+    res, quar, ckpt = new_scratch(spark, "results"), new_scratch(spark, "quarantine"), new_scratch(spark, "ckpt")
+    q = score_stream(spark, message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER),
+                     scorer, res, quar, ckpt)
+    return res, quar, q
+
+
+@register("stream_score_append", _scored_sql())
+def q_stream_score_append(spark, sf):
+    res, _, _ = run_scoring(spark, sf)
+    return (spark.read.schema(_RESULT_SCHEMA).option("header", True).csv(res).drop("batch_id"))
+
+
+@register("stream_quarantine", "WITH " + _MSG_CTE + "SELECT body AS raw FROM txt WHERE event_type = 'error'")
+def q_stream_quarantine(spark, sf):
+    _, quar, _ = run_scoring(spark, sf)
+    return spark.read.schema("raw string, batch_id long").json(quar).drop("batch_id")
+
+
+@register("keyed_upsert_land", """
+SELECT patient_nbr, encounter_id, gender, age FROM (
+  SELECT CAST(user_id AS VARCHAR) AS patient_nbr, event_id AS encounter_id,
+         CASE WHEN user_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+         '[' || CAST((CAST(json_extract_string(props, '$.k') AS INTEGER) % 10) * 10 AS VARCHAR) || '-'
+             || CAST((CAST(json_extract_string(props, '$.k') AS INTEGER) % 10) * 10 + 10 AS VARCHAR) || ')' AS age,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+  FROM events WHERE event_type <> 'error')
+WHERE rn = 1
+""")
+def q_keyed_upsert_land(spark, sf):
+    landing = land_messages(spark, sf)
+    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), _MSG_SCHEMA)
+    good = parsed.where(F.col(CORRUPT).isNull()).select(
+        "patient_nbr", F.col("encounter_id").try_cast("long").alias("encounter_id"), "gender", "age")
+    out, ckpt = new_scratch(spark, "upsert"), new_scratch(spark, "ckpt")
+    writer = good.writeStream.outputMode("append").foreachBatch(keyed_upsert_sink(out, "patient_nbr", "encounter_id"))
+    run_available(writer, ckpt)
+    return read_upserted(spark, out, "patient_nbr", "encounter_id")
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf):
+    """Per micro-batch progress of a scoring run and of its (empty) restart."""
+    landing = land_messages(spark, sf)
+    res, quar, ckpt = new_scratch(spark, "results"), new_scratch(spark, "quarantine"), new_scratch(spark, "ckpt")
+    runs = [score_stream(spark, message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER),
+                         rule_scorer, res, quar, ckpt) for _ in range(2)]
+    return progress_frame(spark, runs)
