@@ -27,9 +27,10 @@ def read_code_lookups(spark: SparkSession, path: str) -> DataFrame:
         "file", "sec", "ln",
         F.from_csv(F.col("line"), "id STRING, description STRING",
                    {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}).alias("r"))
-    first = Window.partitionBy("file", "sec")
-    named = parsed.withColumn("lookup", F.max(F.when(F.col("ln") == F.min("ln").over(first), F.col("r.id"))).over(first))
-    body = named.where(F.col("ln") != F.min("ln").over(first))
+    section = Window.partitionBy("file", "sec")
+    named = (parsed.withColumn("_first", F.min("ln").over(section))
+                   .withColumn("lookup", F.max(F.when(F.col("ln") == F.col("_first"), F.col("r.id"))).over(section)))
+    body = named.where(F.col("ln") != F.col("_first"))
     return body.select("lookup", F.col("r.id").try_cast("int").alias("id"), F.col("r.description").alias("description"))
 
 
