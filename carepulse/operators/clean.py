@@ -87,14 +87,15 @@ def impute_median(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     pandas column with NaN would) instead of silently truncating the median.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
-    stats = column_medians(df, cols).collect()  # one row per column
-    med = {r["name"]: r["median"] for r in stats}
-    non_null = {r["name"]: r["n"] for r in stats}
-    total = df.count()
+    # One cheap pass first: only columns that have NULLs need a median.
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
+                    *[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    holed = [c for i, c in enumerate(cols) if counts[f"n{i}"] < counts["_rows"]]
+    med = {r["name"]: r["median"] for r in column_medians(df, holed).collect()} if holed else {}
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
-        if c in med and med[c] is not None and non_null[c] < total:
+        if c in med and med[c] is not None:
             m = med[c]
             if isinstance(types[c], T.IntegralType) and float(m).is_integer():
                 out.append(F.coalesce(_q(c), F.lit(int(m)).cast(types[c])).alias(c))

@@ -45,14 +45,20 @@ def confusion_long(df: DataFrame, actual: str, predicted: str,
                    labels: Sequence[str] | None = None) -> DataFrame:
     """(actual, predicted, n) for every label pair of the sorted label union; zeros kept.
 
-    Counted with one aggregation, pivoted on the known label list (so absent
-    pairs exist as 0) and unpivoted back to the long form.
+    The input is read once: one aggregation to (actual, predicted) counts (at
+    most k*k rows, kept in memory), from which the label list is taken (size
+    checked) and the counts are pivoted on it (absent pairs exist as 0) and
+    unpivoted back to the long form.
     """
-    labels = list(labels) if labels is not None else class_values(df, actual, predicted)
     a, p = _q(actual).cast("string"), _q(predicted).cast("string")
-    counts = df.select(a.alias("actual"), p.alias("predicted")).where(
-        F.col("actual").isNotNull() & F.col("predicted").isNotNull())
-    wide = counts.groupBy("actual").pivot("predicted", labels).agg(F.count(F.lit(1)))
+    counts = (df.select(a.alias("actual"), p.alias("predicted"))
+                .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
+                .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+                .persist())
+    if labels is None:
+        labels = class_values(counts, "actual", "predicted")
+    labels = list(labels)
+    wide = counts.groupBy("actual").pivot("predicted", labels).agg(F.sum("n"))
     every = df.sparkSession.createDataFrame([(x,) for x in labels], "actual string")
     wide = every.join(wide, "actual", "left").fillna(0)
     long = wide.unpivot("actual", [F.col(quote(x)).alias(x) for x in labels], "predicted", "n")

@@ -34,8 +34,14 @@ def _plain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def build_pipeline(features: Sequence[str], *, num_trees: int = 100, max_depth: int = 10,
-                   seed: int = 42, scale: bool = True, max_bins: int = 32) -> Pipeline:
-    """Assembler + optional scaler + M3 forest over an already indexed label column."""
+                   seed: int = 42, scale: bool = False, max_bins: int = 32) -> Pipeline:
+    """Assembler + optional scaler + M3 forest over an already indexed label column.
+
+    Trees split on per-feature quantile bins, which a per-feature affine
+    scaling does not change, so the scaler stage (the reference's X2 step) is
+    off by default and available with ``scale=True``; when on, it is fitted on
+    the training split inside the same pipeline.
+    """
     # Column names may contain '-': VectorAssembler takes them verbatim.
     assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="keep")
     stages = [assembler]

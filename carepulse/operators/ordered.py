@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +51,16 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | Sequ
         raise ValueError("one output name per weight column")
     scratch_root(df.sparkSession)  # make sure a reliable checkpoint dir exists
     n = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in by + order_cols])
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
+    # The range bounds are sampled from the input and the checkpoint is written
+    # after the job that computes it: keep both materialised so the (usually
+    # aggregated) input is computed once.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = (src.repartitionByRange(n, *[F.col(c) for c in by + order_cols])
+                 .withColumn("_pid", F.spark_partition_id())
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+    ranged = staged.checkpoint(eager=True)
+    staged.unpersist()
+    src.unpersist()
     totals = ranged.groupBy("_pid", *by).agg(*[F.sum(w).alias(f"_t{i}") for i, w in enumerate(weights)])
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")

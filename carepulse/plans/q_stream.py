@@ -22,7 +22,7 @@ from carepulse.streaming.jobs import (
 )
 
 LANDING_FILES = 4  # message files per landing folder (so several micro-batches happen)
-FILES_PER_TRIGGER = 1
+FILES_PER_TRIGGER = 2
 
 _MSG_FIELDS = ["encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
                "num_lab_procedures", "insulin", "readmitted"]
