@@ -20,18 +20,21 @@ def default_fields(df: DataFrame, columns: Iterable[str] = ENCOUNTER_COLUMNS,
 
     Present columns keep their value and fall back to the default when NULL;
     absent columns become the default (or NULL when there is none). A missing
-    id gets a random UUID instead of the wall clock, so two submissions within
-    the same second never collide.
+    id is derived from the record's content (64-bit hash of every present
+    field) instead of the wall clock: two different submissions within the
+    same second never collide, and a recomputed or replayed record gets the
+    same id again, so idempotent sinks stay idempotent.
     """
-    present = set(df.columns)
+    present = [c for c in df.columns]
     ids = set(id_columns)
+    content = F.xxhash64(*[F.col(quote(c)) for c in present]) if present else F.lit(0)
     out = []
     for c in columns:
         base = F.col(quote(c)).cast("string") if c in present else F.lit(None).cast("string")
         if c in defaults:
             base = F.coalesce(base, F.lit(defaults[c]))
         elif c in ids:
-            base = F.coalesce(base, F.expr("uuid()"))
+            base = F.coalesce(base, F.concat(F.lit("anon-"), F.hex(content)))
         out.append(base.alias(c))
     return df.select(*out)
 

@@ -21,8 +21,18 @@ from carepulse.streaming.jobs import (
     progress_frame, read_upserted, run_available, score_stream, write_batch_partition,
 )
 
-LANDING_FILES = 4  # message files per landing folder (so several micro-batches happen)
-FILES_PER_TRIGGER = 2
+# The producer writes one landing file per shuffle partition (so the file
+# count grows with the cluster); each trigger takes half of them, so every
+# run is two micro-batches however large the data.
+MIN_LANDING_FILES = 4
+
+
+def _landing_files(spark) -> int:
+    return max(MIN_LANDING_FILES, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+
+
+def _per_trigger(spark) -> int:
+    return max(1, _landing_files(spark) // 2)
 
 _MSG_FIELDS = ["encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
                "num_lab_procedures", "insulin", "readmitted"]
@@ -77,7 +87,7 @@ def land_messages(spark, sf, messages=None) -> str:
     """Producer (S12): write the messages as JSON-lines files into a fresh landing folder."""
     path = new_scratch(spark, "landing")
     msgs = messages if messages is not None else encounter_messages(spark, sf)
-    msgs.select("value").repartition(LANDING_FILES, "value").write.text(path)
+    msgs.select("value").repartition(_landing_files(spark), "value").write.text(path)
     return path
 
 
@@ -104,7 +114,7 @@ FROM txt
 """)
 def q_stream_json_parse(spark, sf):
     landing = land_messages(spark, sf)
-    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), _MSG_SCHEMA)
+    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), _MSG_SCHEMA)
     parsed = parsed.withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
     return spark.read.parquet(_stream_to_parquet(spark, parsed)).drop("batch_id")
 
@@ -130,7 +140,7 @@ FROM events
 """)
 def q_stream_json_typed(spark, sf):
     landing = land_messages(spark, sf, vitals_messages(spark, sf))
-    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), VITALS_SCHEMA)
+    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
     return spark.read.parquet(_stream_to_parquet(spark, typed.drop(CORRUPT))).drop("batch_id")
 
 
@@ -140,9 +150,9 @@ SELECT CASE WHEN event_type = 'error' THEN body ELSE body || '}' END AS value FR
 def q_stream_land_raw(spark, sf):
     landing = land_messages(spark, sf)
     out, ckpt = new_scratch(spark, "raw"), new_scratch(spark, "ckpt")
-    land_raw(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), out, ckpt)
+    land_raw(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), out, ckpt)
     # A restart on the same checkpoint re-emits nothing
-    land_raw(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), out, ckpt)
+    land_raw(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), out, ckpt)
     return spark.read.text(out)
 
 
@@ -181,7 +191,7 @@ _RESULT_SCHEMA = T.StructType([
 def run_scoring(spark, sf, scorer=rule_scorer, replay=False):
     landing = land_messages(spark, sf)
     res, quar, ckpt = new_scratch(spark, "results"), new_scratch(spark, "quarantine"), new_scratch(spark, "ckpt")
-    q = score_stream(spark, message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER),
+    q = score_stream(spark, message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)),
                      scorer, res, quar, ckpt)
     return res, quar, q
 
@@ -210,7 +220,7 @@ WHERE rn = 1
 """)
 def q_keyed_upsert_land(spark, sf):
     landing = land_messages(spark, sf)
-    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER), _MSG_SCHEMA)
+    parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), _MSG_SCHEMA)
     good = parsed.where(F.col(CORRUPT).isNull()).select(
         "patient_nbr", F.col("encounter_id").try_cast("long").alias("encounter_id"), "gender", "age")
     out, ckpt = new_scratch(spark, "upsert"), new_scratch(spark, "ckpt")
@@ -224,6 +234,6 @@ def q_stream_progress(spark, sf):
     """Per micro-batch progress of a scoring run and of its (empty) restart."""
     landing = land_messages(spark, sf)
     res, quar, ckpt = new_scratch(spark, "results"), new_scratch(spark, "quarantine"), new_scratch(spark, "ckpt")
-    runs = [score_stream(spark, message_stream(spark, path=landing, max_per_trigger=FILES_PER_TRIGGER),
+    runs = [score_stream(spark, message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)),
                          rule_scorer, res, quar, ckpt) for _ in range(2)]
     return progress_frame(spark, runs)

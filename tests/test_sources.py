@@ -85,11 +85,13 @@ def test_publish_and_row_to_csv(spark, scratch):
     assert row_to_csv(df).first().line == '1,"a,b",'
 
 
-def test_default_fields_complete_and_unique_ids(spark):
+def test_default_fields_complete_and_stable_ids(spark):
     df = spark.createDataFrame([(None, "Male"), (None, "Female")], "encounter_id string, gender string")
     out = default_fields(df).collect()
     assert len(out[0]) == 50 and out[0]["metformin"] == "No" and out[0]["diabetesMed"] == "Yes"
     assert out[0]["encounter_id"] != out[1]["encounter_id"]
+    assert out[0]["encounter_id"].startswith("anon-")
+    assert [r["encounter_id"] for r in default_fields(df).collect()] == [r["encounter_id"] for r in out]
 
 
 LOOKUP_TEXT = """admission_type_id,description
