@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from carepulse.schemas import FEATURE_COLUMNS, NULL_MARKERS, VALUE_MAPS, quote
 
@@ -105,16 +106,21 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
     """P3 -> P4 -> P8/P9 -> P5|P6 -> P7 in a single projection.
 
     Returns `keep` columns (untouched) followed by the `features`, each a
-    non-null number of type `numeric` ("double" or "int").
+    non-null number of type `numeric` ("double" or "int"). Text columns go
+    through the markers, maps and coercion; columns that already arrive as
+    numbers (a numeric profile, a typed vitals record) are taken as they are,
+    so a numeric age is an age, not an unknown bucket.
     """
     if numeric not in ("double", "int"):
         raise ValueError("numeric must be 'double' or 'int'")
-    present = set(df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
     coerce = coerce_double if numeric == "double" else coerce_int
     out = [_c(k) for k in keep]
     for name in features:
-        if name not in present:
+        if name not in types:
             e = F.lit(fill)
+        elif isinstance(types[name], NumericType):
+            e = F.coalesce(_c(name).cast(numeric), F.lit(fill))
         else:
             raw = null_marker_expr(_c(name))
             if name in VALUE_MAPS and (insulin or name != "insulin"):

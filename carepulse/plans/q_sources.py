@@ -16,9 +16,9 @@ from carepulse.sources.files import (
     read_csv_inferred, read_first_available, read_header_dir, read_headerless_csv,
     read_positional, read_results,
 )
-from carepulse.sources.lookups import decode, lookup_frame
+from carepulse.sources.lookups import decode, encode_strict, lookup_frame
 from carepulse.sources.writers import from_file_names, publish_json, write_csv
-from carepulse.schemas import PROBABILITY_CSV_NAME
+from carepulse.schemas import LEGACY_ADMISSION_TYPE, LEGACY_DISCHARGE, PROBABILITY_CSV_NAME
 
 _ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 _ORDERS_SCHEMA = T.StructType([
@@ -197,3 +197,38 @@ _PROFILE_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_ordersta
 def q_column_profile(spark, sf):
     o = table(spark, sf, "orders").select(*[c for c, _ in _PROFILE_COLS])
     return column_profile(o)
+
+
+# Stand-in labels for the legacy scoring-profile codes.
+_ADMISSION_BY_PRIORITY = {"1-URGENT": "Emergency", "2-HIGH": "Urgent", "3-MEDIUM": "Elective",
+                          "4-NOT SPECIFIED": "Newborn", "5-LOW": "Trauma"}
+_DISCHARGE_BY_STATUS = {"F": "Home", "O": "Transferred", "P": "Expired"}
+
+
+def _case_sql(col, mapping):
+    return "CASE " + col + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+def _case_int_sql(col, mapping):
+    return "CASE " + col + " " + " ".join(f"WHEN '{k}' THEN {int(v)}" for k, v in mapping.items()) + " END"
+
+
+@register("legacy_profile_encode", f"""
+WITH l AS (SELECT o_orderkey, {_case_sql("o_orderpriority", _ADMISSION_BY_PRIORITY)} AS admission_type,
+                  {_case_sql("o_orderstatus", _DISCHARGE_BY_STATUS)} AS discharge_disposition FROM orders)
+SELECT o_orderkey, admission_type, discharge_disposition,
+       CAST({_case_int_sql("admission_type", LEGACY_ADMISSION_TYPE)} AS INTEGER) AS admission_type_id,
+       CAST({_case_int_sql("discharge_disposition", LEGACY_DISCHARGE)} AS INTEGER) AS discharge_disposition_id
+FROM l
+""")
+def q_legacy_profile_encode(spark, sf):
+    """Strict label -> id with the legacy profile codes; an unknown label raises."""
+    o = table(spark, sf, "orders")
+    adm = F.create_map(*[F.lit(x) for kv in _ADMISSION_BY_PRIORITY.items() for x in kv])
+    dis = F.create_map(*[F.lit(x) for kv in _DISCHARGE_BY_STATUS.items() for x in kv])
+    labelled = o.select("o_orderkey", F.try_element_at(adm, F.col("o_orderpriority")).alias("admission_type"),
+                        F.try_element_at(dis, F.col("o_orderstatus")).alias("discharge_disposition"))
+    a = encode_strict(labelled, lookup_frame(spark, LEGACY_ADMISSION_TYPE), "admission_type", "label", "id",
+                      "admission_type_id")
+    return encode_strict(a, lookup_frame(spark, LEGACY_DISCHARGE), "discharge_disposition", "label", "id",
+                         "discharge_disposition_id")

@@ -18,8 +18,10 @@ from carepulse.schemas import AGE_MAP, GENDER_MAP, PROBABILITY_COLUMN, RACE_MAP,
 from carepulse.session import new_scratch
 from carepulse.streaming.jobs import (
     CORRUPT, keyed_upsert_sink, land_raw, message_stream, parse_messages, parse_typed,
-    progress_frame, read_upserted, run_available, score_stream, write_batch_partition,
+    progress_frame, read_upserted, run_available, score_partial_records, score_stream,
+    write_batch_partition,
 )
+from carepulse.schemas import FEATURE_COLUMNS
 
 # The producer writes one landing file per shuffle partition (so the file
 # count grows with the cluster); each trigger takes half of them, so every
@@ -237,3 +239,25 @@ def q_stream_progress(spark, sf):
     runs = [score_stream(spark, message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)),
                          rule_scorer, res, quar, ckpt) for _ in range(2)]
     return progress_frame(spark, runs)
+
+
+@register("stream_vitals_score", f"""
+WITH v AS (
+  SELECT CAST(user_id AS VARCHAR) AS patient_id,
+         CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS age,
+         CASE WHEN user_id % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
+         value AS blood_pressure, '?' AS readmitted
+  FROM events),
+s AS (SELECT *, COALESCE(CAST(age AS DOUBLE), 0.0) / 10.0 AS s FROM v)
+SELECT patient_id, age, gender, blood_pressure, readmitted,
+       CAST(CASE WHEN s < 8 THEN 0 WHEN s < 14 THEN 1 ELSE 2 END AS INTEGER) AS readmission_prediction,
+       round(least(s * 4.0, 100.0), 6) AS {PROBABILITY_COLUMN}
+FROM s
+""")
+def q_stream_vitals_score(spark, sf):
+    """S2 + P10 + P8: the vitals stream carries two of the features (age, gender); score it anyway."""
+    landing = land_messages(spark, sf, vitals_messages(spark, sf))
+    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
+    keep = [f.name for f in VITALS_SCHEMA.fields]
+    scored = score_partial_records(typed, rule_scorer, FEATURE_COLUMNS, keep)
+    return spark.read.parquet(_stream_to_parquet(spark, scored)).drop("batch_id")

@@ -215,3 +215,24 @@ def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> Da
             rows.append((run, int(p["batchId"]), int(p["numInputRows"]),
                          float(p.get("processedRowsPerSecond") or 0.0)))
     return spark.createDataFrame(rows, "run int, batch_id long, input_rows long, rows_per_sec double")
+
+
+def score_partial_records(parsed: DataFrame, scorer: Callable[[DataFrame], DataFrame],
+                          features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """P10 + P8 (X10 fix): score records that carry only some of the features.
+
+    The features present in the record schema are encoded (text through the
+    maps, numbers as they are); the absent ones are constant 0, so the model
+    always sees the full, ordered feature vector. A record schema with none of
+    the features is an error (nothing to score), raised before the stream starts.
+    """
+    present = [c for c in features if c in parsed.columns]
+    if not present:
+        raise ValueError("no model feature in the record schema")
+    hidden = {k: f"_keep_{i}" for i, k in enumerate(keep)}
+    src = parsed.select("*", *[F.col(quote(k)).alias(a) for k, a in hidden.items()])
+    enc = encode_features(src, list(features), keep=list(hidden.values()))
+    scored = scorer(enc)
+    return scored.select(*[F.col(a).alias(k) for k, a in hidden.items()],
+                         F.col("readmission_prediction").cast("int").alias("readmission_prediction"),
+                         F.col(PROBABILITY_COLUMN).cast("double").alias(PROBABILITY_COLUMN))
