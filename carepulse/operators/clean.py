@@ -2,8 +2,9 @@
 
 All statistics are exact and distributed: a global ``median`` or ``mode``
 aggregate would merge a value->count map of every distinct value inside one
-task, so medians come from value counts plus a range-partitioned running total
-(operators.ordered) and modes from value counts reduced by a global min.
+task, so medians come from histogram refinement (operators.quantile: a few
+scans returning fixed-size histograms) and modes from value counts reduced by
+a global min.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carepulse.operators.ordered import BROADCAST_ROW_LIMIT, dense_index, running_sum
+from carepulse.operators.ordered import BROADCAST_ROW_LIMIT, dense_index
+from carepulse.operators.quantile import medians
 from carepulse.schemas import quote
 
 
@@ -53,46 +55,42 @@ def _long(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 
 # --- A1 median -------------------------------------------------------------
-def column_medians(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Exact (interpolating) median of each column: rows (name, median, n_non_null).
+def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(name, v) DOUBLE long form without NULL and NaN (NaN is missing, as in pandas)."""
+    long = _long(df, cols, "double")
+    return long.where(~F.isnan("v"))
 
-    Value counts are aggregated map-side (a value that holds a third of the
-    rows collapses to one row per task), then a running total over the
-    range-partitioned distinct values locates ranks floor((n-1)/2) and
-    ceil((n-1)/2). No task ever holds more than its range of distinct values.
-    """
+
+def column_median_values(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, tuple[float, int]]:
+    """name -> (exact median, non-missing count); see operators.quantile (a few scans, no big shuffle)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    counts = _long(df, cols, "double").groupBy("name", "v").agg(F.count(F.lit(1)).alias("w"))
-    sizes = counts.groupBy("name").agg(F.sum("w").alias("n"))
-    cum = running_sum(counts, ["v"], "w", by=["name"])
-    lo = F.floor((F.col("n") - 1) / 2)
-    hi = F.ceil((F.col("n") - 1) / 2)
-    start = F.col("_cum") - F.col("w")
+    return medians(_numbers(df, cols)) if cols else {}
 
-    def covers(r):
-        return (start <= r) & (r < F.col("_cum"))
 
-    picked = (cum.join(F.broadcast(sizes), "name")  # one row per column
-                 .where(covers(lo) | covers(hi))
-                 .groupBy("name", "n")
-                 .agg(F.max(F.when(covers(lo), F.col("v"))).alias("v_lo"),
-                      F.max(F.when(covers(hi), F.col("v"))).alias("v_hi")))
-    return picked.select("name", ((F.col("v_lo") + F.col("v_hi")) / 2).alias("median"), "n")
+def column_medians(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Exact (mean-of-middle-pair) median of each column: rows (name, median, n); one row per column."""
+    vals = column_median_values(df, cols)
+    return df.sparkSession.createDataFrame([(k, float(m), int(n)) for k, (m, n) in vals.items()],
+                                           "name string, median double, n long")
 
 
 def impute_median(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A1: fill NULLs of every numeric column with its exact median.
+    """A1: fill missing values (NULL, and NaN in floating columns) of every numeric column with its exact median.
 
     Integral columns that receive a fractional median become DOUBLE (as a
     pandas column with NaN would) instead of silently truncating the median.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
-    # One cheap pass first: only columns that have NULLs need a median.
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count(_q(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    holed = [c for i, c in enumerate(cols) if counts[f"n{i}"] < counts["_rows"]]
-    med = {r["name"]: r["median"] for r in column_medians(df, holed).collect()} if holed else {}
     types = {f.name: f.dataType for f in df.schema.fields}
+
+    def missing(c):
+        m = _q(c).isNull()
+        return m | F.isnan(_q(c)) if isinstance(types[c], T.FractionalType) else m
+
+    # One cheap pass first: only columns with missing values need a median.
+    counts = df.agg(*[F.count_if(missing(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    holed = [c for i, c in enumerate(cols) if counts[f"m{i}"] > 0]
+    med = {k: v[0] for k, v in column_median_values(df, holed).items()} if holed else {}
     out = []
     for c in df.columns:
         if c in med and med[c] is not None:
@@ -100,7 +98,7 @@ def impute_median(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
             if isinstance(types[c], T.IntegralType) and float(m).is_integer():
                 out.append(F.coalesce(_q(c), F.lit(int(m)).cast(types[c])).alias(c))
             else:
-                out.append(F.coalesce(_q(c).cast("double"), F.lit(float(m))).alias(c))
+                out.append(F.when(missing(c), F.lit(float(m))).otherwise(_q(c).cast("double")).alias(c))
         else:
             out.append(_q(c))
     return df.select(*out)

@@ -70,3 +70,22 @@ def test_auc_and_roc_vs_brute_force(spark):
     for r in roc:
         tp = sum(1 for y, s in zip(ys, ss) if y == "x" and s >= r.threshold)
         assert abs(r.tpr - tp / P) < 1e-12
+
+
+def test_histogram_refinement_rounds(spark, monkeypatch):
+    """Force several refinement rounds (tiny cells and bins) against brute force."""
+    from carepulse.operators import quantile
+    monkeypatch.setattr(quantile, "BINS", 4)
+    monkeypatch.setattr(quantile, "SMALL", 3)
+    rnd = random.Random(11)
+    cols = {
+        "hot": [7.25] * 300 + [rnd.uniform(-5, 20) for _ in range(301)],
+        "wide": [rnd.choice([-1e300, 1e300, 0.0]) for _ in range(50)] + [rnd.gauss(0, 1) for _ in range(551)],
+        "ints": [float(rnd.randint(0, 3)) for _ in range(601)],
+        "even": [rnd.uniform(0, 1) for _ in range(600)] + [None],
+    }
+    rows = list(zip(*cols.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    got = {r["name"]: r["median"] for r in column_medians(df).collect()}
+    for c, xs in cols.items():
+        assert got[c] == statistics.median([x for x in xs if x is not None]), c
