@@ -89,7 +89,7 @@ def land_messages(spark, sf, messages=None) -> str:
     """Producer (S12): write the messages as JSON-lines files into a fresh landing folder."""
     path = new_scratch(spark, "landing")
     msgs = messages if messages is not None else encounter_messages(spark, sf)
-    msgs.select("value").repartition(_landing_files(spark), "value").write.text(path)
+    msgs.select("value").repartition(_landing_files(spark)).write.text(path)  # round-robin: no hot file
     return path
 
 

@@ -79,16 +79,17 @@ def parse_typed(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -
 
 
 # --- scoring projection ----------------------------------------------------
-def narrow_result(parsed: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def narrow_result(parsed: DataFrame, scorer: Callable[[DataFrame], DataFrame],
+                  carry: Sequence[str] = ()) -> DataFrame:
     """P13 + D8: ids, encoded demographics, coerced stay, class and percent (pinned types).
 
     `scorer` maps an encoded frame (49 DOUBLE features) to one adding
     `readmission_prediction` and `readmission_probability_pct` (a fitted
-    forest or a rule).
+    forest or a rule). `carry` columns pass through unchanged.
     """
     src = parsed.select("*", F.col("encounter_id").alias("_eid"), F.col("patient_nbr").alias("_pid"),
                         F.col("time_in_hospital").alias("_stay"))
-    enc = encode_features(src, keep=["_eid", "_pid", "_stay"])
+    enc = encode_features(src, keep=["_eid", "_pid", "_stay", *carry])
     scored = scorer(enc)
     return scored.select(
         F.col("_eid").try_cast("long").alias("encounter_id"),
@@ -99,6 +100,7 @@ def narrow_result(parsed: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -
         coerce_int(F.col("_stay")).alias("time_in_hospital"),
         F.col("readmission_prediction").cast("int").alias("readmission_prediction"),
         F.col(PROBABILITY_COLUMN).cast("double").alias(PROBABILITY_COLUMN),
+        *[F.col(quote(c)) for c in carry],
     )
 
 
@@ -152,12 +154,10 @@ def score_stream(spark: SparkSession, messages: DataFrame, scorer, result_path:
     `processing_time` ("10 seconds") starts a continuous micro-batch query;
     None runs an availableNow catch-up and returns after it finished.
     """
-    parsed = parse_messages(messages)
-    good = narrow_result(parsed.where(F.col(CORRUPT).isNull()), scorer)
-    good = good.withColumn(CORRUPT, F.lit(None).cast("string"))
-    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema.fields if f.name != CORRUPT], CORRUPT)
-    both = good.unionByName(bad)
+    # One branch: every message is parsed once and carries its corrupt text
+    # through; the sink splits results from quarantine (the scores computed
+    # for a malformed row's empty fields are never written).
+    both = narrow_result(parse_messages(messages), scorer, carry=[CORRUPT])
     writer = both.writeStream.outputMode("append").foreachBatch(scored_sink(result_path, quarantine_path, fmt))
     if processing_time:
         return writer.option("checkpointLocation", checkpoint).trigger(processingTime=processing_time).start()

@@ -94,7 +94,7 @@ def test_forest_scores_inside_the_stream(spark, scratch):
     model = trained_model(spark, SF_SMALL)
 
     def forest(enc):
-        return score(model, enc, FEATURES, keep=enc.columns[:3] + FEATURES)
+        return score(model, enc, FEATURES, keep=enc.columns)
 
     landing, res, quar, ckpt = scratch("land"), scratch("res"), scratch("quar"), scratch("ckpt")
     _land(spark, landing, [_msg(i) for i in range(12)], files=2)
