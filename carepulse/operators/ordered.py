@@ -26,6 +26,8 @@ from carepulse.session import scratch_root
 # Rows of a side table we accept to broadcast; the offsets table has at most
 # (range partitions + groups) rows, so this is only a guard.
 BROADCAST_ROW_LIMIT = 2_000_000
+# Inputs up to this many rows take one window per group (rows counted first).
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def _partitions(df: DataFrame, requested: int | None) -> int:
@@ -55,6 +57,13 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | Sequ
     # after the job that computes it: keep both materialised so the (usually
     # aggregated) input is computed once.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if src.count() <= SINGLE_TASK_ROWS:
+        # Small input (a label dictionary, a few thousand thresholds): a plain
+        # window per group is cheaper than ranging; its size was just counted.
+        w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        res = src.select("*", *[F.sum(wc).over(w).alias(o) for wc, o in zip(weights, outs)]).checkpoint(eager=True)
+        src.unpersist()
+        return res
     staged = (src.repartitionByRange(n, *[F.col(c) for c in by + order_cols])
                  .withColumn("_pid", F.spark_partition_id())
                  .persist(StorageLevel.MEMORY_AND_DISK))

@@ -10,7 +10,19 @@ from carepulse.operators.evaluate import auc_ovr, roc_points
 from carepulse.operators.ordered import dense_index, running_sum
 
 
-def test_running_sum_matches_cumsum(spark):
+import pytest
+
+
+@pytest.fixture(params=["small", "ranged"])
+def path(request, monkeypatch):
+    """Run the ordered-statistics tests through both the small-input and the range-partitioned path."""
+    from carepulse.operators import ordered
+    if request.param == "ranged":
+        monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", -1)
+    return request.param
+
+
+def test_running_sum_matches_cumsum(spark, path):
     rnd = random.Random(7)
     rows = [(g, i, rnd.randint(0, 9)) for g in ("a", "b", "c") for i in range(300)]
     df = spark.createDataFrame(rows, "g string, k int, w int")
@@ -38,7 +50,7 @@ def test_mode_ties_pick_smallest(spark):
     assert column_modes(df).first()["mode"] == "a"
 
 
-def test_dense_index_and_label_encode(spark):
+def test_dense_index_and_label_encode(spark, path):
     vals = ["z", "a", "m", "a", None, "b", "z"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, s string")
     idx = {r.s: r._idx for r in dense_index(df, "s", num_partitions=3).collect()}
@@ -56,7 +68,7 @@ def _brute_auc(ys, ss, pos):
     return u / (len(P) * len(N))
 
 
-def test_auc_and_roc_vs_brute_force(spark):
+def test_auc_and_roc_vs_brute_force(spark, path):
     rnd = random.Random(3)
     ys = [rnd.choice("xyz") for _ in range(300)]
     ss = [float(rnd.randint(0, 20)) for _ in range(300)]
