@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from carepulse.operators.ordered import BROADCAST_ROW_LIMIT, dense_index
 from carepulse.operators.quantile import medians
-from carepulse.schemas import quote
+from carepulse.functions.encode import replace_null_markers
+from carepulse.schemas import UNMAPPED_TEXT_COLUMNS, quote
 
 
 def _q(c: str):
@@ -130,17 +131,20 @@ def label_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: DataFrame | None = None,
-                 unseen: int | None = None) -> DataFrame:
+                 unseen: int | str | None = None) -> DataFrame:
     """M1: replace each string column by its dense alphabetical code (INT).
 
     The dictionary is built distributedly; it is broadcast only when its size
     was counted and is under the limit, otherwise joined by shuffle. NULL stays
-    NULL; a value absent from a given dictionary gets `unseen` (NULL default).
+    NULL; a value absent from a given dictionary gets `unseen`: NULL (default),
+    a fixed code, or "keep" = one past the column's last code (the number of
+    labels the column was fitted on).
     """
     cols = list(cols) if cols is not None else string_columns(df)
     dic = dictionary if dictionary is not None else label_dictionary(df, cols)
     dic = dic.persist()
-    small = dic.count() <= BROADCAST_ROW_LIMIT
+    sizes = {r["name"]: int(r["n"]) for r in dic.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = sum(sizes.values()) <= BROADCAST_ROW_LIMIT
     out = df
     for i, c in enumerate(cols):
         key = f"_k{i}"
@@ -148,11 +152,30 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
         out = out.join(F.broadcast(d) if small else d, _q(c) == F.col(key), "left")
         code = F.col(f"_c{i}")
         if unseen is not None:
-            code = F.when(_q(c).isNotNull(), F.coalesce(code, F.lit(int(unseen)))).otherwise(code)
+            fallback = sizes.get(c, 0) if unseen == "keep" else int(unseen)
+            code = F.when(_q(c).isNotNull(), F.coalesce(code, F.lit(fallback))).otherwise(code)
         out = out.withColumn(c, code).drop(key, f"_c{i}")
     return out.select(*df.columns)
 
 
+def text_code_dictionary(train: DataFrame, cols: Sequence[str] = UNMAPPED_TEXT_COLUMNS) -> DataFrame:
+    """X1 fix: codes for the text columns that have no value map, fitted on the training split."""
+    present = [c for c in cols if c in train.columns]
+    return label_dictionary(replace_null_markers(train.select(*[_q(c) for c in present])), present)
+
+
+def apply_text_codes(df: DataFrame, dictionary: DataFrame,
+                     cols: Sequence[str] = UNMAPPED_TEXT_COLUMNS) -> DataFrame:
+    """X1 fix: unmapped text -> its training code (unseen -> one past the last code) before `encode_features`.
+
+    The codes are numbers, so `encode_features` takes them as they are instead
+    of coercing the text to NULL -> 0 (the reference's serving behaviour,
+    still the default when this step is skipped). `?` is a NULL marker first.
+    """
+    present = [c for c in cols if c in df.columns]
+    return label_encode(replace_null_markers(df, present), present, dictionary, unseen="keep")
+
+
 # --- M5 standardisation ----------------------------------------------------
 def standardize(df: DataFrame, cols: Sequence[str], keep: Iterable[str] = (),
                 stats: dict | None = None) -> DataFrame:

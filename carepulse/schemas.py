@@ -79,6 +79,13 @@ VALUE_MAPS: dict[str, tuple[dict[str, int], int]] = {
     "insulin": (INSULIN_MAP, 0),
 }
 
+# Text features without a value map: the serving path of the reference turns
+# them into 0; `operators.clean.apply_text_codes` gives them training codes.
+UNMAPPED_TEXT_COLUMNS: list[str] = [
+    c for c in FEATURE_COLUMNS[FEATURE_COLUMNS.index("metformin"):FEATURE_COLUMNS.index("change")]
+    if c != "insulin"
+] + ["weight", "payer_code", "medical_specialty", "max_glu_serum", "A1Cresult"]
+
 # Null markers: literal '?' from the form and the CSV; text "NaN" is what a
 # bare NaN token becomes after JSON parsing into a string field.
 NULL_MARKERS = ["?"]

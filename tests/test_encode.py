@@ -80,3 +80,20 @@ def test_encoder_stays_in_codegen(spark):
     df = _records(spark, [{"age": "[10-20)"}])
     plan = encode_features(df)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_unmapped_text_gets_training_codes(spark):
+    from carepulse.operators.clean import apply_text_codes, text_code_dictionary
+    train = _records(spark, [{"metformin": "No", "payer_code": "MC"}, {"metformin": "Steady", "payer_code": "?"},
+                             {"metformin": "Steady", "payer_code": "BC"}])
+    dic = text_code_dictionary(train)
+    serve = _records(spark, [{"encounter_id": "1", "metformin": "Steady", "payer_code": "BC"},
+                             {"encounter_id": "2", "metformin": "Up", "payer_code": "?"},
+                             {"encounter_id": "3", "metformin": None, "payer_code": "XX"}])
+    out = {r.encounter_id: r for r in encode_features(apply_text_codes(serve, dic), keep=["encounter_id"]).collect()}
+    assert out["1"]["metformin"] == 1 and out["1"]["payer_code"] == 0      # alphabetical training codes
+    assert out["2"]["metformin"] == 2                                       # unseen -> one past the last code
+    assert out["2"]["payer_code"] == 0 and out["3"]["metformin"] == 0       # '?' / NULL -> missing -> 0
+    assert out["3"]["payer_code"] == 2
+    # the default serving path still turns unmapped text into 0
+    assert encode_features(serve).collect()[0]["metformin"] == 0

@@ -102,3 +102,16 @@ def test_forest_scores_inside_the_stream(spark, scratch):
     out = spark.read.option("header", True).csv(res).collect()
     assert len(out) == 12
     assert all(0.0 <= float(r["readmission_probability_pct"]) <= 100.0 for r in out)
+
+
+def test_processing_time_trigger(spark, scratch):
+    """A continuous micro-batch query with a processing-time trigger, stopped after catching up."""
+    landing, res, quar, ckpt = scratch("land"), scratch("res"), scratch("quar"), scratch("ckpt")
+    _land(spark, landing, [_msg(i) for i in range(8)], files=2)
+    q = score_stream(spark, message_stream(spark, path=landing), rule_scorer, res, quar, ckpt,
+                     processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.option("header", True).csv(res).count() == 8
