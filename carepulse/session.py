@@ -53,6 +53,9 @@ def scratch_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors: refuse
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
         conf = tempfile.mkdtemp(prefix="carepulse-ckpt-")
     sc.setCheckpointDir(conf)
     # setCheckpointDir adds a per-application subfolder; use that.
