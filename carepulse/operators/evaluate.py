@@ -119,14 +119,32 @@ def _score_counts(df: DataFrame, actual: str, score: str, classes: Sequence[str]
     return stacked.select("class", "score", "pos", (F.col("_all") - F.col("pos")).alias("neg"))
 
 
-def roc_points(df: DataFrame, actual: str, score: str, classes: Sequence[str] | None = None) -> DataFrame:
+def _class_score_counts(df: DataFrame, actual: str, class_scores: dict) -> DataFrame:
+    """(class, score, pos, neg) when every class has its own score column (e.g. its probability)."""
+    y = _q(actual).cast("string")
+    stacked = df.where(y.isNotNull()).select(y.alias("_y"), F.inline(F.array(*[
+        F.struct(F.lit(str(c)).alias("class"), _q(col).cast("double").alias("score"))
+        for c, col in class_scores.items()])))
+    return (stacked.where(F.col("score").isNotNull()).groupBy("class", "score")
+                   .agg(F.count_if(F.col("_y") == F.col("class")).alias("pos"),
+                        F.count_if(F.col("_y") != F.col("class")).alias("neg")))
+
+
+def _counts(df: DataFrame, actual: str, score, classes) -> DataFrame:
+    if isinstance(score, dict):
+        return _class_score_counts(df, actual, score)
+    classes = list(classes) if classes is not None else class_values(df, actual)
+    return _score_counts(df, actual, score, classes)
+
+
+def roc_points(df: DataFrame, actual: str, score, classes: Sequence[str] | None = None) -> DataFrame:
     """One-vs-rest ROC: per class and distinct threshold (descending), fpr and tpr.
 
     Every distinct score is a threshold (no collinear-point dropping); a row
-    means "predict positive when score >= threshold".
+    means "predict positive when score >= threshold". `score` is one column
+    shared by all classes, or {class: column} (each class its own probability).
     """
-    classes = list(classes) if classes is not None else class_values(df, actual)
-    sc = _score_counts(df, actual, score, classes).withColumn("_desc", -F.col("score"))
+    sc = _counts(df, actual, score, classes).withColumn("_desc", -F.col("score"))
     cum = running_sum(sc, ["_desc"], ["pos", "neg"], by=["class"], out=["tps", "fps"])
     totals = sc.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return (cum.join(F.broadcast(totals), "class")  # one row per class
@@ -136,15 +154,15 @@ def roc_points(df: DataFrame, actual: str, score: str, classes: Sequence[str] |
                        F.col("tps").cast("long").alias("tps"), F.col("fps").cast("long").alias("fps")))
 
 
-def auc_ovr(df: DataFrame, actual: str, score: str, classes: Sequence[str] | None = None) -> DataFrame:
+def auc_ovr(df: DataFrame, actual: str, score, classes: Sequence[str] | None = None) -> DataFrame:
     """AUC per class (one-vs-rest, Mann-Whitney with half credit for ties) + macro average.
 
     AUC = sum over scores of pos(s) * (neg below s + neg(s) / 2) / (P * N).
     A class without positives or negatives gets NULL (undefined) and is left
-    out of the macro average.
+    out of the macro average. `score` as in `roc_points`; with one probability
+    column per class this is the multi-class one-vs-rest macro AUC.
     """
-    classes = list(classes) if classes is not None else class_values(df, actual)
-    sc = _score_counts(df, actual, score, classes)
+    sc = _counts(df, actual, score, classes)
     cum = running_sum(sc, ["score"], "neg", by=["class"], out="neg_le")
     per = cum.groupBy("class").agg(
         F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)).alias("_u"),

@@ -140,3 +140,24 @@ def q_auc_binary(spark, sf):
     lab = table(spark, sf, "labels").select(F.col("quality").cast("string").alias("a"),
                                             F.col("toxic").cast("double").alias("s"))
     return _r6(auc_ovr(lab, "a", "s"), ["auc"])
+
+
+_MULTI_SQL = """
+t AS (SELECT o_orderstatus AS a, round(o_totalprice / 1000) AS s_F,
+             round(abs(o_totalprice - 250000) / 1000) AS s_O, round((500000 - o_totalprice) / 1000) AS s_P
+      FROM orders),
+st AS (SELECT a, 'F' AS class, s_F AS score FROM t UNION ALL SELECT a, 'O', s_O FROM t
+       UNION ALL SELECT a, 'P', s_P FROM t),
+sc AS (SELECT class, score, sum(CASE WHEN a = class THEN 1 ELSE 0 END) AS pos,
+              sum(CASE WHEN a <> class THEN 1 ELSE 0 END) AS neg FROM st GROUP BY 1, 2)
+"""
+
+
+@register("auc_ovr_scores", "WITH " + _MULTI_SQL + _AUC_TAIL)
+def q_auc_ovr_scores(spark, sf):
+    """A12 with one score column per class (the shape of a model's class probabilities)."""
+    o = table(spark, sf, "orders")
+    p = F.col("o_totalprice")
+    scored = o.select(F.col("o_orderstatus").alias("a"), F.round(p / 1000).alias("s_F"),
+                      F.round(F.abs(p - 250000) / 1000).alias("s_O"), F.round((500000 - p) / 1000).alias("s_P"))
+    return _r6(auc_ovr(scored, "a", {"F": "s_F", "O": "s_O", "P": "s_P"}), ["auc"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from carepulse.functions.encode import align_features, encode_features
 from carepulse.functions.records import predict_label
 from carepulse.operators.clean import train_test_split
-from carepulse.operators.evaluate import classification_report
+from carepulse.operators.evaluate import auc_ovr, classification_report
 from carepulse.operators.forest import (
     feature_importance, fit_forest, load_model, model_features, save_model, score,
 )
@@ -115,3 +115,15 @@ def q_holdout_report(spark, sf):
     name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("readmission_prediction") + 1)
     rep = classification_report(s.withColumn("predicted", name), "readmitted", "predicted")
     return rep.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@register("holdout_auc")
+def q_holdout_auc(spark, sf):
+    """M8: one-vs-rest AUC of the forest on the hold-out split, one probability column per class."""
+    model = trained_model(spark, sf)
+    labels = model.stages[0].labelsArray[0]
+    s = score(model, encoded_encounters(spark, sf).where(F.col("split") == "test"), FEATURES,
+              keep=["readmitted"])
+    probs = s.select("readmitted", *[F.col("class_probabilities")[i].alias(f"p{i}") for i in range(len(labels))])
+    auc = auc_ovr(probs, "readmitted", {lab: f"p{i}" for i, lab in enumerate(labels)})
+    return auc.select("class", F.round("auc", 6).alias("auc"))

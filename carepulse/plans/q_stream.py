@@ -261,3 +261,17 @@ def q_stream_vitals_score(spark, sf):
     keep = [f.name for f in VITALS_SCHEMA.fields]
     scored = score_partial_records(typed, rule_scorer, FEATURE_COLUMNS, keep)
     return spark.read.parquet(_stream_to_parquet(spark, scored)).drop("batch_id")
+
+
+@register("stream_score_forest")
+def q_stream_score_forest(spark, sf):
+    """M4 in the stream: the saved forest scores every micro-batch inside the streaming plan."""
+    from carepulse.operators.forest import score
+    from carepulse.plans.q_model import FEATURES, trained_model
+    model = trained_model(spark, sf)
+
+    def forest(enc):
+        return score(model, enc, FEATURES, keep=enc.columns)
+
+    res, _, _ = run_scoring(spark, sf, scorer=forest)
+    return spark.read.schema(_RESULT_SCHEMA).option("header", True).csv(res).drop("batch_id")
