@@ -50,8 +50,10 @@ def decode(df: DataFrame, dim: DataFrame, on: str | list, how: str = "left",
 
 def encode_strict(df: DataFrame, dim: DataFrame, label_col: str, dim_label: str, dim_code: str,
                   out: str) -> DataFrame:
-    """Label -> id; an unknown label is an error (raised after one semi-anti check)."""
-    unknown = df.join(F.broadcast(dim.select(F.col(dim_label).alias(label_col))), label_col, "left_anti")
+    """Label -> id; an unknown label (or a NULL one) is an error, raised after one anti-join check."""
+    labels = dim.select(F.col(dim_label).alias(label_col))
+    side = F.broadcast(labels) if labels.count() <= MAX_BROADCAST_DIM_ROWS else labels
+    unknown = df.join(side, label_col, "left_anti")
     bad = unknown.select(label_col).limit(5).collect()
     if bad:
         raise ValueError(f"unknown {label_col}: {[r[0] for r in bad]}")
