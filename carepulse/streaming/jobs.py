@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,14 +118,17 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "c
 def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv"):
     """T4 + T5 + T6: good rows to the results, malformed rows to quarantine, both per batch.
 
-    An empty batch writes nothing; a failing write raises, so the checkpoint
-    does not advance and the batch is retried (never silently dropped).
+    The batch (bounded by the source's per-trigger limit) is materialised once
+    (persist + count, which also tells an empty batch: it writes nothing) and
+    both writes read the cached rows, so parse, encode and score run once per
+    row. A failing write raises, so the checkpoint does not advance and the
+    batch is retried (never silently dropped).
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.persist()
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch.count() == 0:
+                return
             good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "value")
             bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
             write_batch_partition(good, result_path, batch_id, fmt)
