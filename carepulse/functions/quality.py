@@ -59,3 +59,26 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return (counts_long.join(distinct, "name", "left")
                        .select("name", "type", "rows", "non_null",
                                F.coalesce(F.col("distinct"), F.lit(0)).cast("long").alias("distinct")))
+
+
+def validate_encounters(df: DataFrame, profile: str = "intake") -> DataFrame:
+    """P23 with the two rule sets of the reference kept apart (they disagree on ranges).
+
+    "intake": the submission form (allowed race / gender / age / admission /
+    discharge / source / insulin values and the count ranges); "scoring": the
+    numeric one-row profile (F7) ranges. Columns absent from `df` are skipped.
+    """
+    from carepulse import schemas as S
+    if profile == "intake":
+        allowed = {"race": S.RACE_VALUES, "gender": S.GENDER_VALUES, "age": S.AGE_VALUES,
+                   "admission_type_id": S.ADMISSION_TYPE_VALUES,
+                   "discharge_disposition_id": S.DISCHARGE_DISPOSITION_VALUES,
+                   "admission_source_id": S.ADMISSION_SOURCE_VALUES, "insulin": S.INSULIN_VALUES}
+        ranges = S.FORM_RANGES
+    elif profile == "scoring":
+        allowed, ranges = {}, S.PROFILE_RANGES
+    else:
+        raise ValueError("profile must be 'intake' or 'scoring'")
+    present = set(df.columns)
+    return validate_domain(df, {k: v for k, v in allowed.items() if k in present},
+                           {k: v for k, v in ranges.items() if k in present})

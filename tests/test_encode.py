@@ -97,3 +97,18 @@ def test_unmapped_text_gets_training_codes(spark):
     assert out["3"]["payer_code"] == 2
     # the default serving path still turns unmapped text into 0
     assert encode_features(serve).collect()[0]["metformin"] == 0
+
+
+def test_validate_encounter_profiles(spark):
+    from carepulse.functions.quality import validate_encounters
+    df = _records(spark, [{"encounter_id": "1", "race": "Caucasian", "gender": "Male", "age": "[70-80)",
+                           "time_in_hospital": "4", "num_procedures": "12"},
+                          {"encounter_id": "2", "race": "Martian", "gender": "Female", "age": "60",
+                           "time_in_hospital": "31", "num_procedures": "1"}])
+    got = {r.encounter_id: r for r in validate_encounters(df).collect()}
+    assert got["1"].violations == ["num_procedures:range"] and not got["1"].is_valid
+    assert got["2"].violations == ["age:domain", "race:domain", "time_in_hospital:range"]
+    scoring = {r.encounter_id: r for r in validate_encounters(df, "scoring").collect()}
+    # the scoring profile wants a numeric age: a bucket text breaks it, "60" passes; 12 procedures is in 0..20
+    assert scoring["1"].violations == ["age:range"]
+    assert scoring["2"].violations == ["time_in_hospital:range"]
