@@ -12,7 +12,7 @@ from carepulse.functions.records import default_fields, format_pct, predict_labe
 from carepulse.operators.clean import drop_all_null, drop_target, distinct_rows
 from carepulse.plans.catalog import register
 from carepulse.plans.standins import (
-    ENCOUNTERS_SQL, PREDICTIONS_SQL, encounters, predictions, table,
+    ENCOUNTER_STANDIN_COLUMNS, ENCOUNTERS_SQL, PREDICTIONS_SQL, encounters, predictions, table,
 )
 from carepulse.schemas import (
     ENCOUNTER_COLUMNS, FEATURE_COLUMNS, RECORD_DEFAULTS, VALUE_MAPS, quote,
@@ -109,9 +109,7 @@ def q_fill_zero(spark, sf):
 
 # --- the full encoder (P3-P9 together), 49 features ------------------------
 def _encode_sql(insulin: bool, numeric: str) -> str:
-    present = set(ENCOUNTER_COLUMNS[:0]) | {
-        "encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
-        "num_lab_procedures", "diag_1", "diag_2", "insulin", "change", "diabetesMed", "readmitted"}
+    present = set(ENCOUNTER_STANDIN_COLUMNS)
     typ = "DOUBLE" if numeric == "double" else "INTEGER"
     cols = []
     for c in FEATURE_COLUMNS:
@@ -206,8 +204,7 @@ def q_distinct_rows(spark, sf):
 
 # --- P22 ----------------------------------------------------------------------
 def _default_sql() -> str:
-    present = {"encounter_id", "patient_nbr", "race", "gender", "age", "time_in_hospital",
-               "num_lab_procedures", "diag_1", "diag_2", "insulin", "change", "diabetesMed", "readmitted"}
+    present = set(ENCOUNTER_STANDIN_COLUMNS)
     cols = []
     for c in ENCOUNTER_COLUMNS:
         base = _dq(c) if c in present else "CAST(NULL AS VARCHAR)"
@@ -244,3 +241,31 @@ def q_format_pct(spark, sf):
     p = predictions(spark, sf)
     c = F.col("readmission_probability_pct")
     return p.select("encounter_id", format_pct(c, 2).alias("pct_2"), format_pct(c, 1).alias("pct_1"))
+
+
+def _validate_sql() -> str:
+    from carepulse import schemas as S
+    present = set(ENCOUNTER_STANDIN_COLUMNS)
+    allowed = {"race": S.RACE_VALUES, "gender": S.GENDER_VALUES, "age": S.AGE_VALUES,
+               "insulin": S.INSULIN_VALUES}
+    rules = []
+    for c, vals in allowed.items():
+        if c in present:
+            lst = ", ".join(_sql_str(v) for v in vals)
+            rules.append((f"{c}:domain", f"{_dq(c)} IS NOT NULL AND {_dq(c)} NOT IN ({lst})"))
+    for c, (lo, hi) in S.FORM_RANGES.items():
+        if c in present:
+            num = f"TRY_CAST({_dq(c)} AS DOUBLE)"
+            rules.append((f"{c}:range", f"{_dq(c)} IS NOT NULL AND ({num} IS NULL OR {num} < {lo} OR {num} > {hi})"))
+    rules.sort()
+    cases = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rules)
+    anyv = " OR ".join(f"({cond})" for _, cond in rules)
+    return _ENC + f"SELECT encounter_id, concat_ws(',', {cases}) AS violations, NOT ({anyv}) AS is_valid FROM e"
+
+
+@register("validate_encounters", _validate_sql())
+def q_validate_encounters(spark, sf):
+    """P23 on encounter records with the intake-form rules."""
+    from carepulse.functions.quality import validate_encounters
+    v = validate_encounters(encounters(spark, sf))
+    return v.select("encounter_id", F.concat_ws(",", "violations").alias("violations"), "is_valid")
