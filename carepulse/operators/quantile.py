@@ -42,7 +42,7 @@ class _Cell:
         return (self.name, self.conds)
 
     def predicate(self) -> Column:
-        p = F.col("name") == F.lit(self.name)
+        p = (F.col("name") == F.lit(self.name)) & _finite(F.col("v"))
         for lo, w, b in self.conds:
             p = p & (_bucket(F.col("v"), lo, w) == F.lit(b))
         return p
@@ -52,6 +52,10 @@ class _Cell:
         return self.vmax / BINS - self.vmin / BINS
 
 
+def _finite(v: Column) -> Column:
+    return (v != F.lit(math.inf)) & (v != F.lit(-math.inf))
+
+
 def _cell_id(cells: list[_Cell]) -> Column:
     e = None
     for i, c in enumerate(cells):
@@ -60,9 +64,17 @@ def _cell_id(cells: list[_Cell]) -> Column:
 
 
 def column_stats(long: DataFrame) -> dict:
-    """name -> Row(n, lo, hi) of a (name, v) frame: one scan, one row per column."""
+    """name -> Row(n, neg_inf, pos_inf, lo, hi) of a (name, v) frame: one scan, one row per column.
+
+    lo / hi are over the finite values; infinities are counted apart (they sit
+    at the two ends of the order and never enter a bucket).
+    """
+    v = F.col("v")
+    fin = _finite(v)
     return {r["name"]: r for r in long.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+        F.count(F.lit(1)).alias("n"), F.count_if(v == F.lit(-math.inf)).alias("neg_inf"),
+        F.count_if(v == F.lit(math.inf)).alias("pos_inf"),
+        F.min(F.when(fin, v)).alias("lo"), F.max(F.when(fin, v)).alias("hi")).collect()}
 
 
 def rank_values(long: DataFrame, wanted: dict[str, Sequence[int]],
@@ -70,16 +82,24 @@ def rank_values(long: DataFrame, wanted: dict[str, Sequence[int]],
     """Exact value at each 0-based rank of each column of a (name, v) frame (NULLs already removed)."""
     stats = stats if stats is not None else column_stats(long)
     pending: dict[tuple[str, int], tuple[_Cell, int]] = {}
+    done_early: dict[tuple[str, int], float] = {}
     for name, ranks in wanted.items():
         s = stats.get(name)
         if s is None:
             continue
-        root = _Cell(name, (), int(s["n"]), float(s["lo"]), float(s["hi"]))
+        n, neg, pos = int(s["n"]), int(s["neg_inf"]), int(s["pos_inf"])
+        finite = n - neg - pos
+        root = _Cell(name, (), finite, float(s["lo"]) if finite else 0.0, float(s["hi"]) if finite else 0.0)
         for r in ranks:
-            if not 0 <= r < root.count:
-                raise ValueError(f"rank {r} outside 0..{root.count - 1} for {name}")
-            pending[(name, r)] = (root, r)
-    done: dict[tuple[str, int], float] = {}
+            if not 0 <= r < n:
+                raise ValueError(f"rank {r} outside 0..{n - 1} for {name}")
+            if r < neg:
+                done_early[(name, r)] = -math.inf
+            elif r >= neg + finite:
+                done_early[(name, r)] = math.inf
+            else:
+                pending[(name, r)] = (root, r - neg)
+    done: dict[tuple[str, int], float] = dict(done_early)
     to_collect: dict[tuple[str, int], tuple[_Cell, int]] = {}
     for _ in range(MAX_ROUNDS):
         refine: dict[tuple[str, int], tuple[_Cell, int]] = {}

@@ -95,6 +95,8 @@ def test_histogram_refinement_rounds(spark, monkeypatch):
         "wide": [rnd.choice([-1e300, 1e300, 0.0]) for _ in range(50)] + [rnd.gauss(0, 1) for _ in range(551)],
         "ints": [float(rnd.randint(0, 3)) for _ in range(601)],
         "even": [rnd.uniform(0, 1) for _ in range(600)] + [None],
+        "infs": [float("inf")] * 100 + [float("-inf")] * 50 + [rnd.uniform(-3, 3) for _ in range(451)],
+        "toppos": [float("inf")] * 400 + [rnd.uniform(-3, 3) for _ in range(201)],
     }
     rows = list(zip(*cols.values()))
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
