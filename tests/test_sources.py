@@ -42,7 +42,7 @@ def test_header_dir_rejects_reordered_header(spark, scratch):
 def test_header_dir_absent_or_empty_is_quiet(spark, scratch):
     assert read_header_dir(spark, scratch("none")).count() == 0
     empty = scratch("empty")
-    os.makedirs(empty)
+    spark.createDataFrame([], "a string").write.csv(empty)  # folder exists, holds no data file
     assert read_header_dir(spark, empty).count() == 0
 
 
