@@ -105,16 +105,29 @@ def q_feature_importance(spark, sf):
     return top_k(imp, 15, "importance", ["feature"]).select("feature", F.round("importance", 6).alias("importance"))
 
 
-@register("holdout_report")
-def q_holdout_report(spark, sf):
-    """M8: classification report of the forest on the hold-out split (labels as text)."""
+def _report(spark, sf, split: str | None):
     model = trained_model(spark, sf)
     labels = model.stages[0].labelsArray[0]
-    s = score(model, encoded_encounters(spark, sf).where(F.col("split") == "test"), FEATURES,
-              keep=["readmitted"])
+    data = encoded_encounters(spark, sf)
+    if split is not None:
+        data = data.where(F.col("split") == split)
+    s = score(model, data, FEATURES, keep=["readmitted"])
     name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("readmission_prediction") + 1)
     rep = classification_report(s.withColumn("predicted", name), "readmitted", "predicted")
-    return rep.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+    return rep.select(F.lit(split or "all").alias("split"), "label",
+                      *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@register("holdout_report")
+def q_holdout_report(spark, sf):
+    """M8: classification report of the forest on the hold-out split (labels as text)."""
+    return _report(spark, sf, "test")
+
+
+@register("full_data_report")
+def q_full_data_report(spark, sf):
+    """The same report on every row, training rows included, labelled split=all."""
+    return _report(spark, sf, None)
 
 
 @register("holdout_auc")
