@@ -197,18 +197,43 @@ def keyed_upsert_sink(path: str, key: str, order_col: str):
     return sink
 
 
-def read_upserted(spark: SparkSession, path: str, key: str, order_col: str) -> DataFrame:
+def _resolve_latest(df: DataFrame, key: str, order_col: str, keep_batch: bool = False) -> DataFrame:
+    rest = [c for c in df.columns if c not in (key, order_col, "batch_id")]
+    out = [order_col, "batch_id", *rest] if keep_batch else [order_col, *rest]
+    return (df.groupBy(key).agg(F.max(F.struct(order_col, "batch_id", *rest)).alias("_r"))
+              .select(key, *[F.col(f"_r.{c}").alias(c) for c in out]))
+
+
+def read_upserted(spark: SparkSession, path: str, key: str, order_col: str,
+                  snapshot: str | None = None, snapshot_upto: int | None = None) -> DataFrame:
     """K5 read side: the latest row per key over all landed batches.
 
     "Latest" is the record's own order column (a sequence number or offset),
     then the batch id: messages that arrive out of order across partitions
     can never let an older record win, and a re-sent record in a later batch
-    replaces its earlier copy.
+    replaces its earlier copy. With a `snapshot` from `compact_upserts`, only
+    the batches after `snapshot_upto` are read (partition pruning on
+    `batch_id`), so the read cost stops growing with the history.
     """
     df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c not in (key, order_col, "batch_id")]
-    return (df.groupBy(key).agg(F.max(F.struct(order_col, "batch_id", *rest)).alias("_r"))
-              .select(key, *[F.col(f"_r.{c}").alias(c) for c in [order_col, *rest]]))
+    if snapshot is not None:
+        df = df.where(F.col("batch_id") > F.lit(int(snapshot_upto))).unionByName(spark.read.parquet(snapshot))
+    return _resolve_latest(df, key, order_col)
+
+
+def compact_upserts(spark: SparkSession, path: str, key: str, order_col: str, out_path: str) -> int:
+    """K5 compaction: fold every landed batch into one snapshot at a new folder; returns the last batch id folded.
+
+    Writes to `out_path` (never to `path`), keeps each row's batch id so the
+    tie-break is unchanged; pass the result to `read_upserted(snapshot=...)`.
+    """
+    df = spark.read.parquet(path)
+    upto = df.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        raise ValueError("nothing landed yet")
+    _resolve_latest(df.where(F.col("batch_id") <= F.lit(int(upto))), key, order_col, keep_batch=True) \
+        .write.mode("errorifexists").parquet(out_path)
+    return int(upto)
 
 
 def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
