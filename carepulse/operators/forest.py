@@ -112,7 +112,18 @@ def score(model: PipelineModel, df: DataFrame, features: Sequence[str], keep: Se
 
 
 def feature_importance(spark, model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """M6: (feature, importance) from the fitted forest (one value per feature, a bounded list)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
+    """M6: (feature, importance): tree importances; else |coefficient| of class 0 (linear models); else 0.
+
+    One value per feature (a bounded list built on the driver from the model).
+    """
+    last = model.stages[-1]
+    if hasattr(last, "featureImportances"):
+        imp = last.featureImportances.toArray().tolist()
+    elif hasattr(last, "coefficientMatrix"):
+        imp = [abs(float(x)) for x in last.coefficientMatrix.toArray()[0].tolist()]
+    elif hasattr(last, "coefficients"):
+        imp = [abs(float(x)) for x in last.coefficients.toArray().tolist()]
+    else:
+        imp = [0.0] * len(features)
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)],
                                  "feature string, importance double")

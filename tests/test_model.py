@@ -46,3 +46,15 @@ def test_importance_covers_features(spark):
     imp = feature_importance(spark, trained_model(spark, SF_SMALL), FEATURES).collect()
     assert len(imp) == len(FEATURES)
     assert abs(sum(r.importance for r in imp) - 1.0) < 1e-6
+
+
+def test_importance_of_a_linear_model(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame([(float(i % 7), float(i % 3), float(i % 2)) for i in range(60)], "a double, b double, y double")
+    m = Pipeline(stages=[VectorAssembler(inputCols=["a", "b"], outputCol="f"),
+                         LogisticRegression(featuresCol="f", labelCol="y", maxIter=5)]).fit(df)
+    rows = {r.feature: r.importance for r in feature_importance(spark, m, ["a", "b"]).collect()}
+    coef = m.stages[-1].coefficientMatrix.toArray()[0]
+    assert rows == {"a": abs(coef[0]), "b": abs(coef[1])}
