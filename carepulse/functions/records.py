@@ -45,8 +45,9 @@ def predict_label(col: Column, high_risk: int = HIGH_RISK_CLASS) -> Column:
 
 
 def format_pct(col: Column, decimals: int = 2) -> Column:
-    """Number -> '12.35%' text with a fixed number of decimals (HALF_UP)."""
-    return F.format_string(f"%.{int(decimals)}f%%", F.round(col, int(decimals)))
+    """Number -> '12.35%' text with a fixed number of decimals (HALF_UP); NULL stays NULL."""
+    text = F.format_string(f"%.{int(decimals)}f%%", F.round(col, int(decimals)))
+    return F.when(col.isNotNull(), text)
 
 
 def row_to_csv(df: DataFrame, cols: Iterable[str] | None = None, alias: str = "line") -> DataFrame:

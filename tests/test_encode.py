@@ -112,3 +112,13 @@ def test_validate_encounter_profiles(spark):
     # the scoring profile wants a numeric age: a bucket text breaks it, "60" passes; 12 procedures is in 0..20
     assert scoring["1"].violations == ["age:range"]
     assert scoring["2"].violations == ["time_in_hospital:range"]
+
+
+def test_format_pct_and_label(spark):
+    from carepulse.functions.records import format_pct, predict_label
+    df = spark.createDataFrame([(12.345, 1), (None, None), (0.0, 2)], "p double, c int")
+    got = df.select(format_pct(F.col("p")).alias("t"), format_pct(F.col("p"), 1).alias("t1"),
+                    predict_label(F.col("c")).alias("l")).collect()
+    assert [r.t for r in got] == ["12.35%", None, "0.00%"]
+    assert [r.t1 for r in got] == ["12.3%", None, "0.0%"]
+    assert [r.l for r in got] == ["Readmitted", "Not Readmitted", "Not Readmitted"]
