@@ -15,7 +15,7 @@ from carepulse.plans.standins import (
     ENCOUNTER_STANDIN_COLUMNS, ENCOUNTERS_SQL, PREDICTIONS_SQL, encounters, predictions, table,
 )
 from carepulse.schemas import (
-    ENCOUNTER_COLUMNS, FEATURE_COLUMNS, RECORD_DEFAULTS, VALUE_MAPS, quote,
+    ENCOUNTER_COLUMNS, FEATURE_COLUMNS, RECORD_DEFAULTS, VALUE_MAPS,
 )
 
 _ENC = f"WITH e AS ({ENCOUNTERS_SQL})\n"
