@@ -141,8 +141,8 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
     labels the column was fitted on).
     """
     cols = list(cols) if cols is not None else string_columns(df)
+    # a fitted dictionary is a checkpointed (or caller-owned) frame: re-reading it is cheap
     dic = dictionary if dictionary is not None else label_dictionary(df, cols)
-    dic = dic.persist()
     sizes = {r["name"]: int(r["n"]) for r in dic.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
     small = sum(sizes.values()) <= BROADCAST_ROW_LIMIT
     out = df
