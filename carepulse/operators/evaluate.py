@@ -146,7 +146,8 @@ def roc_points(df: DataFrame, actual: str, score, classes: Sequence[str] | None
     """
     sc = _counts(df, actual, score, classes).withColumn("_desc", -F.col("score"))
     cum = running_sum(sc, ["_desc"], ["pos", "neg"], by=["class"], out=["tps", "fps"])
-    totals = sc.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    # totals from the materialised running-total table, not a second scan of the input
+    totals = cum.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return (cum.join(F.broadcast(totals), "class")  # one row per class
                .select("class", F.col("score").alias("threshold"),
                        F.coalesce(F.try_divide(F.col("fps").cast("double"), F.col("N")), F.lit(0.0)).alias("fpr"),
