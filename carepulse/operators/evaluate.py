@@ -41,6 +41,15 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(_q(label).alias(label)).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """(actual, predicted, n): the scored table read once, at most k*k rows, kept in memory."""
+    a, p = _q(actual).cast("string"), _q(predicted).cast("string")
+    return (df.select(a.alias("actual"), p.alias("predicted"))
+              .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
+              .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
+              .persist())
+
+
 def confusion_long(df: DataFrame, actual: str, predicted: str,
                    labels: Sequence[str] | None = None) -> DataFrame:
     """(actual, predicted, n) for every label pair of the sorted label union; zeros kept.
@@ -50,11 +59,7 @@ def confusion_long(df: DataFrame, actual: str, predicted: str,
     checked) and the counts are pivoted on it (absent pairs exist as 0) and
     unpivoted back to the long form.
     """
-    a, p = _q(actual).cast("string"), _q(predicted).cast("string")
-    counts = (df.select(a.alias("actual"), p.alias("predicted"))
-                .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
-                .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
-                .persist())
+    counts = _pair_counts(df, actual, predicted)
     if labels is None:
         labels = class_values(counts, "actual", "predicted")
     labels = list(labels)
@@ -67,29 +72,44 @@ def confusion_long(df: DataFrame, actual: str, predicted: str,
 
 def classification_report(df: DataFrame, actual: str, predicted: str,
                           labels: Sequence[str] | None = None) -> DataFrame:
-    """Per-class precision / recall / f1 / support + macro and weighted averages (0 when undefined)."""
-    cm = confusion_long(df, actual, predicted, labels)
-    by_actual = cm.groupBy(F.col("actual").alias("label")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("predicted_n"))
-    per = by_actual.join(by_pred, "label")
-    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted_n")), F.lit(0.0))
+    """Per-class precision / recall / f1 / support + macro and weighted averages (0 when undefined).
+
+    Every label of the union occurs as an actual or a predicted value, so the
+    per-label sums come straight from the (actual, predicted) counts: each
+    count row feeds its actual label (support, true positives) and its
+    predicted label (predicted total) in one aggregation, no join. `labels`
+    restricts / extends the report to a given label list.
+    """
+    counts = _pair_counts(df, actual, predicted)
+    fed = counts.select(F.inline(F.array(
+        F.struct(F.col("actual").alias("label"), F.col("n").alias("support"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("pn")),
+        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), F.col("n").alias("pn")))))
+    sums = fed.groupBy("label").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                    F.sum("pn").alias("pn"))
+    if labels is not None:
+        every = df.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+        sums = every.join(sums, "label", "left").fillna(0)
+    prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pn")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support")), F.lit(0.0))
-    per = per.select("label", prec.alias("precision"), rec.alias("recall"), "support")
+    per = sums.select("label", prec.alias("precision"), rec.alias("recall"), F.col("support").cast("long").alias("support"))
     f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                  F.col("precision") + F.col("recall")), F.lit(0.0))
     per = per.withColumn("f1", f1)
-    macro = per.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.sum("support").alias("support"), F.avg("f1").alias("f1"))
     tot = F.sum("support")
-    weighted = per.agg(F.lit("weighted avg").alias("label"),
-                       F.coalesce(F.try_divide(F.sum(F.col("precision") * F.col("support")), tot), F.lit(0.0)).alias("precision"),
-                       F.coalesce(F.try_divide(F.sum(F.col("recall") * F.col("support")), tot), F.lit(0.0)).alias("recall"),
-                       tot.alias("support"),
-                       F.coalesce(F.try_divide(F.sum(F.col("f1") * F.col("support")), tot), F.lit(0.0)).alias("f1"))
+
+    def wavg(c):
+        return F.coalesce(F.try_divide(F.sum(F.col(c) * F.col("support")), tot), F.lit(0.0))
+
+    summary = per.agg(F.inline(F.array(
+        F.struct(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
+                 F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), wavg("precision").alias("precision"),
+                 wavg("recall").alias("recall"), wavg("f1").alias("f1"), tot.alias("support")))))
     cols = ["label", "precision", "recall", "f1", "support"]
-    return per.select(*cols).unionByName(macro.select(*cols)).unionByName(weighted.select(*cols))
+    return per.select(*cols).unionByName(summary.select(*cols))
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -103,3 +103,31 @@ def test_histogram_refinement_rounds(spark, monkeypatch):
     got = {r["name"]: r["median"] for r in column_medians(df).collect()}
     for c, xs in cols.items():
         assert got[c] == statistics.median([x for x in xs if x is not None]), c
+
+
+def test_classification_report_vs_brute_force(spark):
+    from carepulse.operators.evaluate import classification_report, confusion_long
+    rnd = random.Random(9)
+    pairs = [(rnd.choice("abc"), rnd.choice("abcd")) for _ in range(400)]   # 'd' only ever predicted
+    df = spark.createDataFrame(pairs, "y string, p string")
+    rep = {r.label: r for r in classification_report(df, "y", "p").collect()}
+    labels = sorted({x for pr in pairs for x in pr})
+    stats = {}
+    for lab in labels:
+        tp = sum(1 for y, p in pairs if y == lab and p == lab)
+        sup = sum(1 for y, _ in pairs if y == lab)
+        pn = sum(1 for _, p in pairs if p == lab)
+        pr_ = tp / pn if pn else 0.0
+        rc = tp / sup if sup else 0.0
+        f1 = 2 * pr_ * rc / (pr_ + rc) if pr_ + rc else 0.0
+        stats[lab] = (pr_, rc, f1, sup)
+        r = rep[lab]
+        assert abs(r.precision - pr_) < 1e-12 and abs(r.recall - rc) < 1e-12 and abs(r.f1 - f1) < 1e-12
+        assert r.support == sup
+    n = len(pairs)
+    assert abs(rep["macro avg"].f1 - sum(v[2] for v in stats.values()) / len(labels)) < 1e-12
+    assert abs(rep["weighted avg"].recall - sum(v[1] * v[3] for v in stats.values()) / n) < 1e-12
+    cm = confusion_long(df, "y", "p").collect()
+    assert len(cm) == len(labels) ** 2 and sum(r.n for r in cm) == n
+    extra = {r.label for r in classification_report(df, "y", "p", labels=labels + ["z"]).collect()}
+    assert "z" in extra
