@@ -42,23 +42,22 @@ def validate_domain(df: DataFrame, allowed: Mapping[str, Sequence] | None = None
 def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A15 + A4: one row per column: name, type, rows, non_null, distinct (exact).
 
-    Counts come from one global aggregate; distinct values from one
-    (name, value) dedupe that is pre-aggregated per task before the shuffle.
+    One scan: every row is unpivoted to (column, value-as-text) pairs and a
+    single aggregation per column counts rows, non-NULL values and distinct
+    values (Spark plans the distinct count as a (column, value) pre-aggregation,
+    so a hot value is combined map-side before any shuffle).
     """
     cols = list(cols) if cols is not None else df.columns
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    counts = df.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.count(F.col(quote(c))).alias(f"n{i}") for i, c in enumerate(cols)])
-    counts_long = counts.select("rows", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.lit(types[c]).alias("type"), F.col(f"n{i}").alias("non_null"))
-        for i, c in enumerate(cols)])))
     pairs = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(quote(c)).cast("string").alias("v")) for c in cols])))
-    distinct = (pairs.where(F.col("v").isNotNull()).groupBy("name")
-                     .agg(F.count_distinct("v").alias("distinct")))
-    return (counts_long.join(distinct, "name", "left")
-                       .select("name", "type", "rows", "non_null",
-                               F.coalesce(F.col("distinct"), F.lit(0)).cast("long").alias("distinct")))
+    stats = pairs.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.count("v").alias("non_null"),
+                                      F.count_distinct("v").alias("distinct"))
+    kinds = df.sparkSession.createDataFrame([(c, types[c]) for c in cols], "name string, type string")
+    return (kinds.join(F.broadcast(stats), "name", "left")  # one row per column on both sides
+                 .select("name", "type", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+                         F.coalesce("non_null", F.lit(0)).cast("long").alias("non_null"),
+                         F.coalesce("distinct", F.lit(0)).cast("long").alias("distinct")))
 
 
 def validate_encounters(df: DataFrame, profile: str = "intake") -> DataFrame:
