@@ -19,7 +19,6 @@ from carepulse.session import new_scratch
 from carepulse.streaming.jobs import (
     CORRUPT, keyed_upsert_sink, land_raw, message_stream, parse_messages, parse_typed,
     progress_frame, read_upserted, run_available, score_partial_records, score_stream,
-    write_batch_partition,
 )
 from carepulse.schemas import FEATURE_COLUMNS
 
@@ -94,9 +93,9 @@ def land_messages(spark, sf, messages=None) -> str:
 
 
 def _stream_to_parquet(spark, frame) -> str:
+    """Append a stream to Spark's own Parquet file sink (exactly-once through its commit log)."""
     out, ckpt = new_scratch(spark, "sink"), new_scratch(spark, "ckpt")
-    writer = frame.writeStream.outputMode("append").foreachBatch(
-        lambda b, i: write_batch_partition(b, out, i, "parquet"))
+    writer = frame.writeStream.outputMode("append").format("parquet").option("path", out)
     run_available(writer, ckpt)
     return out
 
@@ -118,7 +117,7 @@ def q_stream_json_parse(spark, sf):
     landing = land_messages(spark, sf)
     parsed = parse_messages(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), _MSG_SCHEMA)
     parsed = parsed.withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
-    return spark.read.parquet(_stream_to_parquet(spark, parsed)).drop("batch_id")
+    return spark.read.parquet(_stream_to_parquet(spark, parsed))
 
 
 def vitals_messages(spark, sf):
@@ -143,7 +142,7 @@ FROM events
 def q_stream_json_typed(spark, sf):
     landing = land_messages(spark, sf, vitals_messages(spark, sf))
     typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
-    return spark.read.parquet(_stream_to_parquet(spark, typed.drop(CORRUPT))).drop("batch_id")
+    return spark.read.parquet(_stream_to_parquet(spark, typed.drop(CORRUPT)))
 
 
 @register("stream_land_raw", "WITH " + _MSG_CTE + """
@@ -260,7 +259,7 @@ def q_stream_vitals_score(spark, sf):
     typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
     keep = [f.name for f in VITALS_SCHEMA.fields]
     scored = score_partial_records(typed, rule_scorer, FEATURE_COLUMNS, keep)
-    return spark.read.parquet(_stream_to_parquet(spark, scored)).drop("batch_id")
+    return spark.read.parquet(_stream_to_parquet(spark, scored))
 
 
 @register("stream_score_forest")
