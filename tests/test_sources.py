@@ -127,3 +127,11 @@ def test_strict_encode_and_decode(spark):
     with pytest.raises(ValueError):
         encode_strict(spark.createDataFrame([("Trauma",)], "label string"), dim, "label", "label", "id", "code")
     assert decode(df, dim, "label").first().id == 2
+
+
+def test_publish_keyed_messages_with_limit(spark, scratch):
+    df = spark.createDataFrame([(i, f"p{i % 2}") for i in range(10)], "encounter_id int, patient_nbr string")
+    msgs = publish_json(df.orderBy("encounter_id"), scratch("pub"), key_col="encounter_id", limit=3)
+    rows = msgs.collect()
+    assert msgs.columns == ["key", "value"] and len(rows) == 3
+    assert rows[0].key == "0" and rows[0].value == '{"encounter_id":0,"patient_nbr":"p0"}'
