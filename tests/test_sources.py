@@ -135,3 +135,11 @@ def test_publish_keyed_messages_with_limit(spark, scratch):
     rows = msgs.collect()
     assert msgs.columns == ["key", "value"] and len(rows) == 3
     assert rows[0].key == "0" and rows[0].value == '{"encounter_id":0,"patient_nbr":"p0"}'
+
+
+def test_code_lookup_file_with_crlf(spark, tmp_path):
+    p = tmp_path / "ids_crlf.csv"
+    p.write_bytes(LOOKUP_TEXT.replace("\n", "\r\n").encode())
+    rows = read_code_lookups(spark, str(p)).collect()
+    by = {(r.lookup, r.id): r.description for r in rows}
+    assert len(rows) == 7 and by[("admission_source_id", 4)] == "Transfer from a hospital"
