@@ -5,7 +5,8 @@ Encoding a normalised text:
 1. The text is cut where no piece of the vocabulary can reach across: before a run of the space mark, and
    around characters that no piece holds. Pieces on both sides of such a cut never merge, so each part is
    encoded alone, and equal parts (words) are encoded once per worker.
-2. In a part, an Aho-Corasick automaton over all pieces lists the pieces that start at each place.
+2. In a part, the trie of an Aho-Corasick automaton over all pieces gives the longest piece at a place; the
+   shorter ones follow from it by a table (the next shorter piece that a piece begins with).
 3. Backtracking takes the longest piece at the current place that is *compatible* with the piece before it:
    merging the two pieces' characters anew by score must give exactly these two pieces. A sequence whose
    neighbours are all compatible is the merge result, and a place that one compatible sequence cannot be
@@ -35,23 +36,27 @@ from pyspark.sql import functions as F
 from carepulse.llm.common import id_text
 
 MARK = "▁"
-ALONE = 0xFFFFFFFF
+ALONE, UNKNOWN = 0xFFFFFFFF, -0xFFFFFFFF
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-#: Entries that a worker keeps of encoded words and of checked pairs; a full table is emptied, results stay the same.
+#: Entries in each half of what a worker keeps of encoded words and of checked pairs; results don't depend on it.
 CACHE_ENTRIES = 400_000
 
 
 class _Table(dict):
-    """A dict that computes what it lacks and starts again when full."""
+    """A dict that computes what it lacks; when full it becomes the older half, and what is used again moves back."""
 
     def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -90,10 +95,24 @@ class MergeCodec:
         self.text_of = {i: piece for piece, i in self.ids.items()}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (len(piece), i))
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
+        self.most = max(map(len, self.ids))
+        self.length = [len(self.text_of.get(i, "")) for i in range(sp.get_piece_size())]
+        # of all beginnings of pieces, the longest piece in it (UNKNOWN: none)
+        self.best: dict[str, int] = {}
+        for piece, i in sorted(self.ids.items()):  # a piece comes after those that it begins with
+            for n in range(1, len(piece)):
+                if piece[:n] not in self.best:
+                    self.best[piece[:n]] = self.ids.get(piece[:n], self.best.get(piece[:n - 1], UNKNOWN))
+            self.best[piece] = i
+        # the next shorter piece that a piece begins with; UNKNOWN: only its first character, which is none
+        self.shorter: list[int | None] = [None] * sp.get_piece_size()
+        for piece, i in self.ids.items():
+            if len(piece) > 1:
+                self.shorter[i] = next((j for n in range(len(piece) - 1, 0, -1) if (j := self.ids.get(piece[:n])) is not None), UNKNOWN)
         self.parts, self.inner = self._cutters()
-        self.compatible = _Table(self._compatible, 8 * cache_entries)  # by first id * 2**32 + second id
+        self.compatible = _Table(self._compatible, 2 * cache_entries)  # by first id * 2**32 + second id
         self.words = _Table(self._encode_word, cache_entries)
 
     def _cutters(self) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]] | None]:
@@ -134,47 +153,51 @@ class MergeCodec:
             return self.merged(second) == [second]
         return self.merged(self.text_of[first] + second) == [self.text_of[first], second]
 
+    def _fits(self, last: int, i: int) -> bool:
+        if i < 0:
+            return True
+        if last < 0 or last == ALONE:
+            return self.length[i] == 1 or self.compatible[ALONE << 32 | i]
+        return self.compatible[last << 32 | i]
+
     def backtrack(self, part: str) -> list[int]:
         """The piece ids of one part; a character that is no piece is minus its code point, minus 1."""
-        n = len(part)
-        starts: list[list | None] = [None] * (n + 1)
-        for end, match in self.automaton.iter(part):  # by rising end, so each list is by rising length
-            at = end - match[0] + 1
-            if starts[at] is None:
-                starts[at] = [match]
-            else:
-                starts[at].append(match)
-        for at in range(n):
-            if starts[at] is None:
-                starts[at] = [(1, -1 - ord(part[at]))]
-            elif starts[at][0][0] != 1:
-                starts[at].insert(0, (1, -1 - ord(part[at])))
-        compatible = self.compatible
-        failed = 0  # a bitfield of places
+        n, length, shorter, compatible, best = len(part), self.length, self.shorter, self.compatible, self.best
+        reach, most = self.automaton.longest_prefix, self.most
+        failed: bytearray | None = None  # a bitfield of places
         ids: list[int] = []
-        back: list[tuple[int, int]] = []  # place, index of the match taken there
-        place, options = 0, starts[0]
-        k = len(options)
-        while place < n:
-            last = ids[-1] if ids else ALONE
-            while k:
-                k -= 1
-                length, i = options[k]
-                if failed >> (place + length) & 1:
-                    continue
-                if i < 0 or last < 0 or (compatible[last << 32 | i] and (last != ALONE or length == 1 or compatible[ALONE << 32 | i])):
-                    ids.append(i)
-                    back.append((place, k))
-                    place += length
-                    options = starts[place]
-                    k = len(options) if options else 0
-                    break
+        places: list[int] = []
+        place, last = 0, ALONE
+        i: int | None = best[ahead[:k]] if (k := reach(ahead := part[:most])) else -1 - ord(part[0])
+        if i == UNKNOWN:
+            i = -1 - ord(part[0])
+        while True:
+            while i is not None:
+                end = place + length[i] if i >= 0 else place + 1
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if (compatible[last << 32 | i] if i >= 0 <= last < ALONE else self._fits(last, i)):
+                        break
+                i = shorter[i] if i >= 0 else None
+                if i == UNKNOWN:
+                    i = -1 - ord(part[place])
+            if i is not None:
+                ids.append(i)
+                places.append(place)
+                if end == n:
+                    return ids
+                place, last = end, i
+                i = best[ahead[:k]] if (k := reach(ahead := part[place:place + most])) else -1 - ord(part[place])
+                if i == UNKNOWN:
+                    i = -1 - ord(part[place])
             else:
-                failed |= 1 << place
-                place, k = back.pop()
-                ids.pop()
-                options = starts[place]
-        return ids
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
+                failed[place >> 3] |= 1 << (place & 7)
+                place, i = places.pop(), ids.pop()
+                last = ids[-1] if ids else ALONE
+                i = shorter[i] if i >= 0 else None
+                if i == UNKNOWN:
+                    i = -1 - ord(part[place])
 
     def _encode_word(self, word: str) -> bytes:
         if self.inner is not None and len(parts := self.inner(word)) > 1:
