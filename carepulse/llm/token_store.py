@@ -23,7 +23,11 @@ compressed record in its block. Extra input columns are left behind.
 from __future__ import annotations
 
 import hashlib
+import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +45,9 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
 #: Ids in a block before it is closed (a longer document makes a longer block).
 BLOCK_IDS = 1_000_000
 LEVEL = 3
-CACHE_ENTRIES = 300_000
+#: Words in each half of what a worker keeps; results don't depend on it.
+CACHE_ENTRIES = 400_000
+LITTLE = sys.byteorder == "little" and array("H").itemsize == 2 and array("I").itemsize == 4
 
 BLOCKS = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -54,57 +60,76 @@ BLOCKS = T.StructType([
 
 
 class WordTokens:
-    """A byte-level BPE tokenizer, with the ids of words (cut before single spaces) kept by the worker.
+    """A byte-level BPE tokenizer, with the ids of words kept by the worker.
 
-    The byte-level splitting pattern never holds a space after a character that is no white space, so a text
-    can be cut there. A text with runs of white space around spaces is encoded in one piece instead.
+    The byte-level splitting pattern never holds a space after a character that is no white space, so a text can
+    be cut there, and a word also between a letter and a closing mark and before a line end. A text with runs of
+    white space around spaces is encoded in one piece instead.
     """
 
+    BEFORE = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace()) + ("\x00",)  # runs of white space up to a space
+    INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[,.;:!?])|(?<=\S)(?=\n)")
+
     def __init__(self, file: str, cache_entries: int = CACHE_ENTRIES):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        pre = self.tokenizer.pre_tokenizer
-        self.cuts = "ByteLevel" in repr(pre) and "add_prefix_space=False" in repr(pre) and self.tokenizer.normalizer is None
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
+        pre = repr(self.tokenizer.pre_tokenizer)
+        self.cuts = "ByteLevel" in pre and "add_prefix_space=False" in pre and self.tokenizer.normalizer is None
         self.most = cache_entries
         self.known: dict[str, bytes] = {}
-
-    def _fill(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.most:
-            self.known.clear()
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, dtype=self.dtype).tobytes()
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if LITTLE:
+            return [array(self.code, e.ids).tobytes() for e in found]
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+
+    def _learn(self, words: set[str]) -> None:
+        """Put all of ``words`` into what is known."""
+        if len(self.known) >= self.most:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        missing = words.difference(known)
+        again = [w for w in missing if w in older]
+        known.update((w, older[w]) for w in again)
+        missing.difference_update(again)
+        whole = {w: parts for w in missing if len(parts := self.INNER.split(w)) > 1}
+        if whole:
+            self._learn_parts({p for parts in whole.values() for p in parts})
+        single = [w for w in missing if w not in whole and w not in known]
+        known.update(zip(single, self._ids(single)))
+        for w, parts in whole.items():
+            known[w] = b"".join(map(known.__getitem__, parts))
+
+    def _learn_parts(self, parts: set[str]) -> None:
+        new = list(parts.difference(self.known))
+        self.known.update(zip(new, self._ids(new)))
+
+    def _plain(self, text: str) -> bool:
+        return bool(text) and text[0] != " " != text[-1] and not any(map(text.__contains__, self.BEFORE))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialised ids of each text."""
-        parts: list[list[str] | None] = []
-        for t in texts:
-            words = t.split(" ")
-            whole = not self.cuts or "" in words or any(map(_open, words))
-            parts.append([t] if whole else [words[0], *[" " + w for w in words[1:]]])
-        out = []
-        for words in parts:
-            if len(words) == 1:
-                ids = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)[0].ids if words[0] else []
-                out.append(np.array(ids, dtype=self.dtype).tobytes())
-                continue
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                missing = [w for w in dict.fromkeys(words) if w not in self.known]
-                self._fill(missing)
-                if any(w not in self.known for w in words):  # emptied meanwhile
-                    self._fill(list(dict.fromkeys(words)))
-                out.append(b"".join(map(self.known.__getitem__, words)))
+        """Serialised ids of each text; a few texts at a time, so that memory stays small."""
+        out: list[bytes] = []
+        for at in range(0, len(texts), 50):
+            cut: list[list[str] | None] = []
+            for t in texts[at:at + 50]:
+                cut.append(t.replace(" ", "\x00 ").split("\x00") if self.cuts and self._plain(t) else None)
+            words: set[str] = set()
+            for c in cut:
+                if c:
+                    words.update(c)
+            self._learn(words)
+            for t, c in zip(texts[at:at + 50], cut):
+                out.append(b"".join(map(self.known.__getitem__, c)) if c else self._ids([t])[0] if t else b"")
         return out
 
 
-def _open(word: str) -> bool:
-    """A word that ends in white space: a cut after it would fall inside a run."""
-    return word[-1].isspace()
-
-
 _LOADED: dict[str, WordTokens] = {}
 
 
