@@ -46,7 +46,7 @@ SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
 BLOCK_IDS = 1_000_000
 LEVEL = 3
 #: Words in each half of what a worker keeps; results don't depend on it.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 350_000
 LITTLE = sys.byteorder == "little" and array("H").itemsize == 2 and array("I").itemsize == 4
 
 BLOCKS = T.StructType([
@@ -68,6 +68,7 @@ class WordTokens:
     """
 
     BEFORE = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace()) + ("\x00",)  # runs of white space up to a space
+    CLOSING = frozenset(",.;:!?")
     INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[,.;:!?])|(?<=\S)(?=\n)")
 
     def __init__(self, file: str, cache_entries: int = CACHE_ENTRIES):
@@ -98,13 +99,13 @@ class WordTokens:
         again = [w for w in missing if w in older]
         known.update((w, older[w]) for w in again)
         missing.difference_update(again)
-        whole = {w: parts for w in missing if len(parts := self.INNER.split(w)) > 1}
+        whole = {w: parts for w in missing if (w[-1] in self.CLOSING or "\n" in w) and len(parts := self.INNER.split(w)) > 1}
         if whole:
             self._learn_parts({p for parts in whole.values() for p in parts})
         single = [w for w in missing if w not in whole and w not in known]
         known.update(zip(single, self._ids(single)))
         for w, parts in whole.items():
-            known[w] = b"".join(map(known.__getitem__, parts))
+            known[w] = known[parts[0]] + known[parts[1]] if len(parts) == 2 else b"".join(map(known.__getitem__, parts))
 
     def _learn_parts(self, parts: set[str]) -> None:
         new = list(parts.difference(self.known))
