@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm import sentencepiece_bpe, token_store
+from carepulse.llm import (
+    decontamination, importance_resampling, jaccard_join, learned_index, license_scan, pii_scan, secret_scan, sentencepiece_bpe,
+    token_store, url_filter,
+)
 from carepulse.llm.common import register, table
+from carepulse.llm.spans import listed
 from carepulse.session import new_scratch
 
 
+#: The URL rules of op5 as (verdict, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@register("op1_importance_resampling")
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -19,8 +32,50 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+@register("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 @register("op7_token_store")
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", token_store.crc32("ids").alias("ids_crc32"))
+
+
+@register("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, url_filter.fit(url_filter.labelled_urls(spark)))
+
+
+@register("op6_learned_index")
+def op6_learned_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = learned_index.Index(table(spark, sf_dir, "embeddings"))
+    return index.search(index.rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@register("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[_count("base", k) for k in ("assign", "access", "hex")], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@register("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_pii_scan")
+def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[_count("base", k) for k in ("email", "ip", "card", "phone")], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
