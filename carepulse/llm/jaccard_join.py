@@ -19,8 +19,9 @@ Two documents link when the Jaccard similarity of their sets of distinct word sh
    pairs from different components that share enough prefix shingles are verified. So every link between
    different components is found, and none inside one is needed for the classes (``links`` gives all of them).
 
-Candidates are verified on the whole sets; these are read for documents with candidates only (a fixed-size
-bitmap of their signatures travels to the tasks, so the texts are not shuffled).
+Candidates are verified on the whole sets; these are read for documents in candidate pairs only (a fixed-size
+bitmap of their signatures travels to the tasks, so the texts are not shuffled). Prefix tokens that occur once in
+the corpus are mostly dropped before any posting is shuffled, by a bitmap of the cells that were met twice.
 
 Defined results: null or empty texts and texts without words have an empty set and link with nothing; fewer
 words than a shingle make one shingle of the whole sequence; rows of equal id are judged each by its own text;
@@ -45,6 +46,8 @@ from carepulse.llm.components import components
 
 #: Cells of the counting sketch (4 bytes each on the driver and in each worker) and bits of the bitmap.
 SKETCH_BITS, BITMAP_BITS = 22, 27
+#: Cells in which prefix tokens are counted to find those that occur twice.
+CELL_BITS = 28
 BLOCK = 1 << 16
 #: Most prefix matches that a document may ask for, and the cost of verifying a pair in postings read.
 MAX_MATCHES, VERIFY_COST = 4, 20.0
@@ -145,20 +148,23 @@ def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) ->
     return grams[order[:n - need + matches]], matches, int(min(held[:n - need + 1].mean(), (1 << 24) - 1))
 
 
-def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """Rows (key, meta, tokens) for each set: meta packs size, matches asked for and commonness."""
+def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, first: np.ndarray) -> DataFrame:
+    """Rows (key, meta, tokens) for each set: meta packs size, matches asked for and commonness.
+
+    Of the documents with one set only the first is read (marked in the bitmap ``first``; a few others may pass by chance,
+    and a row twice only makes a count of matches too large).
+    """
     noise = float(sketch.sum(dtype=np.float64) / len(sketch))
     noise += 2 * noise ** 0.5
-    counts = docs.sparkSession.sparkContext.broadcast(sketch)
+    counts = docs.sparkSession.sparkContext.broadcast((sketch, first))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = counts.value
+        held, marks = counts.value
         for batch in batches:
-            keys, metas, tokens, done = [], [], [], set()
-            for text in batch.column("text").to_pylist():
+            keys, metas, tokens = [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
-                if len(grams) and (key := _key(grams)) not in done:
-                    done.add(key)
+                if len(grams) and _marked(marks, (key := _key(grams)) ^ doc_id, BITMAP_BITS):
                     own, matches, common = prefix(grams, held, noise, percent)
                     keys.append(key)
                     metas.append(len(grams) << 32 | matches << 24 | common)
@@ -170,39 +176,64 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> D
     return docs.mapInArrow(scan, "key long, meta long, tokens array<long>")
 
 
-def _bitmap(needed: DataFrame) -> np.ndarray:
-    """Fixed-size bitmap of (key, doc_id) marks."""
-    word = F.col("mark").bitwiseAND((1 << BITMAP_BITS) - 1)
-    rows = (needed.select(F.shiftright(word, 6).alias("w"), F.expr(f"shiftleft(1L, cast(mark & 63 as int))").alias("bit"))
+def _marked(bits: np.ndarray, mark: int, size: int) -> int:
+    mark &= (1 << size) - 1
+    return int(bits[mark >> 6]) >> (mark & 63) & 1
+
+
+def _bitmap(marks: DataFrame, size: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of 2**size bits with the low bits of each row's ``mark`` set; at most its words reach the driver."""
+    word = F.col("mark").bitwiseAND((1 << size) - 1)
+    rows = (marks.select(F.shiftright(word, 6).alias("w"), F.expr("shiftleft(1L, cast(mark & 63 as int))").alias("bit"))
             .groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas())
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
+    out = np.zeros(1 << (size - 6), dtype=np.uint64)
     out[rows["w"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
     return out
 
 
+def shared_only(postings: DataFrame) -> DataFrame:
+    """``postings`` (key, meta, tokens) without most tokens that no other row has.
+
+    Tokens are counted by cell, of which there are 2**CELL_BITS: only the small cell numbers are shuffled. Cells met
+    twice come back as a bitmap; with very many tokens it fills up and lets all pass, which is as right.
+    """
+    shift = 64 - CELL_BITS
+    cells = postings.select(F.explode(F.transform("tokens", lambda t: F.shiftrightunsigned(t, shift).cast("int"))).alias("cell"))
+    twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bits = postings.sparkSession.sparkContext.broadcast(_bitmap(twice.select(F.col("cell").cast("long").alias("mark")), CELL_BITS))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bits.value
+        for batch in batches:
+            lists = batch.column("tokens")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) if len(batch) else np.zeros(0, np.uint64)
+            row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False)) if len(batch) else np.zeros(0, int)
+            cell = flat >> np.uint64(shift)
+            keep = (held[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+            at = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("meta").take(at), pa.array(flat[keep].view(np.int64))], ["key", "meta", "token"])
+
+    return postings.mapInArrow(scan, "key long, meta long, token long")
+
+
 def whole_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
-    """(key, grams) of the documents that ``needed`` (key, doc_id) names, and a few others by chance."""
+    """(key, grams) of the documents that ``needed`` (key, doc_id) names, and a few others by chance; no text is shuffled."""
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(needed.select((F.col("key").bitwiseXOR(F.col("doc_id"))).alias("mark"))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bits.value
         for batch in batches:
-            keys, ids, sets = [], [], []
+            keys, sets = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
-                if doc_id is None or not len(grams):
-                    continue
-                key = _key(grams)
-                mark = (key ^ doc_id) & ((1 << BITMAP_BITS) - 1)
-                if int(held[mark >> 6]) >> (mark & 63) & 1:
+                if len(grams) and _marked(held, (key := _key(grams)) ^ doc_id, BITMAP_BITS):
                     keys.append(key)
-                    ids.append(doc_id)
                     sets.append(grams.view(np.int64))
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             values = pa.array(np.concatenate(sets) if sets else np.array([], dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["key", "doc_id", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["key", "grams"])
 
-    return docs.mapInArrow(scan, "key long, doc_id long, grams array<long>").join(needed, ["key", "doc_id"], "left_semi").dropDuplicates(["key"]).drop("doc_id")
+    return docs.mapInArrow(scan, "key long, grams array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -219,20 +250,29 @@ class Join:
 
     def __init__(self, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str):
         self.percent = percent
+        self.width = width
         rows = id_text(docs, id_col, text_col)
         scanned = stored(sets_and_sketch(rows, width), "sets")
         self.documents = scanned.where("counts is null").select("doc_id", "n", "key")
-        with_set = self.documents.where("n > 0 and doc_id is not null")
-        self.first = with_set.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-        postings = stored(prefixes(rows.where("doc_id is not null"), width, percent, _sketch(scanned)), "prefixes")
-        # a class has the same prefix in each of its documents: one row of each (token, class)
-        postings = postings.dropDuplicates(["key"]).select("key", "meta", F.explode("tokens").alias("token"))
+        self.rows = rows.where("doc_id is not null")
+        self.first = self.documents.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+        first = _bitmap(self.first.select((F.col("key").bitwiseXOR(F.col("doc_id"))).alias("mark")))
+        postings = shared_only(stored(prefixes(self.rows, width, percent, _sketch(scanned), first), "prefixes"))
+        postings = stored(postings, "postings")
         buckets = (postings.groupBy("token")
                    .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.max(F.struct(F.col("meta").bitwiseAND(0xFFFFFF).alias("c"), "key", "meta")).alias("hub"))
                    .where("low <> high").select("token", F.col("hub.key").alias("hub"), F.col("hub.meta").alias("hub_meta")))
         self.matched = stored(postings.join(buckets, "token"), "matched")
-        needed = self.matched.select("key").distinct().join(self.first, "key")
-        self.sets = stored(whole_sets(rows, width, needed), "whole")
+        self.sets: DataFrame | None = None
+
+    def _sets(self, pairs: DataFrame) -> DataFrame:
+        """The whole sets of all documents in ``pairs``; those that an earlier call has read are not read again."""
+        needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        if self.sets is not None:
+            needed = needed.join(self.sets.select("key").distinct(), "key", "left_anti")
+        new = stored(whole_sets(self.rows, self.width, needed.join(self.first, "key")), "whole")
+        self.sets = new if self.sets is None else self.sets.unionByName(new.join(self.sets.select("key").distinct(), "key", "left_anti"))
+        return self.sets
 
     def _fits(self, a: str, b: str):
         """The sizes allow a link."""
@@ -246,9 +286,10 @@ class Join:
                 .where(F.col("k") >= F.least(asked("ma"), asked("mb"))))
 
     def hub_links(self) -> DataFrame:
-        pairs = self.matched.where("key <> hub").where(self._fits("meta", "hub_meta")).select(
-            F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
-        return stored(verified(pairs, self.sets, self.percent), "links")
+        met = self.matched.where("key <> hub").where(self._fits("meta", "hub_meta")).select(
+            F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("hub").alias("b"), F.col("hub_meta").alias("mb"))
+        pairs = stored(self._shared(met).select("a", "b"), "pairs")
+        return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 
     def other_links(self, labels: DataFrame | None) -> DataFrame:
         """Links between documents of different labels (None: all links)."""
@@ -264,7 +305,8 @@ class Join:
         b = rows.select("token", F.col("key").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"), "main")
         pairs = a.join(b, "token").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
                                          & self._fits("ma", "mb"))
-        return stored(verified(self._shared(pairs), self.sets, self.percent), "links")
+        pairs = stored(self._shared(pairs).select("a", "b"), "pairs")
+        return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 
 
 def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
