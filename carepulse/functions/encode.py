@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import FractionalType, NumericType
 
 from carepulse.schemas import FEATURE_COLUMNS, NULL_MARKERS, VALUE_MAPS, quote
 
@@ -68,9 +68,14 @@ def apply_value_maps(df: DataFrame, maps: Mapping[str, tuple[Mapping[str, int],
 
 
 # --- P5 / P6 coercion ------------------------------------------------------
+# Decimal text only: the JVM parser alone would also take `250d`, `1f`, `0x1p3`, `NaN` and `Infinity`.
+_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+
+
 def coerce_double(col: Column) -> Column:
-    """Text -> DOUBLE, unparsable -> NULL (`250.83` stays 250.83, `V57` -> NULL)."""
-    return col.try_cast("double")
+    """Text -> finite DOUBLE, anything else -> NULL (`250.83` stays 250.83, `V57`, `250d`, `NaN`, `Infinity` -> NULL)."""
+    number = F.when(col.rlike(_NUMBER), col.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def coerce_int(col: Column) -> Column:
@@ -79,7 +84,7 @@ def coerce_int(col: Column) -> Column:
     A plain cast raises under ANSI and `try_cast('250.83' as int)` is NULL, so
     parse as DOUBLE first and truncate; out-of-range values become NULL.
     """
-    return col.try_cast("double").try_cast("int")
+    return coerce_double(col).try_cast("int")
 
 
 # --- P8 / P9 / P10 feature alignment ---------------------------------------
@@ -106,7 +111,7 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
     """P3 -> P4 -> P8/P9 -> P5|P6 -> P7 in a single projection.
 
     Returns `keep` columns (untouched) followed by the `features`, each a
-    non-null number of type `numeric` ("double" or "int"). Text columns go
+    finite non-null number of type `numeric` ("double" or "int"). Text columns go
     through the markers, maps and coercion; columns that already arrive as
     numbers (a numeric profile, a typed vitals record) are taken as they are,
     so a numeric age is an age, not an unknown bucket.
@@ -120,7 +125,10 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
         if name not in types:
             e = F.lit(fill)
         elif isinstance(types[name], NumericType):
-            e = F.coalesce(_c(name).cast(numeric), F.lit(fill))
+            own = _c(name)
+            if isinstance(types[name], FractionalType):  # NaN and the infinities are missing numbers
+                own = F.when(F.abs(own) < float("inf"), own)
+            e = F.coalesce(own.cast(numeric), F.lit(fill))
         else:
             raw = null_marker_expr(_c(name))
             if name in VALUE_MAPS and (insulin or name != "insulin"):

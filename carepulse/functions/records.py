@@ -15,26 +15,30 @@ from carepulse.schemas import (
 
 def default_fields(df: DataFrame, columns: Iterable[str] = ENCOUNTER_COLUMNS,
                    defaults: Mapping[str, str] = RECORD_DEFAULTS,
-                   id_columns: Iterable[str] = ("encounter_id", "patient_nbr")) -> DataFrame:
+                   id_columns: Iterable[str] = ("encounter_id", "patient_nbr"),
+                   sequence: Iterable[str] = ()) -> DataFrame:
     """Complete partial submissions to the full record.
 
     Present columns keep their value and fall back to the default when NULL;
     absent columns become the default (or NULL when there is none). A missing
-    id is derived from the record's content (64-bit hash of every present
-    field) instead of the wall clock: two different submissions within the
-    same second never collide, and a recomputed or replayed record gets the
-    same id again, so idempotent sinks stay idempotent.
+    id is a LONG (as text, like every field) hashed from the column's name, the
+    `sequence` columns (what tells equal submissions apart: partition and
+    offset of a topic, a line number) and the record's content, never the wall
+    clock: a replayed record gets the same id again, so idempotent sinks stay
+    idempotent, and the two ids of one record differ. `sequence` columns that
+    are no record fields are not returned.
     """
-    present = [c for c in df.columns]
+    seq = list(sequence)
+    present = [c for c in df.columns if c not in seq or c in set(columns)]
     ids = set(id_columns)
-    content = F.xxhash64(*[F.col(quote(c)) for c in present]) if present else F.lit(0)
+    content = [F.col(quote(c)) for c in [*seq, *present]]
     out = []
     for c in columns:
         base = F.col(quote(c)).cast("string") if c in present else F.lit(None).cast("string")
         if c in defaults:
             base = F.coalesce(base, F.lit(defaults[c]))
         elif c in ids:
-            base = F.coalesce(base, F.concat(F.lit("anon-"), F.hex(content)))
+            base = F.coalesce(base, F.shiftrightunsigned(F.xxhash64(F.lit(c), *content), 1).cast("string"))
         out.append(base.alias(c))
     return df.select(*out)
 
@@ -45,9 +49,32 @@ def predict_label(col: Column, high_risk: int = HIGH_RISK_CLASS) -> Column:
 
 
 def format_pct(col: Column, decimals: int = 2) -> Column:
-    """Number -> '12.35%' text with a fixed number of decimals (HALF_UP); NULL stays NULL."""
-    text = F.format_string(f"%.{int(decimals)}f%%", F.round(col, int(decimals)))
-    return F.when(col.isNotNull(), text)
+    """Number -> '12.35%' text; NULL stays NULL.
+
+    The number's exact binary value is rounded, exact halves to the even digit
+    (0.125 -> 0.12%, 2.675, which is a little less, -> 2.67%), as a format
+    string does outside the JVM. The side of the half that the number lies on
+    is found without error: it is split into two parts whose products with the
+    scale are exact.
+    """
+    scale = 10 ** int(decimals)
+    x = F.abs(col)
+    split = x * 134217729.0
+    high = split - (split - x)
+    low = x - high
+    k = F.floor(x * scale)
+
+    def past_half(n: Column) -> Column:  # sign: the number against (n + 1/2) / scale
+        return (high * (2 * scale) - (2 * n + 1)) + low * (2 * scale)
+
+    k = F.when(past_half(k - 1) < 0, k - 1).otherwise(k)
+    k = F.when((past_half(k) > 0) | ((past_half(k) == 0) & (k % 2 == 1)), k + 1).otherwise(k).cast("long")
+    digits = F.lpad(k.cast("string"), F.greatest(F.length(k.cast("string")), F.lit(int(decimals) + 1)), F.lit("0"))
+    point = F.length(digits) - int(decimals)
+    text = digits if decimals == 0 else F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(int(decimals))))
+    sign = F.when((col < 0), F.lit("-")).otherwise(F.lit(""))
+    exact = F.concat(sign, text, F.lit("%"))
+    return F.when(x < 1e12, exact).when(col.isNotNull(), F.format_string(f"%.{int(decimals)}f%%", col))
 
 
 def row_to_csv(df: DataFrame, cols: Iterable[str] | None = None, alias: str = "line") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carepulse.operators.ordered import BROADCAST_ROW_LIMIT, dense_index
+from carepulse.operators.ordered import dense_index
 from carepulse.operators.quantile import medians
 from carepulse.functions.encode import replace_null_markers
 from carepulse.schemas import UNMAPPED_TEXT_COLUMNS, quote
@@ -134,8 +134,8 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
                  unseen: int | str | None = None) -> DataFrame:
     """M1: replace each string column by its dense alphabetical code (INT).
 
-    The dictionary is built distributedly; it is broadcast only when its size
-    was counted and is under the limit, otherwise joined by shuffle. NULL stays
+    The dictionary is built distributedly and joined as Spark sees fit (it knows
+    the bytes of the checkpointed dictionary). NULL stays
     NULL; a value absent from a given dictionary gets `unseen`: NULL (default),
     a fixed code, or "keep" = one past the column's last code (the number of
     labels the column was fitted on).
@@ -143,13 +143,12 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
     cols = list(cols) if cols is not None else string_columns(df)
     # a fitted dictionary is a checkpointed (or caller-owned) frame: re-reading it is cheap
     dic = dictionary if dictionary is not None else label_dictionary(df, cols)
-    sizes = {r["name"]: int(r["n"]) for r in dic.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = sum(sizes.values()) <= BROADCAST_ROW_LIMIT
+    sizes = {r["name"]: int(r["n"]) for r in dic.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()} if unseen == "keep" else {}
     out = df
     for i, c in enumerate(cols):
         key = f"_k{i}"
         d = dic.where(F.col("name") == c).select(F.col("v").alias(key), F.col("code").cast("int").alias(f"_c{i}"))
-        out = out.join(F.broadcast(d) if small else d, _q(c) == F.col(key), "left")
+        out = out.join(d, _q(c) == F.col(key), "left")
         code = F.col(f"_c{i}")
         if unseen is not None:
             fallback = sizes.get(c, 0) if unseen == "keep" else int(unseen)

@@ -1,8 +1,8 @@
 """Model evaluation as DataFrames (A6-A13, M8): confusion matrix, report, accuracy, ROC, AUC.
 
 Every metric is an aggregation over an (actual, predicted[, score]) table of
-any size. Only the class list (a handful of labels; its size is checked) ever
-reaches the driver, to name pivot columns. ROC and AUC never sort the scored
+any size. Only A13, whose columns are the classes, brings the class list to the
+driver. ROC and AUC never sort the scored
 table in one task: they count per (class, score) first and take running
 totals over range partitions (operators.ordered).
 """
@@ -17,23 +17,18 @@ from pyspark.sql import functions as F
 from carepulse.operators.ordered import running_sum
 from carepulse.schemas import quote
 
-MAX_CLASSES = 10_000
-
 
 def _q(c: str) -> Column:
     return F.col(quote(c))
 
 
 def class_values(df: DataFrame, *cols: str) -> list:
-    """Sorted distinct labels over `cols` (checked to be a small set)."""
+    """Sorted distinct labels over `cols`, for callers that need them as column names."""
     u = None
     for c in cols:
         d = df.select(_q(c).cast("string").alias("label"))
         u = d if u is None else u.unionByName(d)
-    labels = u.where(F.col("label").isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r[0] for r in labels)
+    return sorted(r[0] for r in u.where(F.col("label").isNotNull()).distinct().collect())
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -42,32 +37,19 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def _pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """(actual, predicted, n): the scored table read once, at most k*k rows, kept in memory."""
+    """(actual, predicted, n): the scored table read once."""
     a, p = _q(actual).cast("string"), _q(predicted).cast("string")
     return (df.select(a.alias("actual"), p.alias("predicted"))
               .where(F.col("actual").isNotNull() & F.col("predicted").isNotNull())
-              .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
-              .persist())
+              .groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n")))
 
 
-def confusion_long(df: DataFrame, actual: str, predicted: str,
-                   labels: Sequence[str] | None = None) -> DataFrame:
-    """(actual, predicted, n) for every label pair of the sorted label union; zeros kept.
+def confusion_long(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """(actual, predicted, n) for every label pair that occurs; a pair that is absent has no rows.
 
-    The input is read once: one aggregation to (actual, predicted) counts (at
-    most k*k rows, kept in memory), from which the label list is taken (size
-    checked) and the counts are pivoted on it (absent pairs exist as 0) and
-    unpivoted back to the long form.
+    One aggregation of one scan, whatever the number of labels.
     """
-    counts = _pair_counts(df, actual, predicted)
-    if labels is None:
-        labels = class_values(counts, "actual", "predicted")
-    labels = list(labels)
-    wide = counts.groupBy("actual").pivot("predicted", labels).agg(F.sum("n"))
-    every = df.sparkSession.createDataFrame([(x,) for x in labels], "actual string")
-    wide = every.join(wide, "actual", "left").fillna(0)
-    long = wide.unpivot("actual", [F.col(quote(x)).alias(x) for x in labels], "predicted", "n")
-    return long.select("actual", "predicted", F.col("n").cast("long").alias("n"))
+    return _pair_counts(df, actual, predicted)
 
 
 def classification_report(df: DataFrame, actual: str, predicted: str,
@@ -113,9 +95,9 @@ def classification_report(df: DataFrame, actual: str, predicted: str,
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """A10: share of rows with actual == predicted."""
+    """A10: share of rows with actual == predicted, and `n`, the rows that have both."""
     hit = (_q(actual).cast("string") == _q(predicted).cast("string")).cast("double")
-    return df.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    return df.agg(F.avg(hit).alias("accuracy"), F.count(hit).alias("n"))
 
 
 def label_binarize(df: DataFrame, label: str, classes: Sequence[str] | None = None,
@@ -161,33 +143,59 @@ def roc_points(df: DataFrame, actual: str, score, classes: Sequence[str] | None
     """One-vs-rest ROC: per class and distinct threshold (descending), fpr and tpr.
 
     Every distinct score is a threshold (no collinear-point dropping); a row
-    means "predict positive when score >= threshold". `score` is one column
-    shared by all classes, or {class: column} (each class its own probability).
+    means "predict positive when score >= threshold". Each class starts at
+    (0, 0), the row whose threshold is NULL (above every score). `score` is one
+    column shared by all classes, or {class: column} (each class its own probability).
     """
     sc = _counts(df, actual, score, classes).withColumn("_desc", -F.col("score"))
     cum = running_sum(sc, ["_desc"], ["pos", "neg"], by=["class"], out=["tps", "fps"])
     # totals from the materialised running-total table, not a second scan of the input
     totals = cum.groupBy("class").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return (cum.join(F.broadcast(totals), "class")  # one row per class
-               .select("class", F.col("score").alias("threshold"),
+    start = totals.select("class", F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
+                          F.lit(0).cast("long").alias("tps"), F.lit(0).cast("long").alias("fps"))
+    return start.unionByName(cum.join(totals, "class").select("class", F.col("score").alias("threshold"),
                        F.coalesce(F.try_divide(F.col("fps").cast("double"), F.col("N")), F.lit(0.0)).alias("fpr"),
                        F.coalesce(F.try_divide(F.col("tps").cast("double"), F.col("P")), F.lit(0.0)).alias("tpr"),
                        F.col("tps").cast("long").alias("tps"), F.col("fps").cast("long").alias("fps")))
 
 
+def _mann_whitney(sc: DataFrame) -> DataFrame:
+    """(class, _u, P, N) of (class, score, pos, neg) rows."""
+    cum = running_sum(sc, ["score"], "neg", by=["class"], out="neg_le")
+    return cum.groupBy("class").agg(
+        F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)).alias("_u"),
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+
+
+def _mann_whitney_shared(df: DataFrame, actual: str, score: str, classes: Sequence[str] | None) -> DataFrame:
+    """The same for one score shared by all classes, without a row for each class and score.
+
+    One running total of all rows over the scores, and one of each class's own
+    rows where they occur: negatives up to a score = all up to it - own up to it.
+    """
+    y = _q(actual).cast("string")
+    pos = (df.where(_q(score).isNotNull() & y.isNotNull())
+             .groupBy(y.alias("class"), _q(score).cast("double").alias("score")).agg(F.count(F.lit(1)).alias("pos")))
+    pos = running_sum(pos, ["score"], "pos", by=["class"], out="pos_le")
+    every = running_sum(pos.groupBy("score").agg(F.sum("pos").alias("all")), ["score"], "all", out="all_le")
+    total = every.agg(F.max("all_le")).head()[0] or 0
+    own = pos if classes is None else pos.where(F.col("class").isin(list(classes)))
+    below = (F.col("all_le") - F.col("all")) - (F.col("pos_le") - F.col("pos"))
+    per = own.join(every, "score").groupBy("class").agg(
+        F.sum(F.col("pos") * (below + (F.col("all") - F.col("pos")) / 2.0)).alias("_u"), F.sum("pos").alias("P"))
+    return per.select("class", "_u", "P", (F.lit(total) - F.col("P")).alias("N"))
+
+
 def auc_ovr(df: DataFrame, actual: str, score, classes: Sequence[str] | None = None) -> DataFrame:
     """AUC per class (one-vs-rest, Mann-Whitney with half credit for ties) + macro average.
 
     AUC = sum over scores of pos(s) * (neg below s + neg(s) / 2) / (P * N).
-    A class without positives or negatives gets NULL (undefined) and is left
-    out of the macro average. `score` as in `roc_points`; with one probability
-    column per class this is the multi-class one-vs-rest macro AUC.
+    A class without negatives gets NULL (undefined) and is left out of the
+    macro average; one without positives has no row. `score` as in
+    `roc_points`; with one probability column per class this is the
+    multi-class one-vs-rest macro AUC.
     """
-    sc = _counts(df, actual, score, classes)
-    cum = running_sum(sc, ["score"], "neg", by=["class"], out="neg_le")
-    per = cum.groupBy("class").agg(
-        F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)).alias("_u"),
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    per = _mann_whitney(_class_score_counts(df, actual, score)) if isinstance(score, dict) else _mann_whitney_shared(df, actual, score, classes)
     per = per.select("class", F.try_divide(F.col("_u"), F.col("P") * F.col("N")).alias("auc"))
     macro = per.agg(F.lit("macro").alias("class"), F.avg("auc").alias("auc"))
     return per.unionByName(macro)

@@ -33,7 +33,7 @@ def _plain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        for c in df.columns])
 
 
-def build_pipeline(features: Sequence[str], *, num_trees: int = 100, max_depth: int = 10,
+def build_pipeline(features: Sequence[str], *, num_trees: int = 100, max_depth: int = 30,
                    seed: int = 42, scale: bool = False, max_bins: int = 32) -> Pipeline:
     """Assembler + optional scaler + M3 forest over an already indexed label column.
 

@@ -23,20 +23,6 @@ from pyspark.sql import functions as F
 
 from carepulse.session import scratch_root
 
-# Rows of a side table we accept to broadcast; the offsets table has at most
-# (range partitions + groups) rows, so this is only a guard.
-BROADCAST_ROW_LIMIT = 2_000_000
-# Inputs up to this many rows take one window per group (rows counted first).
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def _partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-
-
 def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | Sequence[str],
                 by: Sequence[str] = (), out: str | Sequence[str] = "_cum",
                 num_partitions: int | None = None) -> DataFrame:
@@ -52,30 +38,22 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], weight_col: str | Sequ
     if len(weights) != len(outs):
         raise ValueError("one output name per weight column")
     scratch_root(df.sparkSession)  # make sure a reliable checkpoint dir exists
-    n = _partitions(df, num_partitions)
     # The range bounds are sampled from the input and the checkpoint is written
     # after the job that computes it: keep both materialised so the (usually
     # aggregated) input is computed once.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if src.count() <= SINGLE_TASK_ROWS:
-        # Small input (a label dictionary, a few thousand thresholds): a plain
-        # window per group is cheaper than ranging; its size was just counted.
-        w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-        res = src.select("*", *[F.sum(wc).over(w).alias(o) for wc, o in zip(weights, outs)]).checkpoint(eager=True)
-        src.unpersist()
-        return res
-    staged = (src.repartitionByRange(n, *[F.col(c) for c in by + order_cols])
-                 .withColumn("_pid", F.spark_partition_id())
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+    cols = [F.col(c) for c in by + order_cols]
+    # without a number Spark sizes the ranges by the data (AQE joins small ones)
+    ranges = src.repartitionByRange(int(num_partitions), *cols) if num_partitions else src.repartitionByRange(*cols)
+    staged = ranges.withColumn("_pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     ranged = staged.checkpoint(eager=True)
     staged.unpersist()
     src.unpersist()
     totals = ranged.groupBy("_pid", *by).agg(*[F.sum(w).alias(f"_t{i}") for i, w in enumerate(weights)])
     before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # at most ranges + groups rows; whether to broadcast them is left to Spark, which knows their bytes
     offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}")
                                            for i in range(len(weights))])
-    if offsets.count() <= BROADCAST_ROW_LIMIT:
-        offsets = F.broadcast(offsets)
     local = Window.partitionBy("_pid", *by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     res = ranged.join(offsets, ["_pid", *by])
     for i, (w, o) in enumerate(zip(weights, outs)):

@@ -7,8 +7,8 @@ returns a fixed-size histogram (``BINS`` buckets per open cell): the bucket
 holding the wanted rank becomes the next round's cell, with the exact rank
 offset carried along. Buckets are contiguous value ranges (the bucket
 function is monotone in the value), so ranks stay exact; a cell whose
-values are all equal (a hot value) resolves at once, and a cell with at most
-``SMALL`` rows is finished by collecting its distinct values with counts.
+values are all equal (a hot value) resolves at once, and only a cell too narrow
+to divide (its ends are a few neighbouring doubles) is finished by its values.
 A round shrinks a cell's value range about ``BINS``-fold, so a few scans
 suffice; nothing proportional to the data ever reaches one task or the driver.
 """
@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
-SMALL = 100_000
 MAX_ROUNDS = 64
 
 
@@ -107,7 +106,7 @@ def rank_values(long: DataFrame, wanted: dict[str, Sequence[int]],
             w = cell.width()
             if cell.vmin == cell.vmax:
                 done[t] = cell.vmin
-            elif cell.count <= SMALL or not (w > 0 and math.isfinite(w)):
+            elif not (w > 0 and math.isfinite(w)) or cell.vmin + w == cell.vmin or cell.vmax - w == cell.vmax:
                 to_collect[t] = (cell, r)
             else:
                 refine[t] = (cell, r)
@@ -144,7 +143,7 @@ def rank_values(long: DataFrame, wanted: dict[str, Sequence[int]],
         index = {c.key: i for i, c in enumerate(cells)}
         rows = (long.select(_cell_id(cells).alias("_cell"), "v").where(F.col("_cell").isNotNull())
                     .groupBy("_cell", "v").agg(F.count(F.lit(1)).alias("n"))
-                    .collect())  # distinct values of small cells only
+                    .collect())  # at most a few thousand neighbouring doubles of each cell
         by_cell: dict[int, list] = {}
         for h in rows:
             by_cell.setdefault(h["_cell"], []).append(h)

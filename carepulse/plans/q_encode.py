@@ -10,6 +10,7 @@ from carepulse.functions.encode import (
 )
 from carepulse.functions.records import default_fields, format_pct, predict_label
 from carepulse.operators.clean import drop_all_null, drop_target, distinct_rows
+from carepulse.operators.results import latest_per_key
 from carepulse.plans.catalog import register
 from carepulse.plans.standins import (
     ENCOUNTER_STANDIN_COLUMNS, ENCOUNTERS_SQL, PREDICTIONS_SQL, encounters, predictions, table,
@@ -67,6 +68,9 @@ _PART_TEXT = [
     ("size_dec", "CAST(p_size AS VARCHAR) || '.83'"),
     ("price_txt", "CAST(p_retailprice AS VARCHAR)"),
 ]
+# number-like text that is no decimal number, and two odd spellings that are
+_ODD = ["NaN", "Infinity", "250d", "1f", "-1.5e1", " 7 "]
+_ODD_SQL = "CASE p_size % 6 WHEN 4 THEN -15 WHEN 5 THEN 7 END"
 
 
 def _part_text(spark, sf):
@@ -78,21 +82,22 @@ def _part_text(spark, sf):
         F.col("p_size").cast("string").alias("size_txt"),
         F.concat(F.col("p_size").cast("string"), F.lit(".83")).alias("size_dec"),
         F.col("p_retailprice").cast("string").alias("price_txt"),
+        F.element_at(F.array(*map(F.lit, _ODD)), F.col("p_size") % 6 + 1).alias("odd"),
     )
 
 
 @register("coerce_int", "SELECT p_partkey, " + ", ".join(
-    f"CAST(trunc(TRY_CAST({e} AS DOUBLE)) AS INTEGER) AS {n}" for n, e in _PART_TEXT) + " FROM part")
+    f"CAST(trunc(TRY_CAST({e} AS DOUBLE)) AS INTEGER) AS {n}" for n, e in _PART_TEXT) + f", CAST({_ODD_SQL} AS INTEGER) AS odd FROM part")
 def q_coerce_int(spark, sf):
     t = _part_text(spark, sf)
-    return t.select("p_partkey", *[coerce_int(F.col(n)).alias(n) for n, _ in _PART_TEXT])
+    return t.select("p_partkey", *[coerce_int(F.col(n)).alias(n) for n in [*(n for n, _ in _PART_TEXT), "odd"]])
 
 
 @register("coerce_double", "SELECT p_partkey, " + ", ".join(
-    f"TRY_CAST({e} AS DOUBLE) AS {n}" for n, e in _PART_TEXT) + " FROM part")
+    f"TRY_CAST({e} AS DOUBLE) AS {n}" for n, e in _PART_TEXT) + f", CAST({_ODD_SQL} AS DOUBLE) AS odd FROM part")
 def q_coerce_double(spark, sf):
     t = _part_text(spark, sf)
-    return t.select("p_partkey", *[coerce_double(F.col(n)).alias(n) for n, _ in _PART_TEXT])
+    return t.select("p_partkey", *[coerce_double(F.col(n)).alias(n) for n in [*(n for n, _ in _PART_TEXT), "odd"]])
 
 
 # --- P7 -------------------------------------------------------------------
@@ -219,6 +224,21 @@ def q_default_fields(spark, sf):
     return default_fields(encounters(spark, sf))
 
 
+@register("default_then_latest", _ENC + """
+SELECT (SELECT count(DISTINCT patient_nbr) FROM e WHERE CAST(encounter_id AS BIGINT) % 3 <> 0)
+     + (SELECT count(*) FROM e WHERE CAST(encounter_id AS BIGINT) % 3 = 0) AS patients
+""")
+def q_default_then_latest(spark, sf):
+    """P22 -> W1: submissions without ids get LONG ids of their own, so each stays a patient of its own."""
+    e = encounters(spark, sf)
+    line = F.col("encounter_id").cast("long")
+    anonymous = e.withColumn("line", line).select("line", *[
+        F.when(line % 3 != 0, F.col(c)).alias(c) if c in ("encounter_id", "patient_nbr") else F.col(c) for c in e.columns])
+    full = default_fields(anonymous, sequence=["line"])
+    ids = full.select(F.col("encounter_id").try_cast("long").alias("encounter_id"), F.col("patient_nbr").try_cast("long").alias("patient_nbr"))
+    return latest_per_key(ids, "patient_nbr", "encounter_id").agg(F.count("patient_nbr").alias("patients"))
+
+
 # --- P15 / P16 ----------------------------------------------------------------
 @register("predict_label", f"""
 SELECT encounter_id, readmission_prediction,
@@ -233,8 +253,8 @@ def q_predict_label(spark, sf):
 
 @register("format_pct", f"""
 SELECT encounter_id,
-       printf('%.2f%%', round(readmission_probability_pct, 2)) AS pct_2,
-       printf('%.1f%%', round(readmission_probability_pct, 1)) AS pct_1
+       printf('%.2f%%', readmission_probability_pct) AS pct_2,
+       printf('%.1f%%', readmission_probability_pct) AS pct_1
 FROM ({PREDICTIONS_SQL})
 """)
 def q_format_pct(spark, sf):

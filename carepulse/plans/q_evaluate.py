@@ -50,7 +50,7 @@ cm AS (SELECT x.label AS actual, y.label AS predicted, COALESCE(c.n, 0) AS n
 """
 
 
-@register("confusion_matrix", _CM_SQL + "SELECT actual, predicted, CAST(n AS BIGINT) AS n FROM cm")
+@register("confusion_matrix", "WITH " + _T_SQL + "SELECT a AS actual, p AS predicted, count(*) AS n FROM t GROUP BY 1, 2")
 def q_confusion_matrix(spark, sf):
     return confusion_long(scored_orders(spark, sf), "a", "p")
 
@@ -114,6 +114,7 @@ cum AS (SELECT class, score,
 SELECT class, score AS threshold, round(fps * 1.0 / N, 6) AS fpr, round(tps * 1.0 / P, 6) AS tpr,
        CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps
 FROM cum
+UNION ALL SELECT class, CAST(NULL AS DOUBLE), 0.0, 0.0, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM cls
 """)
 def q_roc_points(spark, sf):
     return _r6(roc_points(scored_orders(spark, sf), "a", "s"), ["fpr", "tpr"])

@@ -16,7 +16,7 @@ from carepulse.sources.files import (
     read_csv_inferred, read_first_available, read_header_dir, read_headerless_csv,
     read_positional, read_results,
 )
-from carepulse.sources.lookups import decode, encode_strict, lookup_frame
+from carepulse.sources.lookups import decode, encode_strict, lookup_frame, read_code_lookups
 from carepulse.sources.writers import from_file_names, publish_json, write_csv
 from carepulse.schemas import LEGACY_ADMISSION_TYPE, LEGACY_DISCHARGE, PROBABILITY_CSV_NAME
 
@@ -166,6 +166,23 @@ def q_lookup_decode(spark, sf):
     return decode(decode(c, n, "c_nationkey"), r, "n_regionkey").select("c_custkey", "c_nationkey", "n_name", "r_name")
 
 
+@register("code_lookup_file", """
+SELECT 'nation_id' AS lookup, CAST(n_nationkey AS INTEGER) AS id, n_name AS description FROM nation
+UNION ALL SELECT 'region_id', CAST(r_regionkey AS INTEGER), r_name FROM region
+""")
+def q_code_lookup_file(spark, sf):
+    """The two code tables written as one stacked file, sections parted by lone-comma lines, and parsed back."""
+    def section(name, key, label):
+        lines = F.transform(F.sort_array(F.collect_list(F.struct(key, label))), lambda r: F.concat_ws(",", r[key].cast("string"), r[label]))
+        return table(spark, sf, name).agg(F.concat(F.lit(f"{name}_id,description\n"), F.array_join(lines, "\n")).alias("t"))
+
+    both = section("nation", "n_nationkey", "n_name").select(F.lit(1).alias("k"), "t").join(
+        section("region", "r_regionkey", "r_name").select(F.lit(1).alias("k"), F.col("t").alias("u")), "k")
+    path = new_scratch(spark, "codes")
+    both.select(F.concat("t", F.lit("\n,\n"), "u").alias("value")).coalesce(1).write.text(path)
+    return read_code_lookups(spark, path)
+
+
 # The validation rules used on the part table.
 _ALLOWED = {"p_type": ["ECONOMY", "SMALL", "LARGE"]}
 _RANGES = {"p_size": (1, 30), "p_retailprice": (905, 995)}

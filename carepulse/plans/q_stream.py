@@ -154,7 +154,7 @@ def q_stream_land_raw(spark, sf):
     land_raw(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), out, ckpt)
     # A restart on the same checkpoint re-emits nothing
     land_raw(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), out, ckpt)
-    return spark.read.text(out)
+    return spark.read.parquet(out)
 
 
 def rule_scorer(enc):
@@ -232,12 +232,13 @@ def q_keyed_upsert_land(spark, sf):
 
 @register("stream_progress")
 def q_stream_progress(spark, sf):
-    """Per micro-batch progress of a scoring run and of its (empty) restart."""
+    """Every micro-batch of a scoring run and of its (empty) restart, as the sink counted them."""
     landing = land_messages(spark, sf)
     res, quar, ckpt = new_scratch(spark, "results"), new_scratch(spark, "quarantine"), new_scratch(spark, "ckpt")
-    runs = [score_stream(spark, message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)),
-                         rule_scorer, res, quar, ckpt) for _ in range(2)]
-    return progress_frame(spark, runs)
+    done = new_scratch(spark, "progress")
+    for _ in range(2):
+        score_stream(spark, message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), rule_scorer, res, quar, ckpt, progress_path=done)
+    return progress_frame(spark, done)
 
 
 @register("stream_vitals_score", f"""
@@ -256,12 +257,29 @@ FROM s
 def q_stream_vitals_score(spark, sf):
     """S2 + P10 + P8: the vitals stream carries two of the features (age, gender); score it anyway."""
     landing = land_messages(spark, sf, vitals_messages(spark, sf))
-    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
+    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA).where(F.col(CORRUPT).isNull())
     keep = [f.name for f in VITALS_SCHEMA.fields]
     scored = score_partial_records(typed, rule_scorer, FEATURE_COLUMNS, keep)
     return spark.read.parquet(_stream_to_parquet(spark, scored))
 
 
+@register("vitals_quarantine", """
+SELECT CASE WHEN event_type = 'error' THEN '{"patient_id":"' || CAST(user_id AS VARCHAR) || '","age":"' WHEN user_id % 7 = 0 THEN '{}'
+       ELSE '{"patient_id":null}' END AS raw
+FROM events WHERE event_type = 'error' OR user_id % 7 = 0 OR user_id % 7 = 1
+""")
+def q_vitals_quarantine(spark, sf):
+    """T6 on the vitals path: truncated messages, and those without any field, are kept apart with their text."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    broken = F.concat(F.lit('{"patient_id":"'), F.col("user_id").cast("string"), F.lit('","age":"'))
+    whole = F.concat(broken, F.lit('45"}'))
+    value = (F.when(F.col("event_type") == "error", broken).when(F.col("user_id") % 7 == 0, F.lit("{}"))
+              .when(F.col("user_id") % 7 == 1, F.lit('{"patient_id":null}')).otherwise(whole))
+    landing = land_messages(spark, sf, e.select(value.alias("value")))
+    typed = parse_typed(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA)
+    return spark.read.parquet(_stream_to_parquet(spark, typed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))))
+
+
 @register("stream_score_forest")
 def q_stream_score_forest(spark, sf):
     """M4 in the stream: the saved forest scores every micro-batch inside the streaming plan."""

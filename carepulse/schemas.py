@@ -88,7 +88,7 @@ UNMAPPED_TEXT_COLUMNS: list[str] = [
 
 # Null markers: literal '?' from the form and the CSV; text "NaN" is what a
 # bare NaN token becomes after JSON parsing into a string field.
-NULL_MARKERS = ["?"]
+NULL_MARKERS = ["?", "NaN", "nan"]
 
 # --- Fixed values: record defaults of the submission form (P22) -------------
 RECORD_DEFAULTS: dict[str, str] = {
@@ -99,7 +99,7 @@ RECORD_DEFAULTS: dict[str, str] = {
     "glipizide": "No", "glyburide": "No", "tolbutamide": "No",
     "pioglitazone": "No", "rosiglitazone": "No", "acarbose": "No",
     "miglitol": "No", "troglitazone": "No", "tolazamide": "No",
-    "examide": "No", "citoglipton": "No", "insulin": "No",
+    "examide": "No", "citoglipton": "No",
     "glyburide-metformin": "No", "glipizide-metformin": "No",
     "glimepiride-pioglitazone": "No", "metformin-rosiglitazone": "No",
     "metformin-pioglitazone": "No", "change": "No", "diabetesMed": "Yes",

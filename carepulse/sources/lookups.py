@@ -7,9 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Dimension tables are broadcast only after their row count was checked.
-MAX_BROADCAST_DIM_ROWS = 1_000_000
-
 
 def read_code_lookups(spark: SparkSession, path: str) -> DataFrame:
     """A file of stacked ``<name>_id,description`` sections separated by lone-comma lines.
@@ -40,22 +37,14 @@ def lookup_frame(spark: SparkSession, mapping: Mapping[str, int], key: str = "la
     return spark.createDataFrame([(k, int(v)) for k, v in mapping.items()], f"{key} string, {code} int")
 
 
-def decode(df: DataFrame, dim: DataFrame, on: str | list, how: str = "left",
-           max_dim_rows: int = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
-    """Join a code dimension; broadcast it only when its counted size is under the bound."""
-    n = dim.count()
-    side = F.broadcast(dim) if n <= max_dim_rows else dim
-    return df.join(side, on, how)
+def decode(df: DataFrame, dim: DataFrame, on: str | list, how: str = "left") -> DataFrame:
+    """Join a code dimension; Spark broadcasts it when its bytes allow."""
+    return df.join(dim, on, how)
 
 
 def encode_strict(df: DataFrame, dim: DataFrame, label_col: str, dim_label: str, dim_code: str,
                   out: str) -> DataFrame:
-    """Label -> id; an unknown label (or a NULL one) is an error, raised after one anti-join check."""
-    labels = dim.select(F.col(dim_label).alias(label_col))
-    side = F.broadcast(labels) if labels.count() <= MAX_BROADCAST_DIM_ROWS else labels
-    unknown = df.join(side, label_col, "left_anti")
-    bad = unknown.select(label_col).limit(5).collect()
-    if bad:
-        raise ValueError(f"unknown {label_col}: {[r[0] for r in bad]}")
-    return decode(df, dim.select(F.col(dim_label).alias(label_col), F.col(dim_code).alias(out)),
-                  label_col, "inner")
+    """Label -> id in one join; an unknown label (or a NULL one) fails the job that reads the result."""
+    joined = decode(df, dim.select(F.col(dim_label).alias(label_col), F.col(dim_code).alias(out)), label_col)
+    unknown = F.raise_error(F.concat(F.lit(f"unknown {label_col}: "), F.coalesce(F.col(label_col).cast("string"), F.lit("NULL"))))
+    return joined.withColumn(out, F.when(F.col(out).isNull(), unknown.cast("int")).otherwise(F.col(out)))

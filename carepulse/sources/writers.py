@@ -37,14 +37,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def publish_json(df: DataFrame, path: str | None = None, *, kafka_servers: str | None = None,
-                 topic: str | None = None, key_col: str | None = None, limit: int | None = None) -> DataFrame:
+                 topic: str | None = None, key_col: str | None = None, limit: int | None = None,
+                 order_by: str | None = None) -> DataFrame:
     """Publish each row as one JSON message.
 
     Builds the Kafka-shaped frame (`key`, `value`) and writes it to the topic
     when a broker is given (needs the Kafka connector on the classpath), or to
-    `path` as JSON-lines text otherwise. Returns the message frame.
+    `path` as JSON-lines text otherwise. `limit` publishes the first rows by `order_by`. Returns the message frame.
     """
-    src = df.limit(limit) if limit is not None else df
+    if limit is not None and order_by is None:
+        raise ValueError("a limit needs order_by: the first rows by what?")
+    src = df.orderBy(order_by).limit(limit) if limit is not None else df
     msgs = row_to_json(src)
     if key_col is not None:
         msgs = src.select(F.col(key_col).cast("string").alias("key"),

@@ -49,13 +49,17 @@ def parse_messages(df: DataFrame, schema: T.StructType = ENCOUNTER_SCHEMA,
                    keep: Sequence[str] = ()) -> DataFrame:
     """JSON text -> flat columns; malformed text is kept in `_corrupt_record`.
 
-    Text "NaN" in a string field is a null marker, not a number.
+    A message without any field (empty text, `{}`, a tombstone) is malformed
+    too; a NULL message is kept as empty text. Text "NaN" in a string field is
+    a null marker, not a number.
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col("value"), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select(*[F.col(quote(k)) for k in keep], parsed.alias("m"))
-    broken = F.col("m").getField(CORRUPT).isNotNull()
+    out = df.select(*[F.col(quote(k)) for k in keep], F.col("value").alias("_text"), parsed.alias("m"))
+    nothing = F.coalesce(*[F.col("m").getField(f.name).cast("string") for f in schema.fields]).isNull()
+    raw = F.coalesce(F.col("m").getField(CORRUPT), F.when(nothing, F.coalesce(F.col("_text"), F.lit(""))))
+    broken = raw.isNotNull()
     cols = []
     for f in schema.fields:
         c = F.col("m").getField(f.name)
@@ -63,7 +67,7 @@ def parse_messages(df: DataFrame, schema: T.StructType = ENCOUNTER_SCHEMA,
             c = F.nullif(c, F.lit("NaN"))
         # a malformed message contributes no fields, whatever a partial parse found
         cols.append(F.when(broken, F.lit(None).cast(f.dataType)).otherwise(c).alias(f.name))
-    return out.select(*[F.col(quote(k)) for k in keep], *cols, F.col("m").getField(CORRUPT).alias(CORRUPT))
+    return out.select(*[F.col(quote(k)) for k in keep], *cols, raw.alias(CORRUPT))
 
 
 def parse_typed(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -115,7 +119,7 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "c
     w.format(fmt).save(path)
 
 
-def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv"):
+def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv", progress_path: str | None = None):
     """T4 + T5 + T6: good rows to the results, malformed rows to quarantine, both per batch.
 
     The batch (bounded by the source's per-trigger limit) is materialised once
@@ -133,15 +137,18 @@ def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv"):
             bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
             write_batch_partition(good, result_path, batch_id, fmt)
             write_batch_partition(bad, quarantine_path, batch_id, "text" if fmt == "text" else "json")
+            if progress_path is not None:
+                counts = batch.agg(F.count(F.lit(1)).alias("input_rows"), F.count(F.col(CORRUPT)).alias("quarantined_rows"))
+                write_batch_partition(counts.coalesce(1), progress_path, batch_id, "parquet")
         finally:
             batch.unpersist()
     return sink
 
 
-def run_available(writer, checkpoint: str, timeout_s: float = 600.0) -> StreamingQuery:
-    """T1/T7 for tests and catch-up jobs: process everything available, then stop."""
+def run_available(writer, checkpoint: str, timeout_s: float | None = None) -> StreamingQuery:
+    """T1/T7 for tests and catch-up jobs: process everything available, then stop; `timeout_s` None waits as long as it takes."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish in time")
@@ -152,30 +159,36 @@ def run_available(writer, checkpoint: str, timeout_s: float = 600.0) -> Streamin
 
 def score_stream(spark: SparkSession, messages: DataFrame, scorer, result_path: str,
                  quarantine_path: str, checkpoint: str, *, processing_time: str | None = None,
+                 continuous: bool = False, timeout_s: float | None = None, progress_path: str | None = None,
                  fmt: str = "csv") -> StreamingQuery:
     """The live path: messages -> parse -> encode -> score -> foreachBatch(results, quarantine).
 
-    `processing_time` ("10 seconds") starts a continuous micro-batch query;
-    None runs an availableNow catch-up and returns after it finished.
+    `processing_time` ("10 seconds", T1) or `continuous` (the default trigger,
+    a batch as soon as the last one ended, T2) starts a query that goes on;
+    neither runs an availableNow catch-up and returns after it finished.
+    `progress_path` keeps a row for every micro-batch (T9).
     """
     # One branch: every message is parsed once and carries its corrupt text
     # through; the sink splits results from quarantine (the scores computed
     # for a malformed row's empty fields are never written).
     both = narrow_result(parse_messages(messages), scorer, carry=[CORRUPT])
-    writer = both.writeStream.outputMode("append").foreachBatch(scored_sink(result_path, quarantine_path, fmt))
+    writer = both.writeStream.outputMode("append").foreachBatch(scored_sink(result_path, quarantine_path, fmt, progress_path))
     if processing_time:
         return writer.option("checkpointLocation", checkpoint).trigger(processingTime=processing_time).start()
-    return run_available(writer, checkpoint)
+    if continuous:
+        return writer.option("checkpointLocation", checkpoint).start()
+    return run_available(writer, checkpoint, timeout_s)
 
 
-def land_raw(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def land_raw(messages: DataFrame, path: str, checkpoint: str, timeout_s: float | None = None) -> StreamingQuery:
     """K6 + T8: append raw messages to a file sink; the checkpoint makes restarts exactly-once.
 
     Every trigger flushes what arrived (no count threshold that strands a
     remainder); the source's maxFilesPerTrigger / maxOffsetsPerTrigger paces it.
+    Parquet, because a line format would cut a message with a newline in two.
     """
-    writer = messages.select("value").writeStream.format("text").option("path", path).outputMode("append")
-    return run_available(writer, checkpoint)
+    writer = messages.select("value").writeStream.format("parquet").option("path", path).outputMode("append")
+    return run_available(writer, checkpoint, timeout_s)
 
 
 def keyed_upsert_sink(path: str, key: str, order_col: str):
@@ -236,14 +249,13 @@ def compact_upserts(spark: SparkSession, path: str, key: str, order_col: str, ou
     return int(upto)
 
 
-def progress_frame(spark: SparkSession, queries: Sequence[StreamingQuery]) -> DataFrame:
-    """One row per finished micro-batch: run, batch id, input rows, rows per second."""
-    rows = []
-    for run, q in enumerate(queries):
-        for p in q.recentProgress:
-            rows.append((run, int(p["batchId"]), int(p["numInputRows"]),
-                         float(p.get("processedRowsPerSecond") or 0.0)))
-    return spark.createDataFrame(rows, "run int, batch_id long, input_rows long, rows_per_sec double")
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """One row for every finished micro-batch that had rows: batch id, input rows, quarantined rows.
+
+    Read from what the sink wrote (`score_stream(progress_path=...)`), so no
+    batch is missing however long the query ran or however often it restarted.
+    """
+    return spark.read.schema("input_rows long, quarantined_rows long, batch_id long").parquet(path).select("batch_id", "input_rows", "quarantined_rows")
 
 
 def score_partial_records(parsed: DataFrame, scorer: Callable[[DataFrame], DataFrame],

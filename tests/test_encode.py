@@ -121,4 +121,6 @@ def test_format_pct_and_label(spark):
                     predict_label(F.col("c")).alias("l")).collect()
     assert [r.t for r in got] == ["12.35%", None, "0.00%"]
     assert [r.t1 for r in got] == ["12.3%", None, "0.0%"]
+    halves = spark.createDataFrame([(x,) for x in (0.125, 2.675, 0.375, 1.005, 99.995, -0.125, 0.005, 1e15, 7.0)], "p double")
+    assert [r.t for r in halves.select(format_pct(F.col("p")).alias("t")).collect()] == [f"{x:.2f}%" for x in (0.125, 2.675, 0.375, 1.005, 99.995, -0.125, 0.005, 1e15, 7.0)]
     assert [r.l for r in got] == ["Readmitted", "Not Readmitted", "Not Readmitted"]

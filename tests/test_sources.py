@@ -90,7 +90,11 @@ def test_default_fields_complete_and_stable_ids(spark):
     out = default_fields(df).collect()
     assert len(out[0]) == 50 and out[0]["metformin"] == "No" and out[0]["diabetesMed"] == "Yes"
     assert out[0]["encounter_id"] != out[1]["encounter_id"]
-    assert out[0]["encounter_id"].startswith("anon-")
+    assert all(0 <= int(r[c]) < 2 ** 63 for r in out for c in ("encounter_id", "patient_nbr"))
+    assert out[0]["encounter_id"] != out[0]["patient_nbr"]
+    same = spark.createDataFrame([("Male", 0), ("Male", 1)], "gender string, line long")
+    assert len({r["encounter_id"] for r in default_fields(same, sequence=["line"]).collect()}) == 2
+    assert out[0]["insulin"] is None
     assert [r["encounter_id"] for r in default_fields(df).collect()] == [r["encounter_id"] for r in out]
 
 
@@ -124,14 +128,15 @@ def test_strict_encode_and_decode(spark):
     dim = lookup_frame(spark, {"Emergency": 1, "Urgent": 2})
     df = spark.createDataFrame([("Urgent",)], "label string")
     assert encode_strict(df, dim, "label", "label", "id", "code").first().code == 2
-    with pytest.raises(ValueError):
-        encode_strict(spark.createDataFrame([("Trauma",)], "label string"), dim, "label", "label", "id", "code")
+    for label in ("Trauma", None):
+        with pytest.raises(Exception, match="unknown label"):
+            encode_strict(spark.createDataFrame([(label,)], "label string"), dim, "label", "label", "id", "code").collect()
     assert decode(df, dim, "label").first().id == 2
 
 
 def test_publish_keyed_messages_with_limit(spark, scratch):
     df = spark.createDataFrame([(i, f"p{i % 2}") for i in range(10)], "encounter_id int, patient_nbr string")
-    msgs = publish_json(df.orderBy("encounter_id"), scratch("pub"), key_col="encounter_id", limit=3)
+    msgs = publish_json(df, scratch("pub"), key_col="encounter_id", limit=3, order_by="encounter_id")
     rows = msgs.collect()
     assert msgs.columns == ["key", "value"] and len(rows) == 3
     assert rows[0].key == "0" and rows[0].value == '{"encounter_id":0,"patient_nbr":"p0"}'

@@ -78,7 +78,7 @@ def test_land_raw_restart_exactly_once(spark, scratch):
     _land(spark, landing, [_msg(i) for i in range(30)], files=3)
     land_raw(message_stream(spark, path=landing, max_per_trigger=1), out, ckpt)
     land_raw(message_stream(spark, path=landing, max_per_trigger=1), out, ckpt)
-    assert spark.read.text(out).count() == 30
+    assert spark.read.parquet(out).count() == 30
 
 
 def test_keyed_upsert_latest_wins(spark, scratch):
