@@ -80,6 +80,7 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("unlicense", "Released under the Unlicense."),
     ("proprietary", "Copyright 2020 Example Company. All rights reserved."),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced without prior written permission."),
 ]
 

@@ -481,13 +481,13 @@ def test_url_model_on_held_out_hosts(spark):
 def test_licences_found_and_others_left(spark):
     lines = [("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("Released under the MIT License.", "mit"), ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
              ("This work is licensed under the GNU General Public License, version 3.", "gpl-3.0"), ("This software is licensed under the terms of the Apache License, Version 2.0", "apache-2.0"),
-             ("The project is released under the MIT License, see below.", "mit"), ("His driving licence was lost in the domain of the king.", None), ("Permission was asked and granted.", None), ("An apache rode by.", None)]
+             ("The project is released under the MIT License, see below.", "mit"), ("All rights reserved.", "proprietary"), ("His driving licence was lost in the domain of the king.", None), ("Permission was asked and granted.", None), ("An apache rode by.", None)]
     docs = spark.createDataFrame([(i, f"Some prose here.\n{t}\nMore prose.") for i, (t, _) in enumerate(lines)], "doc_id long, text string").unionByName(
         spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("doc_id + 100 as doc_id", "text"))
     rows = license_scan.scan(docs).collect()
     got = {r.doc_id: (r.family, r.paragraph) for r in rows if r.doc_id < 100}
     assert got == {i: (f, 1) for i, (_, f) in enumerate(lines) if f}
-    want = {i + 100 for i, t in texts_of(spark) if re.search(r"(?m)^(Licensed under|Released under|This work is licensed)", t)}
+    want = {i + 100 for i, t in texts_of(spark) if re.search(r"(?m)^(Licensed under|Released under|This work is licensed|All rights reserved)", t)}
     assert {r.doc_id for r in rows if r.doc_id >= 100} == want
 
 
