@@ -162,7 +162,7 @@ class Index:
             return pa.table({"w": [w.ravel().tolist()]})
 
         own = self.parts
-        found = fitted.groupBy(F.lit(1)).applyInArrow(learn, "w array<double>").collect() if n else []
+        found = fitted.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "w array<double>").collect() if n else []
         self.weights = np.array(found[0].w).reshape(-1, self.parts) if found else np.zeros((1, 1))
         self.assigned = stored(self._route(self.rows, None), "assigned")
 
