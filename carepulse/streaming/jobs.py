@@ -191,40 +191,48 @@ def land_raw(messages: DataFrame, path: str, checkpoint: str, timeout_s: float |
     return run_available(writer, checkpoint, timeout_s)
 
 
-def keyed_upsert_sink(path: str, key: str, order_col: str):
+ARRIVAL = "_arrival"
+
+
+def keyed_upsert_sink(path: str, key: str, order_col: str | None = None):
     """K5: keyed landing, later message replaces earlier (merge-on-read).
 
-    Each batch keeps its latest row per key (by `order_col`, the record's
-    sequence) in its own `batch_id` partition, replay-safe. Readers resolve the
-    latest row per key across batches with `read_upserted`; nothing ever
-    reads and overwrites the same files in one plan.
+    Each batch keeps its latest row per key in its own `batch_id` partition,
+    replay-safe. Latest is by `order_col` (the record's sequence, or a topic's
+    offset), where given, and then by arrival: of equal ones, and of all
+    without an `order_col`, the last message of the batch wins, whatever its
+    payload. Readers resolve the latest row per key across batches with
+    `read_upserted`; nothing ever reads and overwrites the same files in one
+    plan. A missing key is the key "unknown".
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        keyed = batch.withColumn(key, F.coalesce(F.col(quote(key)), F.lit("unknown")))
-        rest = [c for c in keyed.columns if c not in (key, order_col)]
-        latest = (keyed.groupBy(key).agg(F.max(F.struct(order_col, *rest)).alias("_r"))
+        keyed = batch.withColumn(key, F.coalesce(F.col(quote(key)), F.lit("unknown"))).withColumn(ARRIVAL, F.monotonically_increasing_id())
+        first = [c for c in (order_col, ARRIVAL) if c]
+        rest = [c for c in keyed.columns if c != key and c not in first]
+        latest = (keyed.groupBy(key).agg(F.max(F.struct(*first, *rest)).alias("_r"))
                        .select(key, "_r.*"))
         write_batch_partition(latest, path, batch_id, "parquet")
     return sink
 
 
-def _resolve_latest(df: DataFrame, key: str, order_col: str, keep_batch: bool = False) -> DataFrame:
-    rest = [c for c in df.columns if c not in (key, order_col, "batch_id")]
-    out = [order_col, "batch_id", *rest] if keep_batch else [order_col, *rest]
-    return (df.groupBy(key).agg(F.max(F.struct(order_col, "batch_id", *rest)).alias("_r"))
+def _resolve_latest(df: DataFrame, key: str, order_col: str | None, keep_batch: bool = False) -> DataFrame:
+    first = [c for c in (order_col, "batch_id", ARRIVAL) if c]
+    rest = [c for c in df.columns if c != key and c not in first]
+    out = [*first, *rest] if keep_batch else [*([order_col] if order_col else []), *rest]
+    return (df.groupBy(key).agg(F.max(F.struct(*first, *rest)).alias("_r"))
               .select(key, *[F.col(f"_r.{c}").alias(c) for c in out]))
 
 
-def read_upserted(spark: SparkSession, path: str, key: str, order_col: str,
+def read_upserted(spark: SparkSession, path: str, key: str, order_col: str | None = None,
                   snapshot: str | None = None, snapshot_upto: int | None = None) -> DataFrame:
     """K5 read side: the latest row per key over all landed batches.
 
     "Latest" is the record's own order column (a sequence number or offset),
-    then the batch id: messages that arrive out of order across partitions
-    can never let an older record win, and a re-sent record in a later batch
-    replaces its earlier copy. With a `snapshot` from `compact_upserts`, only
+    where given, then the batch id, then the arrival in the batch: messages
+    that arrive out of order across partitions can never let an older record
+    win, and a re-sent record replaces its earlier copy. With a `snapshot` from `compact_upserts`, only
     the batches after `snapshot_upto` are read (partition pruning on
     `batch_id`), so the read cost stops growing with the history.
     """
@@ -234,7 +242,7 @@ def read_upserted(spark: SparkSession, path: str, key: str, order_col: str,
     return _resolve_latest(df, key, order_col)
 
 
-def compact_upserts(spark: SparkSession, path: str, key: str, order_col: str, out_path: str) -> int:
+def compact_upserts(spark: SparkSession, path: str, key: str, order_col: str | None, out_path: str) -> int:
     """K5 compaction: fold every landed batch into one snapshot at a new folder; returns the last batch id folded.
 
     Writes to `out_path` (never to `path`), keeps each row's batch id so the

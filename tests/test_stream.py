@@ -128,3 +128,15 @@ def test_keyed_upsert_compaction_keeps_answers(spark, scratch):
     full = sorted(tuple(r) for r in read_upserted(spark, out, "k", "seq").collect())
     fast = sorted(tuple(r) for r in read_upserted(spark, out, "k", "seq", snap, upto).collect())
     assert full == fast == [("a", 3, "z"), ("b", 2, "y"), ("c", 9, "w")]
+
+
+def test_keyed_upsert_by_arrival(spark, scratch):
+    """Equal order values, and no order value at all: the last message wins, whatever its payload."""
+    for order in ("seq", None):
+        out = scratch("arrive")
+        sink = keyed_upsert_sink(out, "k", order)
+        one = spark.createDataFrame([("a", 1, "zzz first"), ("a", 1, "aaa second"), (None, 1, "x")], "k string, seq long, v string").coalesce(1)
+        sink(one, 0)
+        sink(spark.createDataFrame([("b", 1, "w"), (None, 1, "a smaller payload")], "k string, seq long, v string").coalesce(1), 1)
+        got = {r.k: r.v for r in read_upserted(spark, out, "k", order).collect()}
+        assert got == {"a": "aaa second", "b": "w", "unknown": "a smaller payload"}
