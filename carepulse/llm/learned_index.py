@@ -7,9 +7,11 @@ Fitting, on a bounded sample of ``SAMPLE`` vectors (lowest hash of the id), in o
    vector moves to the part that holds most of its neighbours, as far as the part has room;
 3. a small classifier, multinomial logistic regression on the vector, that predicts the part.
 
-Indexing assigns every vector to its most probable part. A query goes to its most probable parts, taken in
-order until they have probability ``mass`` together (at least ``LEAST_PROBES``); all vectors of these parts are reranked by exact inner products in double
-precision. Parts are cut into lanes of about ``LANE`` vectors by a hash of the id, and the queries of a lane into blocks, so
+4. the number of parts that a query probes: ``HELD`` sample vectors are kept out of 1 to 3; probes are added until the most probable
+   parts hold ``TARGET`` of their nearest sample vectors (which are further away than the nearest of all, so the estimate is a careful one).
+
+Indexing assigns every vector to its most probable part. A query goes to its most probable parts; all vectors of these parts are reranked by
+exact inner products in double precision. Parts are cut into lanes of about ``LANE`` vectors by a hash of the id, and the queries of a lane into blocks, so
 neither a large part nor a vector that a third of all rows share lands in one task; every lane gives its best k, and these are merged.
 
 ``parts`` grows with the table (about ``PART_SIZE`` vectors each, ``MOST_PARTS`` at most, as many as the sample can fit).
@@ -33,8 +35,8 @@ from pyspark.sql import window as W
 from carepulse.llm.common import importable, stored
 
 SAMPLE, GRAPH = 8192, 12
-PART_SIZE, MOST_PARTS, LEAST_PROBES = 1024, 64, 2
-MASS = 0.98
+PART_SIZE, MOST_PARTS = 1024, 64
+HELD, HELD_NEAREST, TARGET = 512, 20, 0.96
 LANE, QUERY_BLOCK = 4096, 512
 FIT_STEPS = 300
 
@@ -115,6 +117,19 @@ def probabilities(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return s / s.sum(axis=1, keepdims=True)
 
 
+def probes_needed(held: np.ndarray, x: np.ndarray, w: np.ndarray) -> int:
+    """How many of its most probable parts hold TARGET of the nearest of a held-out vector, on average."""
+    parts = w.shape[1]
+    home = np.argmax(probabilities(x, w), axis=1)
+    ranked = np.argsort(-probabilities(held, w), axis=1, kind="stable")
+    place = np.argsort(ranked, axis=1)  # of each part in a query's order
+    k = min(HELD_NEAREST, len(x))
+    near = np.argpartition(-(held @ x.T), k - 1, axis=1)[:, :k]
+    at = np.take_along_axis(place, home[near], axis=1).ravel()
+    share = np.cumsum(np.bincount(at, minlength=parts)) / len(at)
+    return int(np.searchsorted(share, TARGET)) + 1 if len(at) else parts
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
@@ -149,25 +164,29 @@ def best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k:
 class Index:
     """Partitions, router and the assigned table of a vector table."""
 
-    def __init__(self, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", parts: int | None = None, mass: float = MASS):
+    def __init__(self, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", parts: int | None = None, probes: int | None = None):
         importable(vectors.sparkSession)
-        self.rows, self.mass = usable(vectors, id_col, vector_col), mass
+        self.rows = usable(vectors, id_col, vector_col)
         n = self.rows.count()
         fitted = self.rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
         self.parts = parts or max(1, min(MOST_PARTS, n // PART_SIZE, min(n, SAMPLE) // 32))
 
         def learn(table: pa.Table) -> pa.Table:
             x = _matrix(table.column("v").combine_chunks())
-            w = fit_router(x, partition(x, own), own) if own > 1 else np.zeros((x.shape[1] + 1, 1))
-            return pa.table({"w": [w.ravel().tolist()]})
+            if own == 1:
+                return pa.table({"w": [[0.0] * (x.shape[1] + 1)], "probes": pa.array([1], pa.int32())})
+            cut = min(HELD, len(x) // 8)  # the sample comes in no order that has to do with the vectors
+            w = fit_router(x[cut:], partition(x[cut:], own), own)
+            return pa.table({"w": [w.ravel().tolist()], "probes": pa.array([probes_needed(x[:cut], x[cut:], w)], pa.int32())})
 
         own = self.parts
-        found = fitted.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "w array<double>").collect() if n else []
+        found = fitted.withColumn("all", F.lit(1)).groupBy("all").applyInArrow(learn, "w array<double>, probes int").collect() if n else []
         self.weights = np.array(found[0].w).reshape(-1, self.parts) if found else np.zeros((1, 1))
-        self.assigned = stored(self._route(self.rows, None), "assigned")
+        self.probes = min(self.parts, probes or (found[0].probes if found else 1))
+        self.assigned = stored(self._route(self.rows, 1), "assigned")
 
-    def _route(self, rows: DataFrame, mass: float | None) -> DataFrame:
-        """(vec_id, v, part): the most probable part, or as many as have the probability ``mass``."""
+    def _route(self, rows: DataFrame, probes: int) -> DataFrame:
+        """(vec_id, v, part) for each of the most probable parts."""
         w = self.weights
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,18 +194,15 @@ class Index:
                 if not len(batch):
                     continue
                 p = probabilities(_matrix(batch.column("v")), w)
-                ranked = np.argsort(-p, axis=1, kind="stable")
-                ahead = np.cumsum(np.take_along_axis(p, ranked, axis=1), axis=1) - np.take_along_axis(p, ranked, axis=1)
-                sent = ahead < (mass or 0.0)
-                sent[:, :1 if mass is None else LEAST_PROBES] = True
-                row, at = np.nonzero(sent)
+                ranked = np.argsort(-p, axis=1, kind="stable")[:, :probes]
+                row, at = np.divmod(np.arange(ranked.size), probes)
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(row)), batch.column("v").take(pa.array(row)), pa.array(ranked[row, at], pa.int32())], ["vec_id", "v", "part"])
 
         return rows.mapInArrow(send, "vec_id long, v array<double>, part int")
 
     def search(self, queries: DataFrame, k: int) -> DataFrame:
         """(query_id, rank, vec_id, score): the k best found of each of the ``queries`` (vec_id, v as in ``rows``)."""
-        routed = stored(self._route(queries, self.mass), "routed")
+        routed = stored(self._route(queries, self.probes), "routed")
         n = F.count(F.lit(1))
         # a row for each part: lanes of its vectors, blocks of its queries
         sizes = self.assigned.groupBy("part").agg(F.ceil(n / LANE).cast("int").alias("lanes"))
