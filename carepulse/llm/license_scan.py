@@ -31,7 +31,7 @@ from carepulse.llm.spans import let
 UNKNOWN = "unknown"
 SAMPLE = 200
 CONFIDENT, COVERED = 0.5, 0.6
-L2 = 0.001
+L2, MAX_STEPS = 0.001, 40
 
 #: What every feature holds one of (beginnings of words).
 STEMS = ("licen", "copyright", "permission", "warrant", "apache", "gnu", "mozilla", "creative", "cc", "spdx", "redistribut", "reserved", "unlicense", "domain", "bsd", "mit", "gpl", "lgpl", "mpl", "agpl")
@@ -135,9 +135,9 @@ class Classifier:
         self.counter = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", minTF=None, binary=True)
         at = {f: float(k) for k, f in enumerate(self.families)}
         label = F.element_at(F.create_map(*[x for f, k in at.items() for x in (F.lit(f), F.lit(k))]), F.col("family"))
-        ready = self.counter.transform(table.withColumn("label", label)).select("features", "label", "held").cache()
+        ready = self.counter.transform(table.withColumn("label", label)).select("features", "label", "held").coalesce(1).cache()
         try:
-            model = LogisticRegression(regParam=L2, maxIter=200, family="multinomial", standardization=False)
+            model = LogisticRegression(regParam=L2, maxIter=MAX_STEPS, family="multinomial", standardization=False)
             held = [(int(r.label), list(r.raw)) for r in model.fit(ready.where("not held")).transform(ready.where("held")).select("label", vector_to_array("rawPrediction").alias("raw")).collect()]
             self.model: LogisticRegressionModel = model.fit(ready)
         finally:

@@ -23,7 +23,7 @@ from carepulse.llm.spans import let
 
 FEATURE_BITS = 15
 SIZES = (3, 4, 5)
-L2 = 0.002
+L2, MAX_STEPS = 0.002, 40
 
 #: The small labelled table (fixed values): hosts to block and to allow, each under the same prefixes and paths, so that only the
 #: host's own words, and the paths that belong to one side, tell them apart.
@@ -82,9 +82,9 @@ def grams(host_: Column, path_: Column) -> Column:
 
 def fit(labelled: DataFrame) -> PipelineModel:
     """The model of a labelled table (url, block 0/1)."""
-    rows = labelled.select(grams(host(F.col("url")), path(F.col("url"))).alias("grams"), F.col("block").cast("double").alias("label"))
+    rows = labelled.select(grams(host(F.col("url")), path(F.col("url"))).alias("grams"), F.col("block").cast("double").alias("label")).coalesce(1)  # a small table
     stages = [HashingTF(inputCol="grams", outputCol="features", numFeatures=1 << FEATURE_BITS, binary=True),
-              LogisticRegression(regParam=L2, maxIter=200, standardization=False)]
+              LogisticRegression(regParam=L2, maxIter=MAX_STEPS, standardization=False)]
     return Pipeline(stages=stages).fit(rows)
 
 
