@@ -44,6 +44,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small fixed table as literals in the plan (one partition, nothing leaves the JVM)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that a text operator reads, under fixed names, null text as empty; others are left behind."""
     importable(docs.sparkSession)

@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.llm.common import id_text
+from carepulse.llm.common import id_text, literal_table
 from carepulse.llm.spans import let
 
 UNKNOWN = "unknown"
@@ -130,7 +130,7 @@ class Classifier:
         lines = (docs.select(F.explode(F.split("text", r"\n")).alias("text")).where((F.trim("text") != "") & ~F.col("text").rlike(_GATE)))
         others = [(UNKNOWN, t) for t in OTHERS] + [(UNKNOWN, r.text) for r in lines.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()]
         rows = [(f, t, k % 3 == 2) for k, (f, t) in enumerate([*TEMPLATES, *others])]
-        table = spark.createDataFrame(rows, "family string, text string, held boolean").withColumn("grams", grams(words(F.col("text"))))
+        table = literal_table(spark, rows, ["family", "text", "held"]).withColumn("grams", grams(words(F.col("text"))))
         vocabulary = sorted({g for r in table.select("grams").collect() for g in r.grams})
         self.counter = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features", minTF=None, binary=True)
         at = {f: float(k) for k, f in enumerate(self.families)}
@@ -143,7 +143,7 @@ class Classifier:
         finally:
             ready.unpersist()
         self.temperature = min((0.25 * 1.2 ** k for k in range(20)), key=lambda t: sum(_loss(raw, y, t) for y, raw in held))
-        pair_rows = spark.createDataFrame([(f, t) for f, t in TEMPLATES], "family string, text string").select("family", pairs(words(F.col("text"))).alias("p")).collect()
+        pair_rows = literal_table(spark, TEMPLATES, ["family", "text"]).select("family", pairs(words(F.col("text"))).alias("p")).collect()
         self.templates = {f: [list(r.p) for r in pair_rows if r.family == f] for f in self.families[:-1]}
 
     def judge(self, rows: DataFrame) -> DataFrame:

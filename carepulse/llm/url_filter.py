@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carepulse.llm.common import literal_table
 from carepulse.llm.spans import let
 
 FEATURE_BITS = 15
@@ -89,7 +90,7 @@ def fit(labelled: DataFrame) -> PipelineModel:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELLED, "url string, block int")
+    return literal_table(spark, LABELLED, ["url", "block"])
 
 
 def fitting_rule(host_: Column, path_: Column, rules: list[tuple[str, str, str]]) -> Column:
