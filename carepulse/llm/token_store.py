@@ -80,10 +80,32 @@ class WordTokens:
         self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
         pre = repr(self.tokenizer.pre_tokenizer)
         self.cuts = "ByteLevel" in pre and "add_prefix_space=False" in pre and self.tokenizer.normalizer is None
+        # of a byte-level vocabulary every character of an id's text stands for one byte
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
         self.most = cache_entries
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; those with a space before them are encoded in rows, which the splitting pattern cuts at these spaces."""
+        rows, alone = [], []
+        for w in words:
+            (rows if w[0] == " " and not w[-1].isspace() else alone).append(w)
+        found = dict(zip(alone, self._ids(alone)))
+        for at in range(0, len(rows), 500):
+            found.update(zip(rows[at:at + 500], self._row(rows[at:at + 500])))
+        return [found[w] for w in words]
+
+    def _row(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, dtype=self.dtype)
+        ends = np.cumsum([len(w.encode()) for w in words])
+        reached = np.cumsum(self.bytes_of[ids])  # an id's length in bytes tells which word it belongs to
+        cuts = np.searchsorted(reached, ends) + 1
+        if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
+            return self._ids(words)
+        packed, width = ids.tobytes(), ids.itemsize
+        return [packed[a:b] for a, b in zip(np.concatenate([[0], cuts[:-1] * width]).tolist(), (cuts * width).tolist())]
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         if LITTLE:
@@ -103,13 +125,13 @@ class WordTokens:
         if whole:
             self._learn_parts({p for parts in whole.values() for p in parts})
         single = [w for w in missing if w not in whole and w not in known]
-        known.update(zip(single, self._ids(single)))
+        known.update(zip(single, self._ids_of_words(single)))
         for w, parts in whole.items():
             known[w] = known[parts[0]] + known[parts[1]] if len(parts) == 2 else b"".join(map(known.__getitem__, parts))
 
     def _learn_parts(self, parts: set[str]) -> None:
         new = list(parts.difference(self.known))
-        self.known.update(zip(new, self._ids(new)))
+        self.known.update(zip(new, self._ids_of_words(new)))
 
     def _plain(self, text: str) -> bool:
         return bool(text) and text[0] != " " != text[-1] and not any(map(text.__contains__, self.BEFORE))
