@@ -47,7 +47,7 @@ from carepulse.llm.components import components
 #: Cells of the counting sketch (4 bytes each on the driver and in each worker) and bits of the bitmap.
 SKETCH_BITS, BITMAP_BITS = 22, 27
 #: Cells in which prefix tokens are counted to find those that occur twice.
-CELL_BITS = 28
+CELL_BITS = 26
 BLOCK = 1 << 16
 #: Most prefix matches that a document may ask for, and the cost of verifying a pair in postings read.
 MAX_MATCHES, VERIFY_COST = 4, 20.0
@@ -185,9 +185,10 @@ def _bitmap(marks: DataFrame, size: int = BITMAP_BITS) -> np.ndarray:
     """A bitmap of 2**size bits with the low bits of each row's ``mark`` set; at most its words reach the driver."""
     word = F.col("mark").bitwiseAND((1 << size) - 1)
     rows = (marks.select(F.shiftright(word, 6).alias("w"), F.expr("shiftleft(1L, cast(mark & 63 as int))").alias("bit"))
-            .groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas())
+            .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(1 << (size - 6), dtype=np.uint64)
-    out[rows["w"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    for batch in rows.to_batches():
+        out[batch.column("w").to_numpy()] = batch.column("bits").to_numpy().view(np.uint64)
     return out
 
 
