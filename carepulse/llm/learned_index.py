@@ -35,9 +35,9 @@ from pyspark.sql import window as W
 from carepulse.llm.common import importable, stored
 
 SAMPLE, GRAPH = 8192, 12
-PART_SIZE, MOST_PARTS = 1024, 64
+PART_SIZE, MOST_PARTS = 4096, 64
 HELD, HELD_NEAREST, TARGET = 512, 20, 0.96
-LANE, QUERY_BLOCK = 4096, 512
+LANE, QUERY_BLOCK = 16_384, 1024
 FIT_STEPS = 300
 
 
