@@ -30,6 +30,7 @@ an empty table gives an empty result. Extra columns are left behind.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -46,8 +47,8 @@ from carepulse.llm.components import components
 
 #: Cells of the counting sketch (4 bytes each on the driver and in each worker) and bits of the bitmap.
 SKETCH_BITS, BITMAP_BITS = 22, 27
-#: Cells in which prefix tokens are counted to find those that occur twice.
-CELL_BITS = 26
+#: Prefix tokens are counted in 16 cells for each of them, to find those that occur twice, but in 2**MOST_CELL_BITS at most.
+MOST_CELL_BITS = 28
 BLOCK = 1 << 16
 #: Most prefix matches that a document may ask for, and the cost of verifying a pair in postings read.
 MAX_MATCHES, VERIFY_COST = 4, 20.0
@@ -195,13 +196,15 @@ def _bitmap(marks: DataFrame, size: int = BITMAP_BITS) -> np.ndarray:
 def shared_only(postings: DataFrame) -> DataFrame:
     """``postings`` (key, meta, tokens) without most tokens that no other row has.
 
-    Tokens are counted by cell, of which there are 2**CELL_BITS: only the small cell numbers are shuffled. Cells met
-    twice come back as a bitmap; with very many tokens it fills up and lets all pass, which is as right.
+    Tokens are counted by cell, of which there are at least 16 for each token: only the small cell numbers are shuffled. Cells met
+    twice come back as a bitmap; beyond MOST_CELL_BITS it fills up and lets more pass, which is as right.
     """
-    shift = 64 - CELL_BITS
+    n = postings.agg(F.sum(F.size("tokens"))).head()[0] or 1
+    size = min(MOST_CELL_BITS, max(16, math.ceil(math.log2(16 * n))))
+    shift = 64 - size
     cells = postings.select(F.explode(F.transform("tokens", lambda t: F.shiftrightunsigned(t, shift).cast("int"))).alias("cell"))
     twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    bits = postings.sparkSession.sparkContext.broadcast(_bitmap(twice.select(F.col("cell").cast("long").alias("mark")), CELL_BITS))
+    bits = postings.sparkSession.sparkContext.broadcast(_bitmap(twice.select(F.col("cell").cast("long").alias("mark")), size))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bits.value
