@@ -284,8 +284,11 @@ class Join:
         return 100 * F.least(na, nb) >= self.percent * F.greatest(na, nb)
 
     def _shared(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) with enough matches, of rows (a, ma, b, mb) with one for each shared prefix shingle."""
+        """Pairs (a < b) with enough matches, of rows (a, ma, b, mb) with one for each shared prefix shingle, in either order."""
         asked = lambda m: F.shiftright(m, 24).bitwiseAND(0xFF)
+        turned = lambda x, y: F.when(F.col("a") > F.col("b"), F.col(y)).otherwise(F.col(x))
+        # buckets orient a pair each by its own hub or main label: all matches of a pair are counted together
+        pairs = pairs.select(F.least("a", "b").alias("a"), turned("ma", "mb").alias("ma"), F.greatest("a", "b").alias("b"), turned("mb", "ma").alias("mb"))
         return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.first("ma").alias("ma"), F.first("mb").alias("mb"))
                 .where(F.col("k") >= F.least(asked("ma"), asked("mb"))))
 

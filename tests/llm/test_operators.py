@@ -224,6 +224,18 @@ def test_jaccard_edges(spark):
     assert sorted(r.text for r in jaccard_join.deduplicated(twice).collect()) == ["a b c d e", "p q r s t"]
 
 
+def test_jaccard_counts_matches_of_both_orders(spark):
+    """1 and 2 are one component, 3 and 4 another; 1 and 3 share a token of each one's main bucket and ask for two."""
+    meta = 4 << 32 | 2 << 24
+    join = object.__new__(jaccard_join.Join)
+    join.percent = 50
+    join.matched = spark.createDataFrame([(t, k, meta) for t, ks in ((7, (1, 2, 3)), (8, (1, 3, 4))) for k in ks], "token long, key long, meta long")
+    sets = spark.createDataFrame([(1, [7, 8, 9, 10]), (2, [7, 20, 21, 22]), (3, [7, 8, 9, 11]), (4, [8, 30, 31, 32])], "key long, grams array<long>")
+    join._sets = lambda pairs: sets
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3)], "node long, component long")
+    assert [tuple(r) for r in join.other_links(labels).collect()] == [(1, 3, 3)]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 300), (None, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
