@@ -10,11 +10,13 @@ base64). Three statistics measure how far a run is from uniform random character
 the character counts, the runs test of codes above and below the alphabet's middle, and the lag-1 serial correlation of the codes,
 each as a standard score; the largest is the run's *distance*.
 
-*Control.* The null, ordinary text, is measured and not assumed: the same distances over all runs of 16 or more letters in the
-corpus, counted by length bin. A candidate's p-value is the share of ordinary runs, of its own and all
-shorter bins, that come as close to random; Benjamini-Hochberg at ``ALPHA`` within each bin decides. Short candidates,
-which ordinary text imitates well, thus need to be much closer than long ones. Both histograms have a fixed size
-(bins x cells) and cover every document; only they reach the driver. Accepted candidates that overlap no base span are added as ``random``.
+*Control.* The null is ordinary text. It is measured: the same distances over all distinct runs of 16 or more letters in the
+corpus, counted by length bin; a candidate's p-value is the share of ordinary runs, of its own and all shorter bins, that come as close to
+random. Where a bin has so few of them that this share can't get small enough to decide on its candidates, the p-value is the product of
+the three tests' own distributions for ordinary text of the run's length and encoding (``modelled``), so a small table, or one without long words, is decided
+as well. Benjamini-Hochberg at ``ALPHA`` within each bin decides on distinct candidates: copies count once. Short candidates,
+which ordinary text imitates well, thus need to be much closer than long ones. The histogram has a fixed size
+(lengths x encodings x cells) and covers every document; only it reaches the driver. Accepted candidates that overlap no base span are added as ``random``.
 
 Everything is DataFrame functions. Defined results: null or empty text has no spans; repeated rows are scanned each; an empty
 table gives an empty result; texts of any length are scanned whole (places are code points, end exclusive).
@@ -23,7 +25,9 @@ Extra columns are left behind by ``scan`` and kept by ``redact``.
 
 from __future__ import annotations
 
+import math
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +48,11 @@ ORDINARY = r"[A-Za-z]{16,}"
 BINS = (19, 23, 31, 47)
 CELLS, CELL = 400, 0.05
 ALPHA = 0.01
+#: Lengths are told apart from SHORTEST on; LONGEST and longer are one.
+SHORTEST, LONGEST = 16, 64
+#: Ordinary text of the modelled null: letters by English frequency (a to z), with some capitals, digits and separators.
+LETTERS = (.0817, .0149, .0278, .0425, .1270, .0223, .0202, .0609, .0697, .0015, .0077, .0403, .0241, .0675, .0751, .0193, .0010, .0599, .0633, .0906, .0276, .0098, .0236, .0015, .0197, .0007)
+CAPITALS, DIGITS, SEPARATORS = 0.1, 0.1, 0.05
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Inferred encodings, smallest first: pattern of the whole run and the alphabet in code order.
@@ -112,35 +121,116 @@ def _cell(value: Column) -> Column:
 
 
 def _is_candidate(value: Column) -> Column:
-    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(_core(value)) >= 16)
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(_core(value)) >= SHORTEST)
+
+
+def _size(value: Column) -> Column:
+    return F.least(F.greatest(F.length(_core(value)), F.lit(SHORTEST)), F.lit(LONGEST)) - SHORTEST
+
+
+def _encoding(value: Column) -> Column:
+    def found(core: Column) -> Column:
+        out = F.lit(len(ENCODINGS) - 1)
+        for k, (pattern, _) in reversed(list(enumerate(ENCODINGS))[:-1]):
+            out = F.when(core.rlike(pattern), F.lit(k)).otherwise(out)
+        return out
+
+    return let(_core(value), found)
+
+
+def _gamma(shape: float, x: float) -> float:
+    """The distribution function of a gamma variable of scale 1 (series of the incomplete gamma function)."""
+    if x <= 0:
+        return 0.0
+    term = total = 1.0 / shape
+    k = shape
+    while term > total * 1e-12:
+        k += 1
+        term *= x / k
+        total += term
+    return min(1.0, total * math.exp(shape * math.log(x) - x - math.lgamma(shape)))
+
+
+def _ordinary(alphabet: str) -> list[float]:
+    """The chances of an alphabet's characters in ordinary text."""
+    def weight(c: str) -> float:
+        if c in _LOWER:
+            return LETTERS[ord(c) - 97] * (1 - CAPITALS if set(_UPPER) & set(alphabet) else 1)
+        if c in _UPPER:
+            return LETTERS[ord(c) - 65] * (CAPITALS if set(_LOWER) & set(alphabet) else 1)
+        return DIGITS / 10 if c in _DIGITS else SEPARATORS / 2
+
+    weights = [weight(c) for c in alphabet]
+    return [w / sum(weights) for w in weights]
+
+
+@lru_cache(None)
+def modelled(n: int, encoding: int, cell: int) -> float:
+    """The chance that ordinary text of n characters of an encoding comes as close to random as a cell.
+
+    The chi-squared statistic is that of the number of equal character pairs, gamma distributed with its exact mean and variance for
+    characters drawn as in ordinary text; the other two are standard normal for any text without order, which is the closest text can come.
+    """
+    alphabet = ENCODINGS[encoding][1]
+    m, q, d = len(alphabet), _ordinary(alphabet), cell * CELL
+    second, third = sum(x ** 2 for x in q), sum(x ** 3 for x in q)
+    mean = n * (n - 1) / 2 * second
+    variance = n * (n - 1) / 2 * (second - second ** 2) + n * (n - 1) * (n - 2) * (third - second ** 2)
+    equal = (((d * (2.0 * (m - 1)) ** 0.5 + m - 1 + n) * n / m) - n) / 2
+    return _gamma(mean ** 2 / variance, equal * mean / variance) * math.erf(d / 2 ** 0.5) ** 2
 
 
 def thresholds(docs: DataFrame, alpha: float = ALPHA) -> list[int]:
-    """The last accepted distance cell of each length bin (-1: none), from the whole corpus."""
+    """The last accepted distance cell (-1: none) of each length and encoding (``_slot``), from the whole corpus."""
     # a run of candidate characters without digits is split into its letter runs: ordinary text
     runs = docs.select(F.explode(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("run"))
     ordinary = F.when(~F.col("run").rlike("[0-9]"), F.regexp_extract_all("run", F.lit(ORDINARY), F.lit(0)))
     own = F.when(_is_candidate(F.col("run")), F.array("run"))
     parts = runs.select(F.explode(F.concat(F.transform(F.coalesce(ordinary, F.array().cast("array<string>")), lambda v: F.struct(v.alias("v"), F.lit(0).alias("c"))),
                                            F.transform(F.coalesce(own, F.array().cast("array<string>")), lambda v: F.struct(v.alias("v"), F.lit(1).alias("c"))))).alias("p"))
-    counted = (parts.select(length_bin(F.col("p.v")).alias("bin"), _cell(F.col("p.v")).alias("cell"), F.col("p.c").alias("c"))
-               .groupBy("bin", "cell").agg(F.sum("c").alias("candidates"), F.sum(1 - F.col("c")).alias("ordinary")).collect())
-    out, null = [], [0] * (CELLS + 1)
+    once = parts.select("p.v", "p.c").distinct()
+    counted = (once.select(length_bin(F.col("v")).alias("bin"), _size(F.col("v")).alias("size"), _encoding(F.col("v")).alias("encoding"), _cell(F.col("v")).alias("cell"), "c")
+               .groupBy("bin", "size", "encoding", "cell").agg(F.sum("c").alias("candidates"), F.sum(1 - F.col("c")).alias("ordinary")).collect())
+    return decided([(r["bin"], r["size"], r.encoding, r.cell, r.candidates, r.ordinary) for r in counted if r.cell is not None], alpha)
+
+
+def decided(counted: list[tuple[int, int, int, int, int, int]], alpha: float) -> list[int]:
+    """The last accepted cells by ``_slot``, of (bin, size, encoding, cell, candidates, ordinary) rows."""
+    out, null = [-1] * (len(BINS) + 1) * (LONGEST - SHORTEST + 1) * len(ENCODINGS), [0] * (CELLS + 1)
     for k in range(len(BINS) + 1):
-        tested = [0] * (CELLS + 1)
-        for r in counted:
-            if r["bin"] == k and r.cell is not None:
-                tested[r.cell] += r.candidates
-                null[r.cell] += r.ordinary
-        total, tests, close, found, last = sum(null), sum(tested), 0, 0, -1
-        for cell in range(CELLS):  # the last cell is open and never accepted
-            close, found = close + null[cell], found + tested[cell]
-            if found and (1 + close) / (1 + total) * tests <= alpha * found:
-                last = cell
-        out.append(last)
+        tested: dict[tuple[int, int, int], int] = {}
+        for b, size, encoding, cell, candidates, ordinary in counted:
+            if b == k:
+                null[cell] += ordinary
+                if candidates:
+                    tested[size, encoding, cell] = tested.get((size, encoding, cell), 0) + candidates
+        total, tests, close = sum(null), sum(tested.values()), 0
+        measured = []
+        for cell in range(CELLS):
+            close += null[cell]
+            measured.append((1 + close) / (1 + total))
+        # the strictest step of Benjamini-Hochberg: can the measured null take it at all?
+        fine = tests <= alpha * (1 + total)
+        chance = lambda size, encoding, cell: measured[cell] if fine else modelled(size + SHORTEST, encoding, cell)
+        found, limit = 0, -1.0
+        for p, n in sorted((chance(*key), n) for key, n in tested.items() if key[2] < CELLS):  # the last cell is open and never accepted
+            found += n
+            if p * tests <= alpha * found:
+                limit = p
+        for size, encoding in {key[:2] for key in tested}:
+            accepted = [cell for cell in range(CELLS) if chance(size, encoding, cell) <= limit]
+            out[_place(k, size, encoding)] = max(accepted, default=-1)
     return out
 
 
+def _place(bin_, size, encoding):
+    return (bin_ * (LONGEST - SHORTEST + 1) + size) * len(ENCODINGS) + encoding
+
+
+def _slot(value: Column) -> Column:
+    return _place(length_bin(value), _size(value), _encoding(value))
+
+
 def _of_kind(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["value"].alias("value")))
 
@@ -155,7 +245,7 @@ def base_spans(text: Column) -> Column:
 def random_spans(text: Column, limits: list[int]) -> Column:
     accepted = F.array(*[F.lit(x) for x in limits])
     runs = F.filter(find_spans(text, CANDIDATE, text.rlike(r"[0-9][A-Za-z+/_=-]|[A-Za-z+/_=-][0-9]")), lambda s: _is_candidate(s["value"]))
-    near = F.filter(runs, lambda s: _cell(s["value"]) <= F.element_at(accepted, length_bin(s["value"]) + 1))
+    near = F.filter(runs, lambda s: _cell(s["value"]) <= F.element_at(accepted, _slot(s["value"]) + 1))
     return _of_kind(near, "random")
 
 

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from carepulse.llm import (
     components, decontamination, importance_resampling, jaccard_join, learned_index, license_scan, pii_scan, queries, secret_scan,
@@ -387,6 +388,20 @@ def test_secret_battery_adds_random_and_leaves_words(spark):
     assert not any(got[100 + i] for i in range(200))
 
 
+@pytest.mark.parametrize("copies", [1, 20_000])
+def test_secret_battery_needs_no_long_words_and_ignores_copies(spark, copies):
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(letters) for _ in range(60)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, f"short words here {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    template = "the_invoice_of_the_customer_in_the_region_of_the_north_01"
+    many = spark.range(1000, 1000 + copies).selectExpr("id as doc_id", f"'see {template} there' as text")
+    limits = secret_scan.thresholds(docs.unionByName(many))
+    found = docs.unionByName(many.limit(1)).select("doc_id", secret_scan.random_spans(F.col("text"), limits)["value"].alias("v")).collect()
+    got = {r.doc_id: r.v for r in found}
+    assert sum(got[i] == [k] for i, k in enumerate(keys)) >= 17 and got[1000] == []
+
+
 def test_secret_redaction_and_edges(spark):
     docs = spark.createDataFrame([(1, "a token=abcdef z", 99), (2, "plain", 5), (3, None, 7), (4, "", 0), (5, "token=deadbeefdeadbeefdeadbeef x password=qwertyu", 1)], "doc_id long, text string, n_chars long")
     rows = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.redact(docs).collect()}
