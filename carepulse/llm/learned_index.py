@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions (largest inner product).
 
-Fitting, on a bounded sample of ``SAMPLE`` vectors (lowest hash of the id), in one task:
+Fitting, on a bounded sample of ``SAMPLE`` vectors (lowest hash of id and vector), in one task:
 
 1. the sample's exact neighbour graph (``GRAPH`` neighbours each, made mutual by adding the reverse links);
 2. a balanced partitioning of the graph into ``parts``: seeded by balanced clustering, then refined by rounds in which each
@@ -11,8 +11,9 @@ Fitting, on a bounded sample of ``SAMPLE`` vectors (lowest hash of the id), in o
    parts hold ``TARGET`` of their nearest sample vectors (which are further away than the nearest of all, so the estimate is a careful one).
 
 Indexing assigns every vector to its most probable part. A query goes to its most probable parts; all vectors of these parts are reranked by
-exact inner products in double precision. Parts are cut into lanes of about ``LANE`` vectors by a hash of the id, and the queries of a lane into blocks, so
-neither a large part nor a vector that a third of all rows share lands in one task; every lane gives its best k, and these are merged.
+exact inner products in double precision. Equal rows (id and vector) are one from the start. Parts are cut into lanes of about ``LANE`` vectors by a hash of
+id and vector, and the queries of a lane into blocks, so neither a large part nor an id or a vector that a third of all rows share lands in one task; every lane
+gives its k best ids, and these are merged.
 
 ``parts`` grows with the table (about ``PART_SIZE`` vectors each, ``MOST_PARTS`` at most, as many as the sample can fit).
 
@@ -43,7 +44,8 @@ FIT_STEPS = 300
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, v) of the vectors that take part, in double precision; a repeated row once."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
+    rows = stored(rows.distinct(), "vectors").select("vec_id", F.col("v").cast("array<double>").alias("v"))
     fine = rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
     size = fine.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     return fine.where(F.size("v") == (size[0].d if size else 0))
@@ -136,7 +138,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int) -> list[tuple[int, int, float]]:
-    """(query, candidate, score) of each query's k best in a block, ties to the smaller id.
+    """(query, candidate, score) of each query's k best ids in a block, an id by its best row, ties to the smaller id.
 
     The matrix product finds who can be among the best; scores are then summed anew pair by pair, in one fixed order, so
     equal vectors have equal scores wherever they stand in a block.
@@ -144,10 +146,13 @@ def best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k:
     out = []
     scores = q @ c.T
     scores[q_ids[:, None] == c_ids[None, :]] = -np.inf
+    by_id = np.argsort(c_ids, kind="stable")
+    first = np.flatnonzero(np.diff(c_ids[by_id], prepend=c_ids[by_id[0]] - 1))
+    tops = scores if len(first) == len(c_ids) else np.maximum.reduceat(scores[:, by_id], first, axis=1)
     for i, row in enumerate(scores):
-        near = np.flatnonzero(row > -np.inf)
-        if len(near) > k:
-            kth = -np.partition(-row, k - 1)[k - 1]
+        near, top = np.flatnonzero(row > -np.inf), tops[i]
+        if np.count_nonzero(top > -np.inf) > k:
+            kth = -np.partition(-top, k - 1)[k - 1]
             near = np.flatnonzero(row >= kth - 1e-9 * max(1.0, abs(kth)))
         exact = (c[near] * q[i]).sum(axis=1)
         order = np.lexsort((c_ids[near], -exact))
@@ -168,7 +173,7 @@ class Index:
         importable(vectors.sparkSession)
         self.rows = usable(vectors, id_col, vector_col)
         n = self.rows.count()
-        fitted = self.rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+        fitted = self.rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE)
         self.parts = parts or max(1, min(MOST_PARTS, n // PART_SIZE, min(n, SAMPLE) // 32))
 
         def learn(table: pa.Table) -> pa.Table:
@@ -209,8 +214,8 @@ class Index:
         asked = routed.groupBy("part").agg(F.ceil(n / QUERY_BLOCK).cast("int").alias("blocks"))
         cut = F.broadcast(sizes.join(asked, "part"))
         each = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
-        c = self.assigned.join(cut, "part").select("part", F.pmod(F.xxhash64("vec_id"), F.col("lanes")).cast("int").alias("lane"), each("blocks").alias("block"), "vec_id", "v")
-        q = routed.join(cut, "part").select("part", each("lanes").alias("lane"), F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
+        c = self.assigned.join(cut, "part").select("part", F.pmod(F.xxhash64("vec_id", "v"), F.col("lanes")).cast("int").alias("lane"), each("blocks").alias("block"), "vec_id", "v")
+        q = routed.join(cut, "part").select("part", each("lanes").alias("lane"), F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
 
         def rerank(key, left: pa.Table, right: pa.Table) -> pa.Table:
             found = []

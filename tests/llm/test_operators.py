@@ -563,3 +563,23 @@ def test_index_edges(spark):
     same = learned_index.Index(spark.createDataFrame([(i, [0.5, 0.5, 0.5]) for i in range(400)], "vec_id long, embedding array<float>"), parts=4)
     best = [r.vec_id for r in same.search(same.rows.where("vec_id = 380"), 5).orderBy("rank").collect()]
     assert best == [0, 1, 2, 3, 4]
+
+
+def test_index_repeated_ids_leave_room_for_others(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    query = rows[40][1]
+    rows += [(7, [1.0 * x for x in query])] * 30 + [(8, [x * (1 + j / 100) for x in query]) for j in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for i, v in rows:
+        if i != 40:
+            want[i] = max(want.get(i, -math.inf), float((np.array(v) * np.array(query)).sum()))
+    want = sorted(want.items(), key=lambda x: (-x[1], x[0]))[:20]
+    for lane in (learned_index.LANE, 16):
+        monkeypatch.setattr(learned_index, "LANE", lane)
+        index = learned_index.Index(frame, parts=1)
+        assert index.rows.count() == 60 + 1 + 30
+        got = index.search(index.rows.where("vec_id = 40"), 20).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == [i for i, _ in want]
+        assert np.allclose([r.score for r in got], [s for _, s in want], rtol=1e-12)
