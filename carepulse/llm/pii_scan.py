@@ -4,7 +4,7 @@
 matches of each, those that fail their test dropped.
 
 *Candidates.* Looser patterns propose spelled-out addresses (``name (at) host (dot) org``) and grouped or long digit
-runs that no base span covers.
+runs, also right after a label's mark (``Tel:555-123-4567``), that no base span covers.
 
 *Labelers.* Regex, gazetteer and context labelers vote on every base span and candidate: 1 personal, 0 not, -1 no
 opinion (``votes``). Votes are aggregated to counts for each vote pattern and feature row (at most a few
@@ -44,12 +44,14 @@ _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 _DOT = r"(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
 CONTACT = rf"[A-Za-z0-9._%+-]{{2,64}}(?:\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9-]{{1,63}}(?:(?:{_DOT}|\.)[A-Za-z0-9-]{{2,63}}){{1,8}}"
-NUMBER = r"(?<![0-9A-Za-z+.:/=-])(?:\([0-9]{2,4}\)\x20?)?[0-9]{2,19}(?:[\x20.-][0-9]{2,4}){0,5}(?![0-9A-Za-z:/=])"
+#: A number may follow a label (``Tel:``, ``phone=``, ``Tel.``, ``no-``), but no digit and mark (times, decimals, ratios) and no slash (paths).
+NUMBER = r"(?<![0-9A-Za-z+/])(?<![0-9][:=])(?<![^A-Za-z][.-])(?:\([0-9]{2,4}\)\x20?)?[0-9]{2,19}(?:[\x20.-][0-9]{2,4}){0,5}(?![0-9A-Za-z/]|[:=][0-9])"
 
 #: Gazetteers and context words of the labelers.
 PROVIDERS = r"(?i)mail|example|gmail|yahoo|outlook|proton|web|post|inbox"
 PERSONAL_WORDS = r"(?i)\b(?:tel|phone|call|mobile|cell|fax|contact|e-?mail|mail|ssn|card|visa|account|address|reach|whatsapp)\b"
 OTHER_WORDS = r"(?i)\b(?:page|pages|version|isbn|chapter|figure|fig|table|total|year|section|http|vol|no|issue|line|rfc)\b\W*$"
+URL = r"//\S*$"
 UNITS = r"(?i)^\x20?(?:%|kg|km|cm|mm|eur|usd|dollars|pages|times|years|percent|€|\$)"
 DATE = r"^(?:[0-9]{4}[.-][0-9]{2}[.-][0-9]{2}|[0-9]{1,2}[.-][0-9]{1,2}[.-][0-9]{2,4}|(?:19|20)[0-9]{2})$"
 LABELERS = ("pattern", "shape", "gazetteer", "before", "after", "checksum")
@@ -99,7 +101,7 @@ def votes(s: Column) -> dict[str, Column]:
     return {
         "pattern": _vote(s["kind"].isin("email", "ip", "card", "phone", "contact") | value.rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}$|^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), value.rlike(DATE)),
         "shape": _vote(numeric & n.between(9, 16) & value.rlike(r"[\x20().-]"), numeric & ((n < 9) | ~value.rlike(r"[\x20().+-]"))),
-        "gazetteer": _vote(~numeric & value.rlike(PROVIDERS) | numeric & value.rlike(r"\b555\b"), s["before"].rlike(OTHER_WORDS)),
+        "gazetteer": _vote(~numeric & value.rlike(PROVIDERS) | numeric & value.rlike(r"\b555\b"), s["before"].rlike(OTHER_WORDS) | numeric & s["before"].rlike(URL)),
         "before": _vote(s["before"].rlike(PERSONAL_WORDS), s["before"].rlike(OTHER_WORDS)),
         "after": _vote(s["after"].rlike(PERSONAL_WORDS), s["after"].rlike(UNITS)),
         "checksum": F.when(numeric & n.between(13, 19), F.when(luhn(digits(value)), 1).otherwise(0)).otherwise(-1),

@@ -454,6 +454,23 @@ def test_pii_weak_supervision_adds_personal_candidates(spark):
     assert sum(bool(got[1000 + i]) for i in range(120)) <= 6
 
 
+def test_pii_numbers_joined_to_labels(spark):
+    rng = random.Random(8)
+    texts = {"Tel:555-123-4567": ["555-123-4567"], "phone=5551234567 now": ["5551234567"], "SSN:123-45-6789": ["123-45-6789"], "Tel.555-123-4567": ["555-123-4567"],
+             "phone: 5551234567: Jo": ["5551234567"], "at 12:30:123456": [], "see http://h.org/5551234567": [], "3.14159265": [], "2:1234567": []}
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    spans = pii_scan.candidates(frame.text, pii_scan.base_spans(frame.text))
+    assert {r.text: r.v for r in frame.select("text", spans["value"].alias("v")).collect()} == texts
+    rows = []
+    for i in range(120):
+        label = ("Tel:", "phone=", "SSN:", "mobile: ")[i % 4]
+        rows.append((i, f"{label}{rng.randint(200, 999)}-{rng.randint(200, 999)}-{rng.randint(1000, 9999)}" if i % 4 != 2 else f"SSN:{rng.randint(200, 799)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"))
+        rows.append((1000 + i, f"on page {rng.randint(100000, 999999)} see http://h.org/?id={rng.randint(1000000, 9999999)} and total={rng.randint(1000000, 9999999)} kg"))
+    got = {r.doc_id: [s.kind for s in r.spans] for r in pii_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum("number" in got[i] for i in range(120)) >= 110
+    assert sum(bool(got[1000 + i]) for i in range(120)) <= 6
+
+
 def test_em_recovers_reliabilities():
     rng, table = random.Random(3), {}
     rates = [(0.9, 0.1), (0.8, 0.3), (0.7, 0.05), (0.6, 0.4)]
