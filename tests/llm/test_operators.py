@@ -535,6 +535,44 @@ def test_licences_found_and_others_left(spark):
     assert {r.doc_id for r in rows if r.doc_id >= 100} == want
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version."""
+APACHE = """Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_licences_wrapped_over_lines(spark):
+    notices = [(MIT, "mit"), (BSD, "bsd"), (GPL.format(":", ",", 3), "gpl-3.0"), (GPL.format(";", ";", 2), "gpl-2.0"), (APACHE, "apache-2.0"), ("All rights\nreserved.", "proprietary")]
+    marked = [lambda t, m=m: "\n".join(m + x for x in t.split("\n")) for m in ("", "# ", " * ", "// ")]
+    rows = [(10 * k + j, "Some prose here.\n\n" + mark(t) + "\n\nMore prose.", f) for k, (t, f) in enumerate(notices) for j, mark in enumerate(marked)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").unionByName(
+        spark.read.parquet(f"{SMALL}/documents.parquet").selectExpr("doc_id + 100 as doc_id", "text"))
+    got = license_scan.scan(docs).where("doc_id < 100").collect()
+    assert {(r.doc_id, r.family) for r in got} == {(i, f) for i, _, f in rows}
+    for r in got:
+        at, own = r.paragraph, [x for x in dict((i, t) for i, t, _ in rows)[r.doc_id].split("\n") if x.strip()]
+        assert r.text == "\n".join(own[at:at + r.text.count("\n") + 1])
+    # the parts of a notice on either side of a blank line are no notice
+    apart = spark.createDataFrame([(1, BSD.replace("\n", "\n\n"))], "doc_id long, text string")
+    assert license_scan.scan(apart).collect() == []
+
+
+def test_licence_unknowns_hold_stems(spark):
+    lines = license_scan.unknown_lines(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
+    assert lines and all(re.search(license_scan._GATE.replace("(?i)", ""), r.text, re.I) for r in lines)
+    assert not any(re.match("Licensed under|Released under|All rights reserved", r.text) for r in lines)
+
+
 def test_licence_edges(spark):
     assert license_scan.scan(odd_docs(spark)).collect() == [] and license_scan.scan(empty_docs(spark)).collect() == []
     docs = spark.createDataFrame([(1, "Released under the MIT License.\n\nReleased under the MIT License."), (1, "Released under the MIT License."), (2, "word " * 30_000 + "license")], "doc_id long, text string")
