@@ -55,27 +55,21 @@ def tokenised(docs: DataFrame, tokenizer_file: str, end_id: int | None, size: in
         from pyspark import TaskContext
 
         own, part = tokens(tokenizer_file), TaskContext.get().partitionId()
-        end = b"" if end_id is None else np.array([end_id], own.dtype).tobytes()
-        width, narrow = own.dtype.itemsize, own.dtype.itemsize < 4
+        end = np.array([] if end_id is None else [end_id], own.dtype)
         seen = [0] * (size + 1)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
         names = [f.split()[0] for f in PIECES.split(", ")]
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch, rows = whole.slice(at, 256), []
-                for doc_id, data in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text").to_pylist())):
-                    data += end
-                    for piece, low in enumerate(range(0, len(data), size * width)):
-                        ids = data[low:low + size * width]
-                        n = len(ids) // width
-                        wide = np.frombuffer(ids, own.dtype).astype("<u4") if narrow else ids
-                        rows.append((doc_id, piece, piece * size, n, zlib.crc32(wide), part, seen[n], ids))
-                        seen[n] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else
-                                                 [pa.array([], k) for k in kinds], names=names)
-
-    rows = id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+        for batch in batches:
+            rows = []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text"))):
+                ids = np.concatenate([ids, end])
+                for piece, low in enumerate(range(0, len(ids), size)):
+                    cut = ids[low:low + size]
+                    rows.append((doc_id, piece, low, len(cut), zlib.crc32(cut.astype("<u4")), part, seen[len(cut)], cut.tobytes()))
+                    seen[len(cut)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], names=names)
+
+    return id_text(docs, id_col, text_col).mapInArrow(cut, PIECES)
 
 
 # ---- the plan, on the histogram
