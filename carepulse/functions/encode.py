@@ -68,14 +68,17 @@ def apply_value_maps(df: DataFrame, maps: Mapping[str, tuple[Mapping[str, int],
 
 
 # --- P5 / P6 coercion ------------------------------------------------------
-# Decimal text only: the JVM parser alone would also take `250d`, `1f`, `0x1p3`, `NaN` and `Infinity`.
-_NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+# The JVM parser also takes `250d`, `1f`, `0x1p3` (letters below) and trims control characters; `NaN` and `Infinity` are no finite numbers.
+_NOT_DECIMAL = r"[dDfFxX\x00-\x08\x0E-\x1F]"
 
 
 def coerce_double(col: Column) -> Column:
-    """Text -> finite DOUBLE, anything else -> NULL (`250.83` stays 250.83, `V57`, `250d`, `NaN`, `Infinity` -> NULL)."""
-    number = F.when(col.rlike(_NUMBER), col.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    """Text -> finite DOUBLE, anything else -> NULL (`250.83` stays 250.83, `V57`, `250d`, `NaN`, `Infinity` -> NULL).
+
+    The parsed number is bound once by the array, so each text is parsed once.
+    """
+    parsed = F.array(F.when(~col.rlike(_NOT_DECIMAL), col.try_cast("double")))
+    return F.get(F.filter(parsed, lambda x: F.abs(x) < float("inf")), F.lit(0))
 
 
 def coerce_int(col: Column) -> Column:

@@ -48,33 +48,47 @@ def predict_label(col: Column, high_risk: int = HIGH_RISK_CLASS) -> Column:
     return F.when(col == F.lit(high_risk), F.lit(READMITTED_LABEL)).otherwise(F.lit(NOT_READMITTED_LABEL))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once (a name bound by a lambda is never inlined)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def format_pct(col: Column, decimals: int = 2) -> Column:
     """Number -> '12.35%' text; NULL stays NULL.
 
     The number's exact binary value is rounded, exact halves to the even digit
     (0.125 -> 0.12%, 2.675, which is a little less, -> 2.67%), as a format
-    string does outside the JVM. The side of the half that the number lies on
-    is found without error: it is split into two parts whose products with the
-    scale are exact.
+    string does outside the JVM. The JVM's own format string differs only next
+    to a half, so numbers near one are rounded here without error: the fraction
+    is split into two parts whose products with the scale are exact. From 2**63
+    on, where no double has a fraction, the JVM's digits stand.
     """
     scale = 10 ** int(decimals)
+
+    def exact(x: Column) -> Column:
+        return _let(F.struct(F.floor(x).alias("whole"), (x - F.floor(x)).alias("part")),
+                    lambda n: _let(n["part"] * 134217729.0 - (n["part"] * 134217729.0 - n["part"]),
+                                   lambda high: rounded(n["whole"], high, n["part"] - high)))
+
+    def rounded(whole: Column, high: Column, low: Column) -> Column:
+        def past_half(k: Column) -> Column:  # sign: the fraction against (k + 1/2) / scale
+            return (high * (2 * scale) - (2 * k + 1)) + low * (2 * scale)
+
+        def nearest(k: Column) -> Column:
+            odd = (whole + k) % 2 == 1 if decimals == 0 else k % 2 == 1
+            return F.when((past_half(k) > 0) | ((past_half(k) == 0) & odd), k + 1).otherwise(k)
+
+        floor = F.floor((high + low) * scale)
+        return _let(F.when(past_half(floor - 1) < 0, floor - 1).otherwise(floor), lambda k: _let(nearest(k), lambda up: text(whole, up)))
+
+    def text(whole: Column, k: Column) -> Column:
+        units = F.when(k == scale, whole + 1).otherwise(whole).cast("string")
+        return units if decimals == 0 else F.concat(units, F.lit("."), F.lpad((k % scale).cast("string"), int(decimals), "0"))
+
     x = F.abs(col)
-    split = x * 134217729.0
-    high = split - (split - x)
-    low = x - high
-    k = F.floor(x * scale)
-
-    def past_half(n: Column) -> Column:  # sign: the number against (n + 1/2) / scale
-        return (high * (2 * scale) - (2 * n + 1)) + low * (2 * scale)
-
-    k = F.when(past_half(k - 1) < 0, k - 1).otherwise(k)
-    k = F.when((past_half(k) > 0) | ((past_half(k) == 0) & (k % 2 == 1)), k + 1).otherwise(k).cast("long")
-    digits = F.lpad(k.cast("string"), F.greatest(F.length(k.cast("string")), F.lit(int(decimals) + 1)), F.lit("0"))
-    point = F.length(digits) - int(decimals)
-    text = digits if decimals == 0 else F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, F.lit(int(decimals))))
-    sign = F.when((col < 0), F.lit("-")).otherwise(F.lit(""))
-    exact = F.concat(sign, text, F.lit("%"))
-    return F.when(x < 1e12, exact).when(col.isNotNull(), F.format_string(f"%.{int(decimals)}f%%", col))
+    near = (F.abs(x * scale - F.floor(x * scale) - 0.5) < x * scale * 2.0 ** -50 + 1e-9) | (x >= 2.0 ** 40)
+    sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.when(near & (x < 2.0 ** 63), F.concat(sign, exact(x), F.lit("%"))).when(col.isNotNull(), F.format_string(f"%.{int(decimals)}f%%", col))
 
 
 def row_to_csv(df: DataFrame, cols: Iterable[str] | None = None, alias: str = "line") -> DataFrame:

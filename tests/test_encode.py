@@ -124,3 +124,24 @@ def test_format_pct_and_label(spark):
     halves = spark.createDataFrame([(x,) for x in (0.125, 2.675, 0.375, 1.005, 99.995, -0.125, 0.005, 1e15, 7.0)], "p double")
     assert [r.t for r in halves.select(format_pct(F.col("p")).alias("t")).collect()] == [f"{x:.2f}%" for x in (0.125, 2.675, 0.375, 1.005, 99.995, -0.125, 0.005, 1e15, 7.0)]
     assert [r.l for r in got] == ["Readmitted", "Not Readmitted", "Not Readmitted"]
+
+
+def test_format_pct_equals_a_format_string_next_to_halves(spark):
+    import math
+    import random
+    rng = random.Random(2)
+    xs = [rng.randrange(10 ** 6) / 8 for _ in range(300)] + [rng.randrange(10 ** 5) / 1000 + 0.005 for _ in range(300)]
+    xs += [math.nextafter(x, s) for x in xs for s in (-math.inf, math.inf)] + [10.0 ** e * rng.random() for e in range(-8, 18) for _ in range(20)]
+    xs += [2.0 ** 53 + 2, 2.0 ** 62, 9007199254740993.0, 4503599627370496.5, 1e13 + 0.125, 0.0, -0.0, 0.5, 1.5, 2.5]
+    xs += [-x for x in xs]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "p double")
+    for decimals in (0, 1, 2, 3):
+        got = {r.p: r.t for r in df.select("p", format_pct_of(decimals).alias("t")).collect()}
+        assert got[None] is None
+        for x in xs:
+            assert got[x].lstrip("-") == f"{abs(x):.{decimals}f}%" and (x >= 0 or got[x][0] == "-"), x
+
+
+def format_pct_of(decimals):
+    from carepulse.functions.records import format_pct
+    return format_pct(F.col("p"), decimals)
