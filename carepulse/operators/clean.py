@@ -130,12 +130,58 @@ def label_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return dense_index(long, "v", by=["name"], out="code")
 
 
+#: A dictionary of up to so many entries is broadcast as one row of maps (about 100 bytes each); a larger one is joined.
+MAP_ENTRIES = 200_000
+
+
+def code_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, unseen: int | str | None = "keep",
+                 markers: bool = True) -> DataFrame:
+    """The codes (INT) of all `cols` in one pass over the rows, by a dictionary (name, v, code).
+
+    `unseen` text: "keep" = one past the column's last code, NULL, or a fixed code. NULL (and, with `markers`, `?`) stays NULL. While the
+    dictionary is small, its entries come as one value of maps (a scalar subquery) and no row is exchanged; beyond
+    `MAP_ENTRIES` the rows' values are joined in long form, once for all columns, and folded back by row.
+    """
+    present = [c for c in cols if c in df.columns]
+    src = replace_null_markers(df, present) if markers else df
+    own = dictionary.where(F.col("name").isin(present)).withColumn("v", F.col("v").cast("string"))
+    sizes = {r["name"]: (int(r["n"]), int(r["last"])) for r in own.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("code").alias("last")).collect()}  # one row per column
+
+    def coded(c: str, code):
+        if unseen is None:
+            return code.cast("int")
+        fallback = (sizes[c][1] + 1 if c in sizes else 0) if unseen == "keep" else int(unseen)
+        return F.when(_q(c).isNotNull(), F.coalesce(code.cast("int"), F.lit(fallback)))
+
+    if sum(n for n, _ in sizes.values()) <= MAP_ENTRIES or df.isStreaming:
+        entries = [F.map_from_entries(F.collect_list(F.when(F.col("name") == c, F.struct("v", "code")))).alias(f"m{i}") for i, c in enumerate(present)]
+        maps = own.groupBy().agg(F.struct(*entries).alias("maps")).scalar() if present else None  # one row, read once for the whole query
+        codes = {c: coded(c, F.try_element_at(maps[f"m{i}"], _q(c).cast("string"))).alias(c) for i, c in enumerate(present)}
+        return src.select(*[codes.get(c, _q(c)) for c in df.columns])
+    return _coded_by_join(src, present, own, coded)
+
+
+def _coded_by_join(df: DataFrame, cols: list[str], dictionary: DataFrame, coded) -> DataFrame:
+    """Distinct values find their codes, once for all columns; then the columns of a row, told apart by its own values, take them.
+
+    The rows are numbered in a stored copy, so both sides of the fold see the same numbers.
+    """
+    from carepulse.session import new_scratch
+    path = new_scratch(df.sparkSession, "coded")
+    df.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    long = rows.select("_row", F.inline(F.array(*[F.struct(F.lit(c).alias("name"), _q(c).cast("string").alias("v")) for c in cols]))).where(F.col("v").isNotNull())
+    found = long.join(dictionary, ["name", "v"])  # a hot value is one entry: the skewed side is split, the dictionary's never large
+    folded = found.groupBy("_row").agg(*[F.max(F.when(F.col("name") == c, F.col("code"))).alias(f"_code{i}") for i, c in enumerate(cols)])
+    codes = {c: coded(c, F.col(f"_code{i}")).alias(c) for i, c in enumerate(cols)}
+    return rows.join(folded, "_row", "left").select(*[codes.get(c, _q(c)) for c in df.columns])
+
+
 def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: DataFrame | None = None,
                  unseen: int | str | None = None) -> DataFrame:
-    """M1: replace each string column by its dense alphabetical code (INT).
+    """M1: replace each string column by its dense alphabetical code (INT), all columns in one pass.
 
-    The dictionary is built distributedly and joined as Spark sees fit (it knows
-    the bytes of the checkpointed dictionary). NULL stays
+    The dictionary is built distributedly unless one is given. NULL stays
     NULL; a value absent from a given dictionary gets `unseen`: NULL (default),
     a fixed code, or "keep" = one past the column's last code (the number of
     labels the column was fitted on).
@@ -143,18 +189,7 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
     cols = list(cols) if cols is not None else string_columns(df)
     # a fitted dictionary is a checkpointed (or caller-owned) frame: re-reading it is cheap
     dic = dictionary if dictionary is not None else label_dictionary(df, cols)
-    sizes = {r["name"]: int(r["n"]) for r in dic.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()} if unseen == "keep" else {}
-    out = df
-    for i, c in enumerate(cols):
-        key = f"_k{i}"
-        d = dic.where(F.col("name") == c).select(F.col("v").alias(key), F.col("code").cast("int").alias(f"_c{i}"))
-        out = out.join(d, _q(c) == F.col(key), "left")
-        code = F.col(f"_c{i}")
-        if unseen is not None:
-            fallback = sizes.get(c, 0) if unseen == "keep" else int(unseen)
-            code = F.when(_q(c).isNotNull(), F.coalesce(code, F.lit(fallback))).otherwise(code)
-        out = out.withColumn(c, code).drop(key, f"_c{i}")
-    return out.select(*df.columns)
+    return code_columns(df, cols, dic, unseen, markers=False)
 
 
 def text_code_dictionary(train: DataFrame, cols: Sequence[str] = UNMAPPED_TEXT_COLUMNS) -> DataFrame:
@@ -171,8 +206,7 @@ def apply_text_codes(df: DataFrame, dictionary: DataFrame,
     of coercing the text to NULL -> 0 (the reference's serving behaviour,
     still the default when this step is skipped). `?` is a NULL marker first.
     """
-    present = [c for c in cols if c in df.columns]
-    return label_encode(replace_null_markers(df, present), present, dictionary, unseen="keep")
+    return code_columns(df, cols, dictionary)
 
 
 # --- M5 standardisation ----------------------------------------------------

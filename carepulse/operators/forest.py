@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carepulse.schemas import FEATURE_COLUMNS, HIGH_RISK_CLASS, ID_COLUMNS, PROBABILITY_COLUMN, quote
+from carepulse.operators.stages import EncounterEncoder, PopulationScaler, TextCoder
+from carepulse.schemas import FEATURE_COLUMNS, HIGH_RISK_CLASS, ID_COLUMNS, PROBABILITY_COLUMN, UNMAPPED_TEXT_COLUMNS, quote
 
 LABEL_INDEX = "label_idx"
 
@@ -34,23 +35,24 @@ def _plain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def build_pipeline(features: Sequence[str], *, num_trees: int = 100, max_depth: int = 30,
-                   seed: int = 42, scale: bool = False, max_bins: int = 32) -> Pipeline:
-    """Assembler + optional scaler + M3 forest over an already indexed label column.
+                   seed: int = 42, scale: bool = False, max_bins: int = 32, before: Sequence[Estimator | Transformer] = ()) -> Pipeline:
+    """`before`, then optional scaler, assembler and M3 forest over an already indexed label column.
 
     Trees split on per-feature quantile bins, which a per-feature affine
-    scaling does not change, so the scaler stage (the reference's X2 step) is
-    off by default and available with ``scale=True``; when on, it is fitted on
-    the training split inside the same pipeline.
+    scaling does not change, so the scaler (M5, the reference's X2 step: mean
+    and population deviation) is off by default and available with
+    ``scale=True``; when on, it is fitted on the training split inside the same
+    pipeline, and saved with it.
     """
-    # Column names may contain '-': VectorAssembler takes them verbatim.
-    assembler = VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="keep")
-    stages = [assembler]
-    feat = "raw_features"
+    names, stages = list(features), list(before)
     if scale:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-        feat = "features"
+        scaled = [f"scaled_{i}" for i in range(len(names))]
+        stages.append(PopulationScaler(inputCols=names, outputCols=scaled))
+        names = scaled
+    # Column names may contain '-': VectorAssembler takes them verbatim.
+    stages.append(VectorAssembler(inputCols=names, outputCol="raw_features", handleInvalid="keep"))
     stages.append(RandomForestClassifier(
-        featuresCol=feat, labelCol=LABEL_INDEX, numTrees=num_trees, maxDepth=max_depth, seed=seed,
+        featuresCol="raw_features", labelCol=LABEL_INDEX, numTrees=num_trees, maxDepth=max_depth, seed=seed,
         featureSubsetStrategy="sqrt", maxBins=max_bins))
     return Pipeline(stages=stages)
 
@@ -75,6 +77,13 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, **kw) -> P
     return PipelineModel(stages=[indexer, *body.stages])
 
 
+def fit_record_forest(train: DataFrame, features: Sequence[str], label: str, *, numeric: str = "double", insulin: bool = True, **kw) -> PipelineModel:
+    """The whole serving path as one saved pipeline over raw encounter records: training codes of the text columns without a
+    value map, the encoder, the scaler and the forest (X1, X2). `kw` as in `build_pipeline`."""
+    before = [TextCoder(inputCols=[c for c in UNMAPPED_TEXT_COLUMNS if c in train.columns]), EncounterEncoder(numeric=numeric, insulin=insulin)]
+    return fit_forest(train, features, label, before=before, scale=True, **kw)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """K8: model, scaler and label order saved together."""
     model.write().overwrite().save(path)

@@ -32,5 +32,5 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from carepulse.plans import (  # noqa: F401
-        q_results, q_encode, q_sources, q_train, q_evaluate, q_model, q_stream,
+        q_results, q_encode, q_sources, q_train, q_evaluate, q_model, q_wide, q_stream,
     )

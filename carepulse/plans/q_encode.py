@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import functions as F
 
 from carepulse.functions.encode import (
@@ -113,12 +115,15 @@ def q_fill_zero(spark, sf):
 
 
 # --- the full encoder (P3-P9 together), 49 features ------------------------
-def _encode_sql(insulin: bool, numeric: str) -> str:
-    present = set(ENCOUNTER_STANDIN_COLUMNS)
+def encoded_columns_sql(insulin: bool, numeric: str, present: Iterable[str] = ENCOUNTER_STANDIN_COLUMNS, coded: Mapping[str, str] = {}) -> list[str]:
+    """The 49 features of the raw columns `present`, as DuckDB expressions; `coded` gives those of text columns with training codes."""
+    present = set(present)
     typ = "DOUBLE" if numeric == "double" else "INTEGER"
     cols = []
     for c in FEATURE_COLUMNS:
-        if c not in present:
+        if c in coded:
+            e = f"COALESCE({coded[c]}, 0)"
+        elif c not in present:
             e = "0"
         elif c in VALUE_MAPS and (insulin or c != "insulin"):
             e = _sql_map(_sql_null(c), *VALUE_MAPS[c])
@@ -127,7 +132,11 @@ def _encode_sql(insulin: bool, numeric: str) -> str:
         else:
             e = f"COALESCE(CAST(trunc(TRY_CAST({_sql_null(c)} AS DOUBLE)) AS INTEGER), 0)"
         cols.append(f"CAST({e} AS {typ}) AS {_dq(c)}")
-    return _ENC + "SELECT " + ", ".join(cols) + " FROM e"
+    return cols
+
+
+def _encode_sql(insulin: bool, numeric: str) -> str:
+    return _ENC + "SELECT " + ", ".join(encoded_columns_sql(insulin, numeric)) + " FROM e"
 
 
 @register("encode_features", _encode_sql(True, "double"))

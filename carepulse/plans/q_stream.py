@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carepulse.operators.forest import score
 from carepulse.plans.catalog import register
 from carepulse.plans.q_encode import _sql_map
+from carepulse.plans.q_model import FEATURES, trained_model, walk_sql
 from carepulse.plans.standins import table
 from carepulse.schemas import AGE_MAP, GENDER_MAP, PROBABILITY_COLUMN, RACE_MAP, VITALS_SCHEMA
 from carepulse.session import new_scratch
@@ -280,15 +282,26 @@ def q_vitals_quarantine(spark, sf):
     return spark.read.parquet(_stream_to_parquet(spark, typed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))))
 
 
-@register("stream_score_forest")
+def _forest_sql() -> str:
+    enc = {"race": _sql_map("NULLIF(race, '?')", RACE_MAP, 0), "gender": _sql_map("gender", GENDER_MAP, -1), "age": _sql_map("age", AGE_MAP, 0),
+           "time_in_hospital": "k % 14 + 1", "num_lab_procedures": "v", "insulin": "CASE WHEN k % 4 = 0 THEN 2 ELSE 0 END"}
+    columns = ", ".join(f'{enc.get(c, "0")} AS "{c}"' for c in FEATURES)
+    return ("WITH RECURSIVE" + _MSG_CTE + f""",
+enc AS (SELECT event_id AS key, user_id, {columns} FROM msg WHERE event_type <> 'error'),""" + walk_sql("forest", "enc", FEATURES, ["user_id"]) + f"""
+SELECT s.key AS encounter_id, s.user_id AS patient_nbr, CAST(e.age AS INTEGER) AS age, CAST(e.gender AS INTEGER) AS gender, CAST(e.race AS INTEGER) AS race,
+       CAST(e.time_in_hospital AS INTEGER) AS time_in_hospital, s.c AS readmission_prediction, round(s.p[2] * 100, 6) AS {PROBABILITY_COLUMN}
+FROM scored s JOIN enc e ON e.key = s.key
+""")
+
+
+@register("stream_score_forest", _forest_sql())
 def q_stream_score_forest(spark, sf):
     """M4 in the stream: the saved forest scores every micro-batch inside the streaming plan."""
-    from carepulse.operators.forest import score
-    from carepulse.plans.q_model import FEATURES, trained_model
     model = trained_model(spark, sf)
 
     def forest(enc):
         return score(model, enc, FEATURES, keep=enc.columns)
 
     res, _, _ = run_scoring(spark, sf, scorer=forest)
-    return spark.read.schema(_RESULT_SCHEMA).option("header", True).csv(res).drop("batch_id")
+    scored = spark.read.schema(_RESULT_SCHEMA).option("header", True).csv(res).drop("batch_id")
+    return scored.withColumn(PROBABILITY_COLUMN, F.round(PROBABILITY_COLUMN, 6))
