@@ -68,17 +68,18 @@ def apply_value_maps(df: DataFrame, maps: Mapping[str, tuple[Mapping[str, int],
 
 
 # --- P5 / P6 coercion ------------------------------------------------------
-# The JVM parser also takes `250d`, `1f`, `0x1p3` (letters below) and trims control characters; `NaN` and `Infinity` are no finite numbers.
-_NOT_DECIMAL = r"[dDfFxX\x00-\x08\x0E-\x1F]"
+# The JVM parser also takes `NaN`, `Infinity`, `250d`, `1f`, `0x1p3` (letters below) and trims control characters; with a `?` it takes none of them.
+_NOT_DECIMAL = r"[dDfFxXnN\x00-\x08\x0E-\x1F]"
 
 
 def coerce_double(col: Column) -> Column:
     """Text -> finite DOUBLE, anything else -> NULL (`250.83` stays 250.83, `V57`, `250d`, `NaN`, `Infinity` -> NULL).
 
-    The parsed number is bound once by the array, so each text is parsed once.
+    Every step names the one before once (`nullif` binds it), so a derived column isn't computed again; only numbers
+    beyond the largest double are infinite by then.
     """
-    parsed = F.array(F.when(~col.rlike(_NOT_DECIMAL), col.try_cast("double")))
-    return F.get(F.filter(parsed, lambda x: F.abs(x) < float("inf")), F.lit(0))
+    parsed = F.regexp_replace(col, _NOT_DECIMAL, "?").try_cast("double")
+    return F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def coerce_int(col: Column) -> Column:
@@ -133,12 +134,11 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
                 own = F.when(F.abs(own) < float("inf"), own)
             e = F.coalesce(own.cast(numeric), F.lit(fill))
         else:
-            raw = null_marker_expr(_c(name))
             if name in VALUE_MAPS and (insulin or name != "insulin"):
                 mapping, default = VALUE_MAPS[name]
-                e = value_map_expr(raw, mapping, default)
+                e = value_map_expr(_c(name), mapping, default)  # a null marker is no key: the default
             else:
-                e = coerce(raw)
+                e = coerce(_c(name))  # and no finite number: NULL
             e = F.coalesce(e.cast(numeric), F.lit(fill))
         out.append(e.cast(numeric).alias(name))
     return df.select(*out)

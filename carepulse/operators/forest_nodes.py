@@ -18,6 +18,8 @@ from carepulse.schemas import quote
 
 #: Nodes are broadcast up to so many (about 100 bytes each); beyond, Spark joins them by exchange.
 BROADCAST_NODES = 2_000_000
+#: Levels whose joins are one generated method; longer ones the JVM doesn't compile.
+LEVELS_TOGETHER = 4
 LEAF = -1
 
 
@@ -49,8 +51,8 @@ def node_table(spark: SparkSession, model_path: str) -> DataFrame:
 def score_nodes(nodes: DataFrame, df: DataFrame, features: Sequence[str], key: Sequence[str], positive_index: int = 1) -> DataFrame:
     """Class, P(class ``positive_index``) x 100 and all class probabilities of each ``key``, by walking the nodes.
 
-    ``key`` identifies a row of ``df``; ``nodes`` is read once for each level, so store it. Every row visits every tree, and
-    its visits stay in one task until their probabilities are added up there; only one row for each key is exchanged.
+    ``key`` identifies a row of ``df``; ``nodes`` is read once for each level, so store it. The rows are exchanged by key before they
+    visit every tree, which spreads few large files, and the visits of a row are added up in the same task: no other exchange.
     """
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("tree").alias("trees"), F.max("depth").alias("depth"), F.max(F.size("class_probabilities")).alias("k")).first()
     if not size.n:
@@ -60,12 +62,14 @@ def score_nodes(nodes: DataFrame, df: DataFrame, features: Sequence[str], key: S
         return walk.join(F.broadcast(at) if size.n <= BROADCAST_NODES else at, ["tree", "node"], how)
 
     names = [f"_key{i}" for i in range(len(key))]
-    walk = df.select(*[F.col(quote(k)).alias(n) for k, n in zip(key, names)], F.array(*[F.col(quote(f)).cast("double") for f in features]).alias("x"),
-                     F.explode(F.sequence(F.lit(0), F.lit(size.trees))).alias("tree")).withColumn("node", F.lit(0))
+    rows = df.select(*[F.col(quote(k)).alias(n) for k, n in zip(key, names)], F.array(*[F.col(quote(f)).cast("double") for f in features]).alias("x"))
+    walk = rows.repartition(*names).select("*", F.explode(F.sequence(F.lit(0), F.lit(size.trees))).alias("tree")).withColumn("node", F.lit(0))
     for depth in range(size.depth):
         inner = nodes.where((F.col("depth") == depth) & (F.col("feature") != LEAF)).select("tree", "node", "feature", "threshold", "left_node", "right_node")
         step = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), F.col("left_node")).otherwise(F.col("right_node"))
         walk = joined(walk, inner, "left").select(*names, "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(step).alias("node"))
+        if depth % LEVELS_TOGETHER == LEVELS_TOGETHER - 1:
+            walk = walk.observe(f"depth {depth}", F.count(F.lit(1)).alias("visits"))  # ends the generated method
     leaves = nodes.where(F.col("feature") == LEAF).select("tree", "node", "class_probabilities")
     ended = joined(walk.drop("x"), leaves, "inner")
     p = [f"_p{c}" for c in range(size.k)]

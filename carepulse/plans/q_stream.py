@@ -18,6 +18,7 @@ from carepulse.plans.q_model import FEATURES, trained_model, walk_sql
 from carepulse.plans.standins import table
 from carepulse.schemas import AGE_MAP, GENDER_MAP, PROBABILITY_COLUMN, RACE_MAP, VITALS_SCHEMA
 from carepulse.session import new_scratch
+from carepulse.streaming import store
 from carepulse.streaming.jobs import (
     CORRUPT, keyed_upsert_sink, land_raw, message_stream, parse_messages, parse_typed,
     progress_frame, read_upserted, run_available, score_partial_records, score_stream,
@@ -205,6 +206,28 @@ def q_stream_score_append(spark, sf):
     return (spark.read.schema(_RESULT_SCHEMA).option("header", True).csv(res).drop("batch_id"))
 
 
+@register("stream_compacted", _scored_sql())
+def q_stream_compacted(spark, sf):
+    """K1 + K2: a file of the landing per micro-batch, folded after the run and after its restart with new files; a replayed batch changes nothing."""
+    res, quar, ckpt, half = (new_scratch(spark, t) for t in ("store", "quarantine", "ckpt", "landing-first"))
+    landing = land_messages(spark, sf)
+    messages = spark.read.text(landing, wholetext=False)
+    late = F.crc32(F.col("value").cast("binary")) % 2 == 0
+    messages.where(~late).repartition(MIN_LANDING_FILES).write.text(half)
+
+    def run():
+        score_stream(spark, message_stream(spark, path=half, max_per_trigger=1), rule_scorer, res, quar, ckpt, fmt="store")
+        store.compact(spark, res, _RESULT_SCHEMA, store.committed_upto(spark, ckpt))
+    run()
+    messages.where(late).repartition(MIN_LANDING_FILES).write.mode("append").text(half)
+    run()
+    folded = store.read_store(spark, res, _RESULT_SCHEMA)
+    if store.store_batch(folded.drop("batch_id"), res, 0):
+        raise RuntimeError("a folded batch was written again")
+    store.expire(spark, res)
+    return store.read_store(spark, res, _RESULT_SCHEMA).drop("batch_id")
+
+
 @register("stream_quarantine", "WITH " + _MSG_CTE + "SELECT body AS raw FROM txt WHERE event_type = 'error'")
 def q_stream_quarantine(spark, sf):
     _, quar, _ = run_scoring(spark, sf)

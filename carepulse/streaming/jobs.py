@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carepulse.functions.encode import coerce_int, encode_features
 from carepulse.schemas import ENCOUNTER_SCHEMA, PROBABILITY_COLUMN, quote
+from carepulse.streaming.store import store_batch
 
 CORRUPT = "_corrupt_record"
 
@@ -126,7 +127,8 @@ def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv", progre
     (persist + count, which also tells an empty batch: it writes nothing) and
     both writes read the cached rows, so parse, encode and score run once per
     row. A failing write raises, so the checkpoint does not advance and the
-    batch is retried (never silently dropped).
+    batch is retried (never silently dropped). ``fmt`` "store" keeps the
+    results in a store that `streaming.store.compact` folds.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -135,7 +137,10 @@ def scored_sink(result_path: str, quarantine_path: str, fmt: str = "csv", progre
                 return
             good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "value")
             bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"))
-            write_batch_partition(good, result_path, batch_id, fmt)
+            if fmt == "store":
+                store_batch(good, result_path, batch_id)
+            else:
+                write_batch_partition(good, result_path, batch_id, fmt)
             write_batch_partition(bad, quarantine_path, batch_id, "text" if fmt == "text" else "json")
             if progress_path is not None:
                 counts = batch.agg(F.count(F.lit(1)).alias("input_rows"), F.count(F.col(CORRUPT)).alias("quarantined_rows"))
