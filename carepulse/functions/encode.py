@@ -124,23 +124,22 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
         raise ValueError("numeric must be 'double' or 'int'")
     types = {f.name: f.dataType for f in df.schema.fields}
     coerce = coerce_double if numeric == "double" else coerce_int
+    empty = F.lit(float(fill) if numeric == "double" else int(fill))  # typed: a cast for each column makes the generated code too long to compile
     out = [_c(k) for k in keep]
     for name in features:
         if name not in types:
-            e = F.lit(fill)
+            e = empty
         elif isinstance(types[name], NumericType):
             own = _c(name)
             if isinstance(types[name], FractionalType):  # NaN and the infinities are missing numbers
                 own = F.when(F.abs(own) < float("inf"), own)
-            e = F.coalesce(own.cast(numeric), F.lit(fill))
+            e = F.coalesce(own.cast(numeric), empty)
+        elif name in VALUE_MAPS and (insulin or name != "insulin"):
+            mapping, default = VALUE_MAPS[name]
+            e = value_map_expr(_c(name), mapping, default).cast(numeric)  # a null marker is no key: the default
         else:
-            if name in VALUE_MAPS and (insulin or name != "insulin"):
-                mapping, default = VALUE_MAPS[name]
-                e = value_map_expr(_c(name), mapping, default)  # a null marker is no key: the default
-            else:
-                e = coerce(_c(name))  # and no finite number: NULL
-            e = F.coalesce(e.cast(numeric), F.lit(fill))
-        out.append(e.cast(numeric).alias(name))
+            e = F.coalesce(coerce(_c(name)), empty)  # and no finite number: NULL
+        out.append(e.alias(name))
     return df.select(*out)
 
 
