@@ -78,8 +78,11 @@ def coerce_double(col: Column) -> Column:
     Every step names the one before once (`nullif` binds it), so a derived column isn't computed again; only numbers
     beyond the largest double are infinite by then.
     """
-    parsed = F.regexp_replace(col, _NOT_DECIMAL, "?").try_cast("double")
-    return F.nullif(F.nullif(parsed, F.lit(float("inf"))), F.lit(float("-inf")))
+    return F.nullif(F.nullif(_parsed(col), F.lit(float("inf"))), F.lit(float("-inf")))
+
+
+def _parsed(col: Column) -> Column:
+    return F.regexp_replace(col, _NOT_DECIMAL, "?").try_cast("double")
 
 
 def coerce_int(col: Column) -> Column:
@@ -88,7 +91,7 @@ def coerce_int(col: Column) -> Column:
     A plain cast raises under ANSI and `try_cast('250.83' as int)` is NULL, so
     parse as DOUBLE first and truncate; out-of-range values become NULL.
     """
-    return coerce_double(col).try_cast("int")
+    return _parsed(col).try_cast("int")
 
 
 # --- P8 / P9 / P10 feature alignment ---------------------------------------
