@@ -18,7 +18,7 @@ from carepulse.plans.q_model import FEATURES, trained_model, walk_sql
 from carepulse.plans.standins import table
 from carepulse.schemas import AGE_MAP, GENDER_MAP, PROBABILITY_COLUMN, RACE_MAP, VITALS_SCHEMA
 from carepulse.session import new_scratch
-from carepulse.streaming import store
+from carepulse.streaming import quarantine, store
 from carepulse.streaming.jobs import (
     CORRUPT, keyed_upsert_sink, land_raw, message_stream, parse_messages, parse_typed,
     progress_frame, read_upserted, run_available, score_partial_records, score_stream,
@@ -317,6 +317,54 @@ FROM scored s JOIN enc e ON e.key = s.key
 """)
 
 
+_REASON_CTE = """
+j AS (SELECT user_id, CASE WHEN event_type = 'error' THEN 'not_json' WHEN user_id % 7 = 0 THEN 'empty' WHEN user_id % 7 = 1 THEN 'wrong_type' WHEN user_id % 7 = 2 THEN 'domain' END AS reason FROM events),
+jt AS (SELECT *, '{"patient_id":"' || CAST(user_id AS VARCHAR) || '","age":"' AS head FROM j),
+jr AS (SELECT *, CASE reason WHEN 'not_json' THEN head WHEN 'empty' THEN '{}' WHEN 'wrong_type' THEN head || 'unknown"}' WHEN 'domain' THEN head || '450"}' ELSE head || '45"}' END AS raw FROM jt)
+"""
+_VITALS_RANGES = {"age": (0, 120)}
+
+
+def _judged_vitals(spark, sf):
+    """A stream of messages of every kind through the quarantine: (good folder, bad folder)."""
+    e = table(spark, sf, "events").select("user_id", "event_type")
+    head = F.concat(F.lit('{"patient_id":"'), F.col("user_id").cast("string"), F.lit('","age":"'))
+    kind = F.col("user_id") % 7
+    value = (F.when(F.col("event_type") == "error", head).when(kind == 0, F.lit("{}")).when(kind == 1, F.concat(head, F.lit('unknown"}')))
+             .when(kind == 2, F.concat(head, F.lit('450"}'))).otherwise(F.concat(head, F.lit('45"}'))))
+    landing = land_messages(spark, sf, e.select(value.alias("value")))
+    good, bad, ckpt = new_scratch(spark, "good"), new_scratch(spark, "bad"), new_scratch(spark, "ckpt")
+    quarantine.quarantine_stream(message_stream(spark, path=landing, max_per_trigger=_per_trigger(spark)), VITALS_SCHEMA, good, bad, ckpt, ranges=_VITALS_RANGES)
+    return good, bad
+
+
+@register("quarantine_reasons", "WITH" + _REASON_CTE + """
+SELECT raw, reason, CASE reason WHEN 'wrong_type' THEN 'age' WHEN 'domain' THEN 'age:range' ELSE '' END AS details FROM jr WHERE reason IS NOT NULL
+""")
+def q_quarantine_reasons(spark, sf):
+    """Every message that can't be used, with why."""
+    _, bad = _judged_vitals(spark, sf)
+    rows = spark.read.schema(f"{quarantine.REASON}, batch_id long").parquet(bad)
+    return rows.select("raw", "reason", F.array_join("details", ",").alias("details"))
+
+
+@register("quarantine_replay", "WITH" + _REASON_CTE + """
+SELECT CAST(user_id AS VARCHAR) AS patient_id, CAST(CASE reason WHEN 'wrong_type' THEN 40 ELSE 45 END AS INTEGER) AS age, TRUE AS in_batch
+FROM jr WHERE reason IS NULL OR reason IN ('wrong_type', 'domain')
+""")
+def q_quarantine_replay(spark, sf):
+    """Mended rows come back under the micro-batch that they arrived in; a second run of the job changes nothing."""
+    good, bad = _judged_vitals(spark, sf)
+    out = new_scratch(spark, "redriven")
+
+    def mend(raw, reason):
+        return F.when(reason == "wrong_type", F.replace(raw, F.lit("unknown"), F.lit("40"))).when(reason == "domain", F.replace(raw, F.lit("450"), F.lit("45")))
+    for _ in range(2):
+        quarantine.redrive(spark, bad, out, mend, VITALS_SCHEMA, ranges=_VITALS_RANGES)
+    rows = quarantine.good_rows(spark, good, out, VITALS_SCHEMA)
+    return rows.select("patient_id", "age", F.col("batch_id").isin(0, 1).alias("in_batch"))
+
+
 @register("stream_score_forest", _forest_sql())
 def q_stream_score_forest(spark, sf):
     """M4 in the stream: the saved forest scores every micro-batch inside the streaming plan."""

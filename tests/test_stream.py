@@ -140,3 +140,46 @@ def test_keyed_upsert_by_arrival(spark, scratch):
         sink(spark.createDataFrame([("b", 1, "w"), (None, 1, "a smaller payload")], "k string, seq long, v string").coalesce(1), 1)
         got = {r.k: r.v for r in read_upserted(spark, out, "k", order).collect()}
         assert got == {"a": "aaa second", "b": "w", "unknown": "a smaller payload"}
+
+
+def test_every_reason_of_the_quarantine(spark, scratch):
+    from pyspark.sql import functions as F
+    from carepulse.schemas import VITALS_SCHEMA
+    from carepulse.streaming import quarantine
+    texts = [('{"patient_id":"1","age":"45","blood_pressure":"120.5"}', None, []), ('{"patient_id":"1","age":', "not_json", []), ("[1, 2]", "not_json", []), ("plain", "not_json", []),
+             ("", "empty", []), ("  ", "empty", []), (None, "empty", []), ("{}", "empty", []), ('{"other":1}', "empty", []), ('{"patient_id":null}', "empty", []),
+             ('{"age":"old","blood_pressure":"high","gender":"Male"}', "wrong_type", ["age", "blood_pressure"]), ('{"age":"450"}', "domain", ["age:range"]),
+             ('{"age":45,"gender":"?"}', "domain", ["gender:domain"])]
+    frame = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "id long, value string")
+    got = {r.id: (r.reason, r.details) for r in quarantine.judged(frame, VITALS_SCHEMA, {"gender": ["Male", "Female"]}, {"age": (0, 120)}, keep=["id"]).collect()}
+    assert got == {i: (reason, details) for i, (_, reason, details) in enumerate(texts)}
+    landing, good, bad, ckpt, out = (scratch(t) for t in ("in", "good", "bad", "ckpt", "out"))
+    frame.where("value is not null").select("value").write.text(landing)
+    quarantine.quarantine_stream(spark.readStream.format("text").load(landing), VITALS_SCHEMA, good, bad, ckpt, {"gender": ["Male", "Female"]}, {"age": (0, 120)})
+    assert quarantine.good_rows(spark, good, None, VITALS_SCHEMA).count() == 1
+    for mended, want in ((lambda raw, reason: F.lit(None), 1), (lambda raw, reason: F.when(reason == "domain", F.lit('{"age":"46"}')), 3), (lambda raw, reason: F.lit(None), 1)):
+        quarantine.redrive(spark, bad, out, mended, VITALS_SCHEMA, {"gender": ["Male", "Female"]}, {"age": (0, 120)})
+        rows = quarantine.good_rows(spark, good, out, VITALS_SCHEMA).collect()
+        assert len(rows) == want and all(r.batch_id == 0 for r in rows)
+
+
+def test_default_trigger_goes_on(spark, scratch):
+    """Without an interval a batch starts as soon as the last one ended, and files that arrive later are scored too."""
+    import time
+    from carepulse.plans.q_stream import encounter_messages, rule_scorer
+    from carepulse.streaming.jobs import message_stream, score_stream
+    messages = encounter_messages(spark, SF_SMALL).select("value").limit(40).collect()
+    landing, res, quar, ckpt = (scratch(t) for t in ("in", "res", "quar", "ckpt"))
+    first, second = ([r.value for r in messages[:20]], [r.value for r in messages[20:]])
+    spark.createDataFrame([(v,) for v in first], "value string").coalesce(1).write.text(landing)
+    q = score_stream(spark, message_stream(spark, path=landing), rule_scorer, res, quar, ckpt, continuous=True, fmt="parquet")
+    try:
+        spark.createDataFrame([(v,) for v in second], "value string").coalesce(1).write.mode("append").text(landing)
+        seen, until = 0, time.time() + 120
+        while seen < 40 and time.time() < until:
+            time.sleep(1)
+            q.processAllAvailable()
+            seen = spark.read.parquet(res).count() + spark.read.json(quar, schema="raw string").count()
+        assert q.isActive and seen == 40
+    finally:
+        q.stop()
