@@ -223,6 +223,11 @@ def test_jaccard_edges(spark):
     assert jaccard_join.deduplicated(empty_docs(spark)).collect() == []
     twice = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (1, "p q r s t"), (2, "p q r s t")], "doc_id long, text string")
     assert sorted(r.text for r in jaccard_join.deduplicated(twice).collect()) == ["a b c d e", "p q r s t"]
+    # an id that repeats without words, and with one text: the first all stay, of the others one; columns of any type come along
+    hot = [(7, "", 1, {"k": i}) for i in range(50)] + [(7, "v w x y z", 2, {"k": 1})] * 50 + [(9, "v w x y z", 3, None)]
+    kept = jaccard_join.deduplicated(spark.createDataFrame(hot, "doc_id long, text string, key int, label map<string,int>"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(7, "")] * 50 + [(7, "v w x y z")]
+    assert "Window" not in kept._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_jaccard_counts_matches_of_both_orders(spark):
