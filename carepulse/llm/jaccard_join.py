@@ -19,6 +19,10 @@ Two documents link when the Jaccard similarity of their sets of distinct word sh
    pairs from different components that share enough prefix shingles are verified. So every link between
    different components is found, and none inside one is needed for the classes (``links`` gives all of them).
 
+Before two documents are paired, a parity bitmap of each set bounds their difference: a bit is the parity of the set's shingles that
+fall on it, so two bitmaps differ in at most as many bits as the sets differ in shingles. Pairs whose bitmaps differ in more bits
+than linked sets of these sizes can are left out inside the join. Long sets fill the bitmap and pass, which is as right.
+
 Candidates are verified on the whole sets; these are read for documents in candidate pairs only (a fixed-size
 bitmap of their signatures travels to the tasks, so the texts are not shuffled). Prefix tokens that occur once in
 the corpus are mostly dropped before any posting is shuffled, by a bitmap of the cells that were met twice.
@@ -49,6 +53,8 @@ SKETCH_BITS, BITMAP_BITS = 22, 27
 #: Prefix tokens are counted in 16 cells for each of them, to find those that occur twice, but in 2**MOST_CELL_BITS at most.
 MOST_CELL_BITS = 28
 BLOCK = 1 << 16
+#: Columns of a set's parity bitmap, 64 bits each.
+PARITY = ("p0", "p1", "p2", "p3")
 #: Most prefix matches that a document may ask for, and the cost of verifying a pair in postings read.
 MAX_MATCHES, VERIFY_COST = 4, 20.0
 
@@ -79,6 +85,12 @@ def _key(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64))
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set, as len(PARITY) signed 64-bit numbers."""
+    bits = np.bincount(((grams >> np.uint64(16)) % np.uint64(64 * len(PARITY))).astype(np.int64), minlength=64 * len(PARITY)) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -149,7 +161,7 @@ def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) ->
 
 
 def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, first: np.ndarray) -> DataFrame:
-    """Rows (key, meta, tokens) for each set: meta packs size, matches asked for and commonness.
+    """Rows (key, meta, tokens, *PARITY) for each set: meta packs size, matches asked for and commonness.
 
     Of the documents with one set only the first is read (marked in the bitmap ``first``; a few others may pass by chance,
     and a row twice only makes a count of matches too large).
@@ -161,7 +173,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, firs
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, marks = counts.value
         for batch in batches:
-            keys, metas, tokens = [], [], []
+            keys, metas, tokens, bits = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
                 if len(grams) and _marked(marks, (key := _key(grams)) ^ doc_id, BITMAP_BITS):
@@ -169,11 +181,14 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, firs
                     keys.append(key)
                     metas.append(len(grams) << 32 | matches << 24 | common)
                     tokens.append(own.view(np.int64))
+                    bits.append(parity(grams))
             offsets = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
             values = pa.array(np.concatenate(tokens) if tokens else np.array([], dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(metas, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["key", "meta", "tokens"])
+            columns = np.array(bits, dtype=np.int64).reshape(len(bits), len(PARITY)).T
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(metas, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values),
+                                              *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["key", "meta", "tokens", *PARITY])
 
-    return docs.mapInArrow(scan, "key long, meta long, tokens array<long>")
+    return docs.mapInArrow(scan, "key long, meta long, tokens array<long>, " + ", ".join(f"{p} long" for p in PARITY))
 
 
 def _marked(bits: np.ndarray, mark: int, size: int) -> int:
@@ -221,12 +236,16 @@ def shared_only(postings: DataFrame) -> DataFrame:
 
 def whole_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
     """(key, grams) of the documents that ``needed`` (key, doc_id) names, and a few others by chance; no text is shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(needed.select((F.col("key").bitwiseXOR(F.col("doc_id"))).alias("mark"))))
+    # by id, so that only texts that may be needed are cut into shingles, and by set, as an id may have several texts
+    bits = docs.sparkSession.sparkContext.broadcast((_bitmap(needed.select(F.col("doc_id").alias("mark"))),
+                                                     _bitmap(needed.select((F.col("key").bitwiseXOR(F.col("doc_id"))).alias("mark")))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
+        ids, held = bits.value
         for batch in batches:
             keys, sets = [], []
+            at = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
+            batch = batch.filter(pa.array((ids[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
                 if len(grams) and _marked(held, (key := _key(grams)) ^ doc_id, BITMAP_BITS):
@@ -260,8 +279,9 @@ class Join:
         self.rows = rows.where("doc_id is not null")
         self.first = self.documents.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
         first = _bitmap(self.first.select((F.col("key").bitwiseXOR(F.col("doc_id"))).alias("mark")))
-        postings = shared_only(stored(prefixes(self.rows, width, percent, _sketch(scanned), first), "prefixes"))
-        postings = stored(postings, "postings")
+        own = stored(prefixes(self.rows, width, percent, _sketch(scanned), first), "prefixes")
+        self.parity = own.select("key", *PARITY).dropDuplicates(["key"])
+        postings = stored(shared_only(own.select("key", "meta", "tokens")), "postings")
         buckets = (postings.groupBy("token")
                    .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.max(F.struct(F.col("meta").bitwiseAND(0xFFFFFF).alias("c"), "key", "meta")).alias("hub"))
                    .where("low <> high").select("token", F.col("hub.key").alias("hub"), F.col("hub.meta").alias("hub_meta")))
@@ -282,6 +302,14 @@ class Join:
         na, nb = F.shiftright(a, 32), F.shiftright(b, 32)
         return 100 * F.least(na, nb) >= self.percent * F.greatest(na, nb)
 
+    def _close(self, na, nb, other: str):
+        """Sets of these sizes and parity bitmaps (the second under names with ``other`` before) may be linked."""
+        bits = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}{p}"))) for p in PARITY[1:]), F.bit_count(F.col(PARITY[0]).bitwiseXOR(F.col(f"{other}{PARITY[0]}"))))
+        return (100 + self.percent) * bits <= (100 - self.percent) * (na + nb)
+
+    def _parity(self, name: str, before: str = "") -> DataFrame:
+        return self.parity.select(F.col("key").alias(name), *[F.col(p).alias(f"{before}{p}") for p in PARITY])
+
     def _shared(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a < b) with enough matches, of rows (a, ma, b, mb) with one for each shared prefix shingle, in either order."""
         asked = lambda m: F.shiftright(m, 24).bitwiseAND(0xFF)
@@ -289,12 +317,13 @@ class Join:
         # buckets orient a pair each by its own hub or main label: all matches of a pair are counted together
         pairs = pairs.select(F.least("a", "b").alias("a"), turned("ma", "mb").alias("ma"), F.greatest("a", "b").alias("b"), turned("mb", "ma").alias("mb"))
         return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.first("ma").alias("ma"), F.first("mb").alias("mb"))
-                .where(F.col("k") >= F.least(asked("ma"), asked("mb"))))
+                .where(F.col("k") >= F.least(asked("ma"), asked("mb"))).select("a", "ma", "b", "mb"))
 
     def hub_links(self) -> DataFrame:
         met = self.matched.where("key <> hub").where(self._fits("meta", "hub_meta")).select(
             F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("hub").alias("b"), F.col("hub_meta").alias("mb"))
-        pairs = stored(self._shared(met).select("a", "b"), "pairs")
+        met = self._shared(met).join(self._parity("a"), "a").join(self._parity("b", "other_"), "b")
+        pairs = stored(met.where(self._close(F.shiftright("ma", 32), F.shiftright("mb", 32), "other_")).select("a", "b"), "pairs")
         return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 
     def other_links(self, labels: DataFrame | None) -> DataFrame:
@@ -306,11 +335,11 @@ class Join:
         sizes = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
         mixed = (sizes.groupBy("token").agg(F.max(F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
                  .where("labels > 1").select("token", F.col("main.label").alias("main")))
-        rows = stored(rows.join(mixed, "token"), "mixed")
-        a = rows.where("label <> main").select("token", F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"))
-        b = rows.select("token", F.col("key").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"), "main")
+        rows = stored(rows.join(mixed, "token").join(self.parity, "key"), "mixed")
+        a = rows.where("label <> main").select("token", F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"), *PARITY)
+        b = rows.select("token", F.col("key").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"), "main", *[F.col(p).alias(f"other_{p}") for p in PARITY])
         pairs = a.join(b, "token").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-                                         & self._fits("ma", "mb"))
+                                         & self._fits("ma", "mb") & self._close(F.shiftright("ma", 32), F.shiftright("mb", 32), "other_"))
         pairs = stored(self._shared(pairs).select("a", "b"), "pairs")
         return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 

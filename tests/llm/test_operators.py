@@ -238,10 +238,34 @@ def test_jaccard_counts_matches_of_both_orders(spark):
     join.matched = spark.createDataFrame([(t, k, meta) for t, ks in ((7, (1, 2, 3)), (8, (1, 3, 4))) for k in ks], "token long, key long, meta long")
     sets = spark.createDataFrame([(1, [7, 8, 9, 10]), (2, [7, 20, 21, 22]), (3, [7, 8, 9, 11]), (4, [8, 30, 31, 32])], "key long, grams array<long>")
     join._sets = lambda pairs: sets
+    bits = [(r.key, *jaccard_join.parity(np.array(r.grams, dtype=np.uint64)).tolist()) for r in sets.collect()]
+    join.parity = spark.createDataFrame(bits, "key long, " + ", ".join(f"{p} long" for p in jaccard_join.PARITY))
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3)], "node long, component long")
     assert [tuple(r) for r in join.other_links(labels).collect()] == [(1, 3, 3)]
 
 
+def test_parity_bitmaps_bound_the_difference(spark):
+    rng = np.random.default_rng(5)
+    rows, differ = [], []
+    join = object.__new__(jaccard_join.Join)
+    join.percent = 85
+    for k in range(300):
+        n = int(rng.integers(1, 900))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[:int(len(a) * rng.uniform(0.6, 1))], rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.3)), dtype=np.uint64)]))
+        x, y = jaccard_join.parity(a), jaccard_join.parity(b)
+        distance = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert distance <= len(np.setxor1d(a, b))
+        differ.append(distance)
+        shared = len(np.intersect1d(a, b))
+        rows.append((k, len(a), len(b), 100 * shared >= 85 * (len(a) + len(b) - shared), *x.tolist(), *y.tolist()))
+    names = [*jaccard_join.PARITY, *[f"other_{p}" for p in jaccard_join.PARITY]]
+    frame = spark.createDataFrame(rows, "k long, na long, nb long, linked boolean, " + ", ".join(f"{p} long" for p in names))
+    got = frame.select("k", "na", "nb", "linked", join._close(F.col("na"), F.col("nb"), "other_").alias("close")).orderBy("k").collect()
+    assert all(r.close for r in got if r.linked) and any(r.linked for r in got) and not all(r.close for r in got)
+    assert [r.close for r in got] == [185 * d <= 15 * (r.na + r.nb) for d, r in zip(differ, got)]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 300), (None, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
