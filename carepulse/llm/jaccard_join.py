@@ -48,8 +48,10 @@ from pyspark.sql import functions as F
 from carepulse.llm.common import id_text, stored
 from carepulse.llm.components import components
 
-#: Cells of the counting sketch (4 bytes each on the driver and in each worker) and bits of the bitmap.
-SKETCH_BITS, BITMAP_BITS = 22, 27
+#: Cells of the counting sketch (4 bytes each while a task counts, 1 byte on the driver and in each worker afterwards) and bits of the bitmap.
+SKETCH_BITS, BITMAP_BITS = 24, 27
+#: The sketch keeps a count c as the whole part of LEVELS_PER_OCTAVE * log2(1 + c), so at most 9 % off, up to 2**(255 / LEVELS_PER_OCTAVE).
+LEVELS_PER_OCTAVE = 8
 #: Prefix tokens are counted in 16 cells for each of them, to find those that occur twice, but in 2**MOST_CELL_BITS at most.
 MOST_CELL_BITS = 28
 BLOCK = 1 << 16
@@ -127,24 +129,49 @@ def sets_and_sketch(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(scan, "doc_id long, n int, key long, part int, block int, counts binary")
 
 
-def _sketch(rows: DataFrame) -> np.ndarray:
+class Sketch:
+    """Counts by cell, a byte each on a logarithmic scale; indexed by cells it gives counts."""
+
+    def __init__(self, levels: np.ndarray):
+        self.levels = levels
+
+    def __getitem__(self, cells: np.ndarray) -> np.ndarray:
+        return _COUNT_OF[self.levels[cells]]
+
+    def mean(self) -> float:
+        return float(np.bincount(self.levels, minlength=256) @ _COUNT_OF / len(self.levels))
+
+
+_COUNT_OF = np.exp2(np.arange(256) / LEVELS_PER_OCTAVE) - 1
+
+
+def _sketch(rows: DataFrame) -> Sketch:
     """The sum of all tasks' shares: first within groups of tasks, then over the groups; fixed size."""
-    def added(table: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, dtype=np.uint64)
+    def total(table: pa.Table) -> np.ndarray:
+        out = np.zeros(BLOCK, dtype=np.uint64)
         for c in table.column("counts").to_pylist():
-            total += np.frombuffer(zlib.decompress(c), dtype=np.uint32)
-        small = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "lane": pa.array([0], pa.int32()), "counts": [zlib.compress(small.tobytes(), 1)]})
+            out += np.frombuffer(zlib.decompress(c), dtype=np.uint32)
+        return out
+
+    def row(table: pa.Table, values: np.ndarray) -> pa.Table:
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(values.tobytes(), 1)])})
+
+    def added(table: pa.Table) -> pa.Table:
+        return row(table, np.minimum(total(table), 0xFFFFFFFF).astype(np.uint32))
+
+    def levels(table: pa.Table) -> pa.Table:
+        # the small addend keeps counts that are a level's own value from falling below it
+        return row(table, np.minimum(255, np.log2(1.0 + total(table)) * LEVELS_PER_OCTAVE + 1e-9).astype(np.uint8))
 
-    schema = "block int, lane int, counts binary"
+    schema = "block int, counts binary"
     first = rows.where("counts is not null").select("block", (F.col("part") / 256).cast("int").alias("lane"), "counts")
-    total = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-    for r in first.groupBy("block", "lane").applyInArrow(added, schema).groupBy("block").applyInArrow(added, schema).collect():
-        total[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(r.counts), dtype=np.uint32)
-    return total
+    out = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
+    for r in first.groupBy("block", "lane").applyInArrow(added, schema).groupBy("block").applyInArrow(levels, schema).collect():
+        out[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(r.counts), dtype=np.uint8)
+    return Sketch(out)
 
 
-def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) -> tuple[np.ndarray, int, int]:
+def prefix(grams: np.ndarray, counts: np.ndarray | Sketch, noise: float, percent: int) -> tuple[np.ndarray, int, int]:
     """A set's prefix under the common order, the matches it asks for and how common its shingles are."""
     n = len(grams)
     held = counts[_cells(grams)]
@@ -160,13 +187,13 @@ def prefix(grams: np.ndarray, counts: np.ndarray, noise: float, percent: int) ->
     return grams[order[:n - need + matches]], matches, int(min(held[:n - need + 1].mean(), (1 << 24) - 1))
 
 
-def prefixes(docs: DataFrame, width: int, percent: int, sketch: np.ndarray, first: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, width: int, percent: int, sketch: Sketch, first: np.ndarray) -> DataFrame:
     """Rows (key, meta, tokens, *PARITY) for each set: meta packs size, matches asked for and commonness.
 
     Of the documents with one set only the first is read (marked in the bitmap ``first``; a few others may pass by chance,
     and a row twice only makes a count of matches too large).
     """
-    noise = float(sketch.sum(dtype=np.float64) / len(sketch))
+    noise = sketch.mean()
     noise += 2 * noise ** 0.5
     counts = docs.sparkSession.sparkContext.broadcast((sketch, first))
 
