@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -431,6 +432,34 @@ def test_secret_battery_needs_no_long_words_and_ignores_copies(spark, copies):
     assert sum(got[i] == [k] for i, k in enumerate(keys)) >= 17 and got[1000] == []
 
 
+def plain_decided(values, alpha=secret_scan.ALPHA):
+    """Benjamini-Hochberg, step by step, over (size, encoding, cell) of each distinct candidate."""
+    p = sorted(secret_scan.modelled(n + secret_scan.SHORTEST, e, c) for n, e, c in values if c < secret_scan.CELLS)
+    steps = [x for k, x in enumerate(p) if x <= alpha * (k + 1) / len(values)]
+    return [bool(steps) and c < secret_scan.CELLS and secret_scan.modelled(n + secret_scan.SHORTEST, e, c) <= steps[-1] for n, e, c in values]
+
+
+def test_secret_decisions_equal_plain_steps():
+    rng = random.Random(12)
+    for _ in range(20):
+        values = [(rng.randint(0, 60), rng.choice([0, 5, 8, 9]), rng.choice([rng.randint(0, 60), rng.randint(0, secret_scan.CELLS)])) for _ in range(rng.randint(1, 60))]
+        limits = secret_scan.decided([(*v, k) for v, k in Counter(values).items()], secret_scan.ALPHA)
+        assert [c <= limits[secret_scan._place(n, e)] for n, e, c in values] == plain_decided(values)
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+@pytest.mark.parametrize("planted", [4, 40])
+def test_secret_keys_are_found_at_every_table_size(spark, size, planted):
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(letters) for _ in range((64, 88)[k % 2])) for k in range(planted)]
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("doc_id", "text")
+    with_keys = spark.createDataFrame([(-1 - i, f"and the key {k} is kept") for i, k in enumerate(keys)], "doc_id long, text string")
+    limits = secret_scan.thresholds(docs.unionByName(with_keys).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    found = with_keys.select(F.flatten(F.collect_list(secret_scan.random_spans(F.col("text"), limits)["value"]))).head()[0]
+    assert sorted(found) == sorted(keys)
+
+
 def test_secret_redaction_and_edges(spark):
     docs = spark.createDataFrame([(1, "a token=abcdef z", 99), (2, "plain", 5), (3, None, 7), (4, "", 0), (5, "token=deadbeefdeadbeefdeadbeef x password=qwertyu", 1)], "doc_id long, text string, n_chars long")
     rows = {r.doc_id: (r.text, r.n_chars) for r in secret_scan.redact(docs).collect()}
