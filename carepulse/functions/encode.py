@@ -94,6 +94,17 @@ def coerce_int(col: Column) -> Column:
     return _parsed(col).try_cast("int")
 
 
+_NUMBERS = "_coerced_numbers"
+
+
+def _coerced(cols: list[str], numeric: str) -> Column:
+    """The texts of `cols`, coerced as by `coerce_double` or `coerce_int`, as one array."""
+    parsed = F.transform(F.array(*[_c(c).cast("string") for c in cols]), _parsed)
+    if numeric == "int":
+        return F.transform(parsed, lambda x: x.try_cast("int"))
+    return F.transform(parsed, lambda x: F.when(F.abs(x) < float("inf"), x))
+
+
 # --- P8 / P9 / P10 feature alignment ---------------------------------------
 def align_features(df: DataFrame, features: Iterable[str], fill: float = 0.0,
                    keep: Iterable[str] = ()) -> DataFrame:
@@ -126,7 +137,10 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
     if numeric not in ("double", "int"):
         raise ValueError("numeric must be 'double' or 'int'")
     types = {f.name: f.dataType for f in df.schema.fields}
-    coerce = coerce_double if numeric == "double" else coerce_int
+    text = [c for c in features if c in types and not isinstance(types[c], NumericType) and not (c in VALUE_MAPS and (insulin or c != "insulin"))]
+    # All texts are coerced as one array: a projection with a lambda isn't inlined into the stage's one generated method, which would
+    # be too long for the JVM to compile at 49 columns, but generated in pieces.
+    df = df.select("*", _coerced(text, numeric).alias(_NUMBERS)) if text else df
     empty = F.lit(float(fill) if numeric == "double" else int(fill))  # typed: a cast for each column makes the generated code too long to compile
     out = [_c(k) for k in keep]
     for name in features:
@@ -141,7 +155,7 @@ def encode_features(df: DataFrame, features: list[str] = FEATURE_COLUMNS, *,
             mapping, default = VALUE_MAPS[name]
             e = value_map_expr(_c(name), mapping, default).cast(numeric)  # a null marker is no key: the default
         else:
-            e = F.coalesce(coerce(_c(name)), empty)  # and no finite number: NULL
+            e = F.coalesce(F.col(_NUMBERS)[text.index(name)], empty)  # and no finite number: NULL
         out.append(e.alias(name))
     return df.select(*out)
 

@@ -7,10 +7,12 @@ pipeline; its nodes are walked in SQL as in `q_model`.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from carepulse.operators.clean import train_test_split
 from carepulse.operators.forest import fit_record_forest, model_features, score
+from carepulse.operators.spread import spread
 from carepulse.plans.catalog import register
 from carepulse.plans.q_encode import encoded_columns_sql
 from carepulse.plans.q_model import FEATURES, QUERY_DEPTH, QUERY_TREES, SPLIT_SQL, served, walk_sql
@@ -56,11 +58,13 @@ def _raw_expressions() -> dict[str, str]:
 
 
 RAW = _raw_expressions()
+ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]  # what they read
 RAW_SQL = "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in RAW.items()) + " FROM orders"
 
 
 def raw_records(spark, sf):
-    return table(spark, sf, "orders").select(*[F.expr(e).alias(c) for c, e in RAW.items()])
+    orders = spread(table(spark, sf, "orders").select(*ORDERS))
+    return orders.select(*[F.expr(e).alias(c) for c, e in RAW.items()])
 
 
 def record_model(spark, sf):
@@ -98,9 +102,12 @@ def q_batch_score_wide(spark, sf):
     landing, out = new_scratch(spark, "landing-wide"), new_scratch(spark, "scored-wide")
     raw_records(spark, sf).write.csv(landing)
     records = read_headerless_csv(spark, landing)
-    scored = wide_scores(record_model(spark, sf), records)
-    publish(scored.where(F.col("readmission_prediction") < 0), out)  # an earlier run's result, which is replaced
-    publish(scored, out)
+    scored = wide_scores(record_model(spark, sf), records).persist(StorageLevel.MEMORY_AND_DISK)  # two writes, one scoring
+    try:
+        publish(scored.where(F.col("readmission_prediction") < 0), out)  # an earlier run's result, which is replaced
+        publish(scored, out)
+    finally:
+        scored.unpersist()
     return read_current(spark, out).withColumn(PROBABILITY_CSV_NAME, F.round(F.col(quote(PROBABILITY_CSV_NAME)), 6))
 
 
