@@ -57,24 +57,34 @@ def build_pipeline(features: Sequence[str], *, num_trees: int = 100, max_depth:
     return Pipeline(stages=stages)
 
 
-def fit_forest(train: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    """M1 + M3: label order (alphabetical) and forest, fitted on the training split only.
+def fit_forest(train: DataFrame, features: Sequence[str], label: str, *, before: Sequence[Estimator | Transformer] = (), **kw) -> PipelineModel:
+    """M1 + M3: label order (alphabetical), the stages `before` and the forest, fitted on the training split only.
 
     The returned model's first stage is the label indexer; serving skips it,
     so rows without a label (or with an unseen one) are still scored.
     """
     from pyspark import StorageLevel
-    # The indexer, the scaler and every tree level re-read the input: keep it
-    # materialised (memory, spilling to disk) for the duration of the fit.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    # The indexer and the stages before re-read their input, the scaler and every
+    # tree level the numbers made of it: both stay materialised (memory, spilling
+    # to disk) for the duration of the fit, so a row is encoded once.
+    held = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
     try:
+        train = hold(train) if before else train
         indexer = StringIndexer(inputCol=label, outputCol=LABEL_INDEX, stringOrderType="alphabetAsc",
                                 handleInvalid="skip").fit(train)
         labelled = indexer.transform(_plain(train, features))
-        body = build_pipeline(features, **kw).fit(labelled)
+        first = Pipeline(stages=list(before)).fit(labelled)
+        numbers = hold(first.transform(labelled).select(*[F.col(quote(c)) for c in features], LABEL_INDEX))
+        body = build_pipeline(features, **kw).fit(numbers)
     finally:
-        train.unpersist()
-    return PipelineModel(stages=[indexer, *body.stages])
+        for df in held:
+            df.unpersist()
+    return PipelineModel(stages=[indexer, *first.stages, *body.stages])
 
 
 def fit_record_forest(train: DataFrame, features: Sequence[str], label: str, *, numeric: str = "double", insulin: bool = True, **kw) -> PipelineModel:

@@ -40,6 +40,9 @@ class PopulationScaler(Estimator, HasInputCols, HasOutputCols, DefaultParamsRead
         return model
 
 
+_SCALED = "_scaled_numbers"
+
+
 class PopulationScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
     """(x - mean) / deviation into the output columns; a column without deviation becomes 0. Its statistics are parameters."""
 
@@ -47,11 +50,12 @@ class PopulationScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsRea
     deviations = Param(Params._dummy(), "deviations", "population deviation of each column", TypeConverters.toListFloat)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        scaled = []
-        for name, out, mean, deviation in zip(self.getInputCols(), self.getOutputCols(), self.getOrDefault(self.means), self.getOrDefault(self.deviations)):
-            x = F.col(quote(name))
-            scaled.append(((x - F.lit(mean)) / F.lit(deviation) if deviation else F.when(x.isNotNull(), 0.0)).alias(out))
-        return dataset.select("*", *scaled)
+        names, outs = self.getInputCols(), self.getOutputCols()
+        means, deviations = (F.lit(list(self.getOrDefault(p))).cast("array<double>") for p in (self.means, self.deviations))
+        # as one array, whose lambda keeps the columns out of the stage's one generated method (see `encode_features`)
+        own = F.array(*[F.col(quote(c)).cast("double") for c in names])
+        scaled = F.transform(own, lambda x, i: F.when(deviations[i] == 0, F.when(x.isNotNull(), 0.0)).otherwise((x - means[i]) / deviations[i]))
+        return dataset.select("*", scaled.alias(_SCALED)).select(*[F.col(quote(c)) for c in dataset.columns], *[F.col(_SCALED)[i].alias(out) for i, out in enumerate(outs)])
 
 
 # --- M1, X1: training codes --------------------------------------------------
