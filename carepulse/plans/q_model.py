@@ -22,6 +22,7 @@ from carepulse.operators.forest import (
 )
 from carepulse.operators.forest_nodes import node_table, score_nodes
 from carepulse.operators.results import top_k
+from carepulse.operators.spread import spread
 from carepulse.plans.catalog import register
 from carepulse.plans.q_encode import encoded_columns_sql
 from carepulse.plans.standins import ENCOUNTERS_SQL, encounters, table
@@ -37,7 +38,7 @@ _EXPORTED: dict = {}
 
 def encoded_encounters(spark, sf):
     """Training / serving frame: record key, target text, split and the 49 encoded features."""
-    raw = encounters(spark, sf).withColumn("record_key", F.col("encounter_id").cast("long"))
+    raw = spread(encounters(spark, sf)).withColumn("record_key", F.col("encounter_id").cast("long"))
     enc = encode_features(raw, keep=["record_key", "readmitted"])
     return train_test_split(enc, "record_key")
 
@@ -178,7 +179,7 @@ SELECT key AS encounter_id, c AS readmission_prediction, {_PCT_SQL} FROM scored
 def q_score_numeric_profile(spark, sf):
     """M7: score profile rows with the same model: align to the feature list, no text maps."""
     model = trained_model(spark, sf)
-    prof = numeric_profiles(spark, sf)
+    prof = spread(numeric_profiles(spark, sf))
     aligned = align_features(prof.select("record_key", *[F.col(x).cast("double").alias(x) for x in PROFILE_COLUMNS]),
                              FEATURE_COLUMNS, keep=["record_key"])
     s = score(model, aligned, FEATURES, keep=["record_key"])
