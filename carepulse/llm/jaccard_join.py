@@ -48,8 +48,10 @@ from pyspark.sql import functions as F
 from carepulse.llm.common import id_text, stored
 from carepulse.llm.components import components
 
-#: Cells of the counting sketch (4 bytes each while a task counts, 1 byte on the driver and in each worker afterwards) and bits of the bitmap.
-SKETCH_BITS, BITMAP_BITS = 24, 27
+#: Cells of the counting sketch (2 bytes each while a task counts, up to MOST_COUNT for its own part; 1 byte on the driver and in each worker afterwards) and bits of the bitmap.
+SKETCH_BITS, BITMAP_BITS, MOST_COUNT = 24, 27, (1 << 16) - 1
+#: Documents whose texts are Python strings at one time.
+TOGETHER = 500
 #: The sketch keeps a count c as the whole part of LEVELS_PER_OCTAVE * log2(1 + c), so at most 9 % off, up to 2**(255 / LEVELS_PER_OCTAVE).
 LEVELS_PER_OCTAVE = 8
 #: Prefix tokens are counted in 16 cells for each of them, to find those that occur twice, but in 2**MOST_CELL_BITS at most.
@@ -97,6 +99,18 @@ def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
+def _count(counts: np.ndarray, cells: np.ndarray) -> None:
+    """One more in each of ``cells``, which may name a cell twice; a full count stays."""
+    own, times = np.unique(cells, return_counts=True)
+    counts[own] = np.minimum(counts[own] + times, MOST_COUNT)
+
+
 def sets_and_sketch(docs: DataFrame, width: int) -> DataFrame:
     """Rows (doc_id, n, key) for documents, and rows (part, block, counts) with a task's share of the sketch."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("key", pa.int64()), ("part", pa.int32()), ("block", pa.int32()), ("counts", pa.binary())])
@@ -104,8 +118,8 @@ def sets_and_sketch(docs: DataFrame, width: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        counts, seen = np.zeros(1 << SKETCH_BITS, dtype=np.uint32), set()
-        for batch in batches:
+        counts, seen = np.zeros(1 << SKETCH_BITS, dtype=np.uint16), set()
+        for batch in _slices(batches):
             sizes, keys = [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, width)
@@ -116,7 +130,7 @@ def sets_and_sketch(docs: DataFrame, width: int) -> DataFrame:
                     if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
-                    np.add.at(counts, _cells(grams), 1)
+                    _count(counts, _cells(grams))
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()),
                                               none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
@@ -147,21 +161,21 @@ _COUNT_OF = np.exp2(np.arange(256) / LEVELS_PER_OCTAVE) - 1
 
 def _sketch(rows: DataFrame) -> Sketch:
     """The sum of all tasks' shares: first within groups of tasks, then over the groups; fixed size."""
-    def total(table: pa.Table) -> np.ndarray:
+    def total(table: pa.Table, kind: type) -> np.ndarray:
         out = np.zeros(BLOCK, dtype=np.uint64)
         for c in table.column("counts").to_pylist():
-            out += np.frombuffer(zlib.decompress(c), dtype=np.uint32)
+            out += np.frombuffer(zlib.decompress(c), dtype=kind)
         return out
 
     def row(table: pa.Table, values: np.ndarray) -> pa.Table:
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "counts": pa.array([zlib.compress(values.tobytes(), 1)])})
 
     def added(table: pa.Table) -> pa.Table:
-        return row(table, np.minimum(total(table), 0xFFFFFFFF).astype(np.uint32))
+        return row(table, np.minimum(total(table, np.uint16), 0xFFFFFFFF).astype(np.uint32))
 
     def levels(table: pa.Table) -> pa.Table:
         # the small addend keeps counts that are a level's own value from falling below it
-        return row(table, np.minimum(255, np.log2(1.0 + total(table)) * LEVELS_PER_OCTAVE + 1e-9).astype(np.uint8))
+        return row(table, np.minimum(255, np.log2(1.0 + total(table, np.uint32)) * LEVELS_PER_OCTAVE + 1e-9).astype(np.uint8))
 
     schema = "block int, counts binary"
     first = rows.where("counts is not null").select("block", (F.col("part") / 256).cast("int").alias("lane"), "counts")
@@ -199,7 +213,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch: Sketch, first: n
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, marks = counts.value
-        for batch in batches:
+        for batch in _slices(batches):
             keys, metas, tokens, bits = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
@@ -269,7 +283,7 @@ def whole_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held = bits.value
-        for batch in batches:
+        for batch in _slices(batches):
             keys, sets = [], []
             at = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
             batch = batch.filter(pa.array((ids[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
