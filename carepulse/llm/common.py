@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,17 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+#: Rows whose texts, or numbers made of them, a Python worker holds at one time.
+TOGETHER = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, TOGETHER at a time: what is made of them in Python stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: computed once, no lineage to lose."""
     path = new_scratch(df.sparkSession, tag)

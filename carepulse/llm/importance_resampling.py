@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carepulse.llm.common import importable, stored
+from carepulse.llm.common import importable, slices, stored
 
 ORDERS = (1, 2, 3, 4)
 #: Bytes of the n-grams whose repetition inside a document is modelled.
@@ -91,7 +91,7 @@ def _counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, 1 << CELL_BITS), dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for which in (False, True):
                 held, size = [], 0
                 for text, aim in zip(batch.column("text").to_pylist(), batch.column("aim").to_pylist()):
@@ -99,7 +99,7 @@ def _counts(docs: DataFrame, sample: DataFrame) -> tuple[np.ndarray, np.ndarray]
                         for c in cells(text.encode()):
                             held.append(c)
                             size += len(c)
-                            if size > 4 * SLICE:
+                            if size > SLICE:
                                 totals[int(which)] += np.bincount(np.concatenate(held), minlength=1 << CELL_BITS)
                                 held, size = [], 0
                 if held:

@@ -45,13 +45,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carepulse.llm.common import id_text, stored
+from carepulse.llm.common import id_text, slices, stored
 from carepulse.llm.components import components
 
 #: Cells of the counting sketch (2 bytes each while a task counts, up to MOST_COUNT for its own part; 1 byte on the driver and in each worker afterwards) and bits of the bitmap.
 SKETCH_BITS, BITMAP_BITS, MOST_COUNT = 24, 27, (1 << 16) - 1
-#: Documents whose texts are Python strings at one time.
-TOGETHER = 500
 #: The sketch keeps a count c as the whole part of LEVELS_PER_OCTAVE * log2(1 + c), so at most 9 % off, up to 2**(255 / LEVELS_PER_OCTAVE).
 LEVELS_PER_OCTAVE = 8
 #: Prefix tokens are counted in 16 cells for each of them, to find those that occur twice, but in 2**MOST_CELL_BITS at most.
@@ -99,12 +97,6 @@ def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, len(batch), TOGETHER):
-            yield batch.slice(at, TOGETHER)
-
-
 def _count(counts: np.ndarray, cells: np.ndarray) -> None:
     """One more in each of ``cells``, which may name a cell twice; a full count stays."""
     own, times = np.unique(cells, return_counts=True)
@@ -119,7 +111,7 @@ def sets_and_sketch(docs: DataFrame, width: int) -> DataFrame:
         from pyspark import TaskContext
 
         counts, seen = np.zeros(1 << SKETCH_BITS, dtype=np.uint16), set()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             sizes, keys = [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles(text, width)
@@ -213,7 +205,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, sketch: Sketch, first: n
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, marks = counts.value
-        for batch in _slices(batches):
+        for batch in slices(batches):
             keys, metas, tokens, bits = [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 grams = shingles(text, width)
@@ -263,7 +255,7 @@ def shared_only(postings: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bits.value
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column("tokens")
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) if len(batch) else np.zeros(0, np.uint64)
             row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False)) if len(batch) else np.zeros(0, int)
@@ -283,7 +275,7 @@ def whole_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held = bits.value
-        for batch in _slices(batches):
+        for batch in slices(batches):
             keys, sets = [], []
             at = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
             batch = batch.filter(pa.array((ids[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyspark
 
 from carepulse.llm import jaccard_join
+from carepulse.llm.common import TOGETHER
 
 
 def test_counts_are_small_and_stay_when_full():
@@ -29,11 +30,11 @@ def test_a_task_holds_few_texts_and_two_bytes_a_cell(monkeypatch):
         partitionId = staticmethod(lambda: 3)
 
     monkeypatch.setattr(pyspark, "TaskContext", Context)
-    n = 2 * jaccard_join.TOGETHER + 1
+    n = 2 * TOGETHER + 1
     batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([f"a b c d e {k % 7}" for k in range(n)])], ["doc_id", "text"])
     out = list(jaccard_join.sets_and_sketch(Docs(), 5)(iter([batch])))
     rows = [b for b in out if b.column("counts").null_count == len(b)]
-    assert max(map(len, rows)) <= jaccard_join.TOGETHER and sum(map(len, rows)) == n
+    assert max(map(len, rows)) <= TOGETHER and sum(map(len, rows)) == n
     shares = [zlib.decompress(b.column("counts")[0].as_py()) for b in out if b not in rows]
     assert {len(x) for x in shares} == {2 * jaccard_join.BLOCK}
     # seven sets: a shingle that all hold, and one of each
