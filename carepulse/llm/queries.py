@@ -41,7 +41,7 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch(spark, "tokens")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", token_store.crc32("ids").alias("ids_crc32"))
+    return token_store.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @register("op4_license_scan")

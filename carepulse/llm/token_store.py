@@ -26,27 +26,28 @@ import hashlib
 import os
 import re
 import sys
-import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 from carepulse.llm.common import id_text
+from carepulse.llm.word_end_tokens import byte_letters
 
 #: The dictionary's training sample: documents, and bytes of each.
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 16_384, 65_536
 #: Ids in a block before it is closed (a longer document makes a longer block).
 BLOCK_IDS = 1_000_000
 LEVEL = 3
-#: Words in each half of what a worker keeps; results don't depend on it.
-CACHE_ENTRIES = 350_000
+#: Words in each half of what a worker keeps, and bytes of text looked at together; results don't depend on either.
+CACHE_ENTRIES, TOGETHER = 200_000, 1 << 23
 LITTLE = sys.byteorder == "little" and array("H").itemsize == 2 and array("I").itemsize == 4
 
 BLOCKS = T.StructType([
@@ -63,13 +64,20 @@ class WordTokens:
     """A byte-level BPE tokenizer, with the ids of words kept by the worker.
 
     The byte-level splitting pattern never holds a space after a character that is no white space, so a text can
-    be cut there, and a word also between a letter and a closing mark and before a line end. A text with runs of
-    white space around spaces is encoded in one piece instead.
+    be cut there, also around a line end between characters that are no white space, and a word between a letter and a closing
+    mark. Arrow cuts the texts and numbers their distinct words; the ids of all words are gathered from a table. Letters below
+    U+0250 are one piece of the pattern and go to the tokenizer's merges; any other word goes to the library as it is. A text with
+    runs of white space around spaces is encoded in one piece instead.
     """
 
-    BEFORE = tuple(c + " " for c in map(chr, range(0x3001)) if c.isspace()) + ("\x00",)  # runs of white space up to a space
-    CLOSING = frozenset(",.;:!?")
-    INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[,.;:!?])|(?<=\S)(?=\n)")
+    #: Texts that are not cut: empty, a space first, last or after white space (as characters of the pattern), or the cutting mark.
+    SPACES = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "]"
+    WHOLE = f"^$|^ | $|{SPACES} |\\x{{0}}"
+    #: Texts that are not cut around line ends.
+    LINES = f"^\n|\n$|{SPACES}\n|\n{SPACES}"
+    #: Where a word is cut, and a piece of letters below U+0250 in UTF-8.
+    INNER = "([A-Za-zÀ-ÖØ-öø-ɏ])([,.;:!?])"
+    PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|[\xC4-\xC8][\x80-\xBF]|\xC9[\x80-\x8F])+|[,.;:!?]+")
 
     def __init__(self, file: str, cache_entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
@@ -77,32 +85,33 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = {"H": "<u2", "I": "<u4"}[self.code]
+        self.dtype = np.dtype({"H": "<u2", "I": "<u4"}[self.code])
         pre = repr(self.tokenizer.pre_tokenizer)
         self.cuts = "ByteLevel" in pre and "add_prefix_space=False" in pre and self.tokenizer.normalizer is None
         # of a byte-level vocabulary every character of an id's text stands for one byte
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
+        self.merges, self.letters = self.tokenizer.model.tokenize, byte_letters()
+        self.merged = self.cuts and "BPE" in type(self.tokenizer.model).__name__ and not self.tokenizer.model.end_of_word_suffix
         self.most = cache_entries
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _ids_of_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words; those with a space before them are encoded in rows, which the splitting pattern cuts at these spaces."""
+    def _ids_of_words(self, words: list[bytes]) -> None:
+        """Learn words; those with a space before them are encoded in rows, which the splitting pattern cuts at these spaces."""
         rows, alone = [], []
         for w in words:
-            (rows if w[0] == " " and not w[-1].isspace() else alone).append(w)
-        found = dict(zip(alone, self._ids(alone)))
+            (rows if w[0] == 32 and not w[-1:].isspace() and (w[-1] < 128 or not w.decode()[-1].isspace()) else alone).append(w)
+        self.known.update(zip(alone, self._ids([w.decode() for w in alone])))
         for at in range(0, len(rows), 500):
-            found.update(zip(rows[at:at + 500], self._row(rows[at:at + 500])))
-        return [found[w] for w in words]
+            self.known.update(zip(rows[at:at + 500], self._row(rows[at:at + 500])))
 
-    def _row(self, words: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode("".join(words), add_special_tokens=False).ids, dtype=self.dtype)
-        ends = np.cumsum([len(w.encode()) for w in words])
+    def _row(self, words: list[bytes]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(b"".join(words).decode(), add_special_tokens=False).ids, dtype=self.dtype)
+        ends = np.cumsum([*map(len, words)])
         reached = np.cumsum(self.bytes_of[ids])  # an id's length in bytes tells which word it belongs to
         cuts = np.searchsorted(reached, ends) + 1
         if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
-            return self._ids(words)
+            return self._ids([w.decode() for w in words])
         packed, width = ids.tobytes(), ids.itemsize
         return [packed[a:b] for a, b in zip(np.concatenate([[0], cuts[:-1] * width]).tolist(), (cuts * width).tolist())]
 
@@ -112,46 +121,63 @@ class WordTokens:
             return [array(self.code, e.ids).tobytes() for e in found]
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
 
-    def _learn(self, words: set[str]) -> None:
-        """Put all of ``words`` into what is known."""
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self.known) >= self.most:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        missing = words.difference(known)
-        again = [w for w in missing if w in older]
-        known.update((w, older[w]) for w in again)
-        missing.difference_update(again)
-        whole = {w: parts for w in missing if (w[-1] in self.CLOSING or "\n" in w) and len(parts := self.INNER.split(w)) > 1}
-        if whole:
-            self._learn_parts({p for parts in whole.values() for p in parts})
-        single = [w for w in missing if w not in whole and w not in known]
-        known.update(zip(single, self._ids_of_words(single)))
-        for w, parts in whole.items():
-            known[w] = known[parts[0]] + known[parts[1]] if len(parts) == 2 else b"".join(map(known.__getitem__, parts))
-
-    def _learn_parts(self, parts: set[str]) -> None:
-        new = list(parts.difference(self.known))
-        self.known.update(zip(new, self._ids_of_words(new)))
-
-    def _plain(self, text: str) -> bool:
-        return bool(text) and text[0] != " " != text[-1] and not any(map(text.__contains__, self.BEFORE))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialised ids of each text; a few texts at a time, so that memory stays small."""
+        found = list(map(known.get, words))
+        missing = [w for w, ids in zip(words, found) if ids is None]
+        if not missing:
+            return found
+        again = [(w, ids) for w in missing if (ids := older.get(w)) is not None]
+        known.update(again)
+        if again:
+            missing = [w for w in missing if w not in known]
+        match, merges, letters, code = self.PLAIN.fullmatch, self.merges, self.letters, self.code
+        other = []
+        for w in missing:
+            if self.merged and match(w):
+                ids = [t.id for t in merges(w.decode("latin-1").translate(letters))]
+                known[w] = array(code, ids).tobytes() if LITTLE else np.array(ids, dtype=self.dtype).tobytes()
+            else:
+                other.append(w)
+        self._ids_of_words(other)
+        return [known[w] if ids is None else ids for w, ids in zip(words, found)]
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Serialised ids of each text, none of them null; TOGETHER bytes of text at a time, so that memory stays small."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string())
+        whole = pc.match_substring_regex(texts, self.WHOLE) if self.cuts else pa.array([True] * len(texts))
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).cumsum()
         out: list[bytes] = []
-        for at in range(0, len(texts), 50):
-            cut: list[list[str] | None] = []
-            for t in texts[at:at + 50]:
-                cut.append(t.replace(" ", "\x00 ").split("\x00") if self.cuts and self._plain(t) else None)
-            words: set[str] = set()
-            for c in cut:
-                if c:
-                    words.update(c)
-            self._learn(words)
-            for t, c in zip(texts[at:at + 50], cut):
-                out.append(b"".join(map(self.known.__getitem__, c)) if c else self._ids([t])[0] if t else b"")
+        at = 0
+        while at < len(texts):
+            beyond = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOGETHER, side="right")))
+            out += self._together(texts.slice(at, beyond - at), whole.slice(at, beyond - at))
+            at = beyond
         return out
 
+    def _together(self, texts: pa.Array, whole: pa.Array) -> list[bytes]:
+        other = texts.filter(whole).to_pylist()
+        cut = pc.replace_substring(texts.filter(pc.invert(whole)), " ", "\x00 ")
+        cut = pc.if_else(pc.match_substring_regex(cut, self.LINES), cut, pc.replace_substring(cut, "\n", "\x00\n\x00"))
+        lists = pc.split_pattern(pc.replace_substring_regex(cut, self.INNER, "\\1\x00\\2"), "\x00")
+        distinct = lists.flatten().dictionary_encode()
+        number = distinct.indices.to_numpy()
+        _, at, data = distinct.dictionary.buffers()
+        data, at = data.to_pybytes() if data else b"", np.frombuffer(at, np.int32)[:len(distinct.dictionary) + 1].tolist() if len(number) else [0]
+        ids = self._words([data[a:b] for a, b in zip(at, at[1:])])
+        table = np.frombuffer(b"".join(ids), self.dtype)
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        first = np.cumsum(length) - length
+        each = length[number]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        flat = table[np.repeat(first[number] - ends[:-1], each) + np.arange(ends[-1])].tobytes()
+        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)] * self.dtype.itemsize
+        rest, own = iter(self._ids(other)), (flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        return [next(rest if w else own) for w in whole.to_pylist()]
+
 
 _LOADED: dict[str, WordTokens] = {}
 
@@ -213,8 +239,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int |
             return pa.RecordBatch.from_pylist([dict(zip(BLOCKS.names, row))], schema=ARROW)
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), own.encode(texts)):
+            for doc_id, data in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text"))):
                 data += end
                 ids.append(doc_id)
                 counts.append(len(data) // width)
@@ -258,7 +283,7 @@ def _unpack(blocks: DataFrame, path: str, wanted: set[int] | None = None) -> Dat
 
         reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(at, 1).to_pylist()[0] for at in range(len(batch))):  # one block at a time
                 if row["dict_hash"] != digest:
                     raise ValueError(f"{path}: a block was written with another dictionary")
                 start, payload, kind = row["base"] + row["start_in_part"], row["payload"], f"<u{row['width']}"
@@ -288,8 +313,3 @@ def read_one(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
     """The rows of one document: blocks are pruned by their id range, other documents stay compressed."""
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
     return _unpack(blocks.withColumn("base", F.lit(0).cast("long")), path, {doc_id}).drop("start")
-
-
-@F.pandas_udf(T.LongType())
-def crc32(packed: pd.Series) -> pd.Series:
-    return packed.map(lambda b: zlib.crc32(b) & 0xFFFFFFFF).astype("int64")

@@ -30,7 +30,7 @@ WIDE = "[^\\x{0}-\\x{17F}]|<\\|"  # texts that are not lower-cased ahead
 MARKS = string.punctuation.encode()
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else the next from U+0100 on."""
     own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(0x100, 0x200))
@@ -46,7 +46,7 @@ class WordEndTokens:
 
         self.whole = Tokenizer.from_file(file)
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
-        self.merges, self.letters = self.whole.model.tokenize, _byte_letters()
+        self.merges, self.letters = self.whole.model.tokenize, byte_letters()
         splits, steps = repr(self.whole.pre_tokenizer).replace("\\\\", "\\"), repr(self.whole.normalizer)
         self.cuts = (type(self.whole.model).__name__ == "BPE" and bool(self.whole.model.end_of_word_suffix)
                      and STATED in splits and "ByteLevel(add_prefix_space=False" in splits and "NFC()" in steps and "Lowercase()" in steps
