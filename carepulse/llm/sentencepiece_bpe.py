@@ -4,7 +4,8 @@ Encoding a normalised text:
 
 1. The text is cut where no piece of the vocabulary can reach across: before a run of the space mark, and
    around characters that no piece holds. Pieces on both sides of such a cut never merge, so each part is
-   encoded alone, and equal parts (words) are encoded once per worker.
+   encoded alone. Arrow cuts the texts and numbers their distinct parts (words); only those that the worker hasn't met are
+   encoded, and the ids of all are gathered from a table.
 2. In a part, the trie of an Aho-Corasick automaton over all pieces gives the longest piece at a place; the
    shorter ones follow from it by a table (the next shorter piece that a piece begins with).
 3. Backtracking takes the longest piece at the current place that is *compatible* with the piece before it:
@@ -23,6 +24,7 @@ proportional to its longest part without a cut. Extra columns of the input are l
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from array import array
@@ -30,6 +32,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +42,9 @@ from carepulse.llm.common import id_text
 MARK = "▁"
 ALONE, UNKNOWN = 0xFFFFFFFF, -0xFFFFFFFF
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-#: Entries in each half of what a worker keeps of encoded words and of checked pairs; results don't depend on it.
-CACHE_ENTRIES = 400_000
+#: Entries in each half of what a worker keeps of encoded words and of checked pairs, and characters of text looked at together;
+#: results don't depend on either.
+CACHE_ENTRIES, TOGETHER = 200_000, 1 << 22
 
 
 class _Table(dict):
@@ -111,12 +116,14 @@ class MergeCodec:
         for piece, i in self.ids.items():
             if len(piece) > 1:
                 self.shorter[i] = next((j for n in range(len(piece) - 1, 0, -1) if (j := self.ids.get(piece[:n])) is not None), UNKNOWN)
-        self.parts, self.inner = self._cutters()
-        self.compatible = _Table(self._compatible, 2 * cache_entries)  # by first id * 2**32 + second id
-        self.words = _Table(self._encode_word, cache_entries)
-
-    def _cutters(self) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]] | None]:
-        """Cut a text, and a word of it, only where no piece holds both neighbouring characters."""
+        self.parts, self.cut = self._cutters()
+        self.compatible = _Table(self._compatible, cache_entries)  # by first id * 2**32 + second id
+        self.most_words = cache_entries
+        self.known: dict[bytes, bytes] = {}  # ids of words, both serialised
+        self.older: dict[bytes, bytes] = {}
+
+    def _cutters(self) -> tuple[Callable[[str], list[str]], Callable[[pa.Array], pa.Array] | None]:
+        """Cut a text, and an array of texts (where a zero character comes to stand), only where no piece holds both neighbouring characters."""
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             return (lambda s: [s] if s else []), None
         held = set("".join(self.ids))
@@ -128,22 +135,32 @@ class MergeCodec:
                 follows.setdefault(d, set()).add(c)
         letters = {c for c in map(chr, range(0x41, 0x250)) if c.isalpha()}
         tails = "".join(d for d in "!,.;:?)" if not letters & follows.get(d, set()))
-        inner = re.compile(f"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[{re.escape(tails)}])").split if tails else None
-        return words, inner
+
+        def cut(texts: pa.Array) -> pa.Array:
+            texts = pc.replace_substring(pc.replace_substring(texts, MARK, "\x00" + MARK), MARK + "\x00", MARK)
+            if "\n" not in held:
+                texts = pc.replace_substring(texts, "\n", "\x00\n\x00")
+            return pc.replace_substring_regex(texts, f"([A-Za-zÀ-ÖØ-öø-ɏ])([{re.escape(tails)}])", "\\1\x00\\2") if tails else texts
+
+        return words, cut if "\x00" not in held else None
 
     def merged(self, text: str) -> list[str]:
         """The characters of a short text, merged best score first and leftmost among equals."""
         parts = list(text)
-        rank = self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        rank, none = self.rank.get, math.inf
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]  # of each part with the next
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            at = ranks.index(best)
+            whole = parts[at] + parts.pop(at + 1)
+            parts[at] = whole
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + whole, none)
+            if at < len(ranks):
+                ranks[at] = rank(whole + parts[at + 1], none)
         return parts
 
     def _compatible(self, pair: int) -> bool:
@@ -153,60 +170,67 @@ class MergeCodec:
             return self.merged(second) == [second]
         return self.merged(self.text_of[first] + second) == [self.text_of[first], second]
 
-    def _fits(self, last: int, i: int) -> bool:
-        if i < 0:
-            return True
-        if last < 0 or last == ALONE:
-            return self.length[i] == 1 or self.compatible[ALONE << 32 | i]
-        return self.compatible[last << 32 | i]
-
     def backtrack(self, part: str) -> list[int]:
         """The piece ids of one part; a character that is no piece is minus its code point, minus 1."""
         n, length, shorter, compatible, best = len(part), self.length, self.shorter, self.compatible, self.best
         reach, most = self.automaton.longest_prefix, self.most
-        failed: bytearray | None = None  # a bitfield of places
+        failed: bytearray | None = None
         ids: list[int] = []
         places: list[int] = []
         place, last = 0, ALONE
-        i: int | None = best[ahead[:k]] if (k := reach(ahead := part[:most])) else -1 - ord(part[0])
-        if i == UNKNOWN:
-            i = -1 - ord(part[0])
         while True:
-            while i is not None:
-                end = place + length[i] if i >= 0 else place + 1
-                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
-                    if (compatible[last << 32 | i] if i >= 0 <= last < ALONE else self._fits(last, i)):
-                        break
-                i = shorter[i] if i >= 0 else None
+            ahead = part[place:place + most]
+            i: int | None = best[ahead[:k]] if (k := reach(ahead)) else UNKNOWN
+            while True:
                 if i == UNKNOWN:
                     i = -1 - ord(part[place])
-            if i is not None:
-                ids.append(i)
-                places.append(place)
-                if end == n:
-                    return ids
-                place, last = end, i
-                i = best[ahead[:k]] if (k := reach(ahead := part[place:place + most])) else -1 - ord(part[place])
-                if i == UNKNOWN:
-                    i = -1 - ord(part[place])
-            else:
+                while i is not None:
+                    if i >= 0:
+                        end = place + length[i]
+                        fits = compatible[last << 32 | i] if 0 <= last < ALONE else length[i] == 1 or compatible[ALONE << 32 | i]
+                        if fits and (failed is None or not failed[end >> 3] >> (end & 7) & 1):
+                            break
+                        i = shorter[i]
+                        if i == UNKNOWN:
+                            i = -1 - ord(part[place])
+                    else:
+                        end = place + 1
+                        if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                            break
+                        i = None
+                if i is not None:
+                    break
                 if failed is None:
-                    failed = bytearray((n >> 3) + 1)
+                    failed = bytearray((n >> 3) + 1)  # a bitfield of places
                 failed[place >> 3] |= 1 << (place & 7)
                 place, i = places.pop(), ids.pop()
                 last = ids[-1] if ids else ALONE
                 i = shorter[i] if i >= 0 else None
-                if i == UNKNOWN:
-                    i = -1 - ord(part[place])
+            ids.append(i)
+            if end == n:
+                return ids
+            places.append(place)
+            place, last = end, i
 
     def _encode_word(self, word: str) -> bytes:
-        if self.inner is not None and len(parts := self.inner(word)) > 1:
-            return b"".join(map(self.words.__getitem__, parts))
-        ids = self.backtrack(word)
+        ids = self.backtrack(word) if word else []
         if ids and min(ids) < 0:
             ids = self._fallback(ids)
         return array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
 
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words."""
+        if len(self.known) >= self.most_words:
+            self.older, self.known = self.known, {}
+        known, older, encoded = self.known, self.older, self._encode_word
+        found = list(map(known.get, words))
+        for k, ids in enumerate(found):
+            if ids is None:
+                word = words[k]
+                ids = older.get(word)
+                found[k] = known[word] = encoded(word.decode()) if ids is None else ids
+        return found
+
     def _fallback(self, ids: list[int]) -> list[int]:
         out: list[int] = []
         for i in ids:
@@ -219,10 +243,41 @@ class MergeCodec:
         return out
 
     def encode(self, text: str, begin: bool = True, end: bool = True) -> bytes:
-        body = map(self.words.__getitem__, self.parts(self.sp.normalize(text)))
-        first = [np.uint32(self.bos).astype("<u4").tobytes()] if begin else []
-        last = [np.uint32(self.eos).astype("<u4").tobytes()] if end else []
-        return b"".join([*first, *body, *last])
+        return self.encode_all([text], begin, end)[0]
+
+    def encode_all(self, texts: list[str], begin: bool = True, end: bool = True) -> list[bytes]:
+        """Serialised ids of each text, TOGETHER characters of text at a time, so that memory stays small."""
+        sizes = np.cumsum([*map(len, texts)])
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            beyond = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TOGETHER, side="right")))
+            out += self._together(texts[at:beyond])
+            at = beyond
+        first, last = (np.uint32(i).astype("<u4").tobytes() if wanted else b"" for i, wanted in ((self.bos, begin), (self.eos, end)))
+        return [first + ids + last for ids in out]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        texts = list(map(self.sp.normalize, texts))
+        whole = [self.cut is None or "\x00" in t for t in texts]
+        other = iter([b"".join(self._words([p.encode() for p in self.parts(t)])) for t, w in zip(texts, whole) if w])
+        lists = pc.split_pattern(self.cut(pa.array([t for t, w in zip(texts, whole) if not w], pa.string())), "\x00") if not all(whole) else None
+        if lists is None:
+            return list(other)
+        distinct = lists.flatten().dictionary_encode()
+        number = distinct.indices.to_numpy()
+        _, at, data = distinct.dictionary.buffers()
+        data, at = data.to_pybytes() if data else b"", np.frombuffer(at, np.int32)[:len(distinct.dictionary) + 1].tolist()
+        ids = self._words([data[a:b] for a, b in zip(at, at[1:])])
+        table = np.frombuffer(b"".join(ids), "<u4")
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(length) - length
+        each = length[number]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        flat = table[np.repeat(first[number] - ends[:-1], each) + np.arange(ends[-1])].tobytes()
+        cuts = 4 * ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])]
+        own = (flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+        return [next(other if w else own) for w in whole]
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, dtype="<u4").tolist()
@@ -252,7 +307,7 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     @F.pandas_udf("binary")
     def encoded(texts: pd.Series) -> pd.Series:
         own = codec(model_file)
-        return pd.Series([own.encode(t, begin, end) for t in texts], dtype=object)
+        return pd.Series(own.encode_all(texts.tolist(), begin, end), dtype=object)
 
     out = id_text(docs, id_col, text_col).select("doc_id", encoded("text").alias("ids"))
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
