@@ -44,7 +44,7 @@ ALONE, UNKNOWN = 0xFFFFFFFF, -0xFFFFFFFF
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Entries in each half of what a worker keeps of encoded words and of checked pairs, and characters of text looked at together;
 #: results don't depend on either.
-CACHE_ENTRIES, TOGETHER = 200_000, 1 << 22
+CACHE_ENTRIES, TOGETHER = 200_000, 1 << 20
 
 
 class _Table(dict):
