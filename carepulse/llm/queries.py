@@ -27,7 +27,7 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), model), model)
+    coded = sentencepiece_bpe.round_trip(table(spark, sf_dir, "documents"), model)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

@@ -5,7 +5,8 @@ Encoding a normalised text:
 1. The text is cut where no piece of the vocabulary can reach across: before a run of the space mark, and
    around characters that no piece holds. Pieces on both sides of such a cut never merge, so each part is
    encoded alone. Arrow cuts the texts and numbers their distinct parts (words); only those that the worker hasn't met are
-   encoded, and the ids of all are gathered from a table.
+   encoded, and the ids of all are gathered from a table. A word that wasn't met is cut once more, between Latin letters that
+   no piece holds side by side.
 2. In a part, the trie of an Aho-Corasick automaton over all pieces gives the longest piece at a place; the
    shorter ones follow from it by a table (the next shorter piece that a piece begins with).
 3. Backtracking takes the longest piece at the current place that is *compatible* with the piece before it:
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 import sys
 from array import array
 from collections.abc import Callable
@@ -45,6 +47,8 @@ LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Entries in each half of what a worker keeps of encoded words and of checked pairs, and characters of text looked at together;
 #: results don't depend on either.
 CACHE_ENTRIES, TOGETHER = 200_000, 1 << 20
+#: Code points below are looked up in a table of neighbours.
+LATIN = 0x250
 
 
 class _Table(dict):
@@ -97,6 +101,7 @@ class MergeCodec:
                 self.rank[piece] = -sp.get_score(i)
                 self.marked[i] = piece[0] == MARK
                 self.raw.append(piece.replace(MARK, " ").encode())
+        self.bytes_of = pa.array(self.raw, pa.large_binary())
         self.text_of = {i: piece for piece, i in self.ids.items()}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
@@ -118,6 +123,8 @@ class MergeCodec:
                 self.shorter[i] = next((j for n in range(len(piece) - 1, 0, -1) if (j := self.ids.get(piece[:n])) is not None), UNKNOWN)
         self.parts, self.cut = self._cutters()
         self.compatible = _Table(self._compatible, cache_entries)  # by first id * 2**32 + second id
+        self.apart = self._never_neighbours()
+        self.pieces_of = _Table(self._encode_word, max(1, cache_entries // 4))  # of parts of words
         self.most_words = cache_entries
         self.known: dict[bytes, bytes] = {}  # ids of words, both serialised
         self.older: dict[bytes, bytes] = {}
@@ -133,8 +140,8 @@ class MergeCodec:
         for p in self.ids:
             for c, d in zip(p, p[1:]):
                 follows.setdefault(d, set()).add(c)
-        letters = {c for c in map(chr, range(0x41, 0x250)) if c.isalpha()}
-        tails = "".join(d for d in "!,.;:?)" if not letters & follows.get(d, set()))
+        letters = {c for c in map(chr, range(0x41, LATIN)) if c.isalpha()}
+        tails = "".join(d for d in string.punctuation if not letters & follows.get(d, set()))
 
         def cut(texts: pa.Array) -> pa.Array:
             texts = pc.replace_substring(pc.replace_substring(texts, MARK, "\x00" + MARK), MARK + "\x00", MARK)
@@ -144,6 +151,17 @@ class MergeCodec:
 
         return words, cut if "\x00" not in held else None
 
+    def _never_neighbours(self) -> np.ndarray:
+        """By two code points below LATIN: both are in pieces, but in none side by side."""
+        held = np.zeros(LATIN, dtype=bool)
+        held[[ord(c) for c in set("".join(self.ids)) if ord(c) < LATIN]] = True
+        apart = held[:, None] & held
+        for p in self.ids:
+            for c, d in zip(p, p[1:]):
+                if ord(c) < LATIN and ord(d) < LATIN:
+                    apart[ord(c), ord(d)] = False
+        return apart
+
     def merged(self, text: str) -> list[str]:
         """The characters of a short text, merged best score first and leftmost among equals."""
         parts = list(text)
@@ -176,18 +194,30 @@ class MergeCodec:
         reach, most = self.automaton.longest_prefix, self.most
         failed: bytearray | None = None
         ids: list[int] = []
-        places: list[int] = []
         place, last = 0, ALONE
         while True:
             ahead = part[place:place + most]
             i: int | None = best[ahead[:k]] if (k := reach(ahead)) else UNKNOWN
+            if failed is None and last >= 0 and i >= 0:  # the usual case: no place has failed, pieces on both sides
+                pair = last << 32
+                while not compatible[pair | i]:
+                    i = shorter[i]
+                    if i is None or i < 0:
+                        break
+                else:
+                    ids.append(i)
+                    place += length[i]
+                    if place == n:
+                        return ids
+                    last = i
+                    continue
             while True:
                 if i == UNKNOWN:
                     i = -1 - ord(part[place])
                 while i is not None:
                     if i >= 0:
                         end = place + length[i]
-                        fits = compatible[last << 32 | i] if 0 <= last < ALONE else length[i] == 1 or compatible[ALONE << 32 | i]
+                        fits = compatible[(last if last >= 0 else ALONE) << 32 | i]
                         if fits and (failed is None or not failed[end >> 3] >> (end & 7) & 1):
                             break
                         i = shorter[i]
@@ -203,13 +233,13 @@ class MergeCodec:
                 if failed is None:
                     failed = bytearray((n >> 3) + 1)  # a bitfield of places
                 failed[place >> 3] |= 1 << (place & 7)
-                place, i = places.pop(), ids.pop()
+                i = ids.pop()
+                place -= length[i] if i >= 0 else 1
                 last = ids[-1] if ids else ALONE
                 i = shorter[i] if i >= 0 else None
             ids.append(i)
             if end == n:
                 return ids
-            places.append(place)
             place, last = end, i
 
     def _encode_word(self, word: str) -> bytes:
@@ -218,17 +248,37 @@ class MergeCodec:
             ids = self._fallback(ids)
         return array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that weren't met, each the ids of its parts."""
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        starts = np.cumsum([0, *map(len, words)])
+        cut = np.zeros(len(codes) + 1, dtype=bool)
+        if len(codes):
+            cut[1:-1] = self.apart[np.minimum(codes[:-1], LATIN - 1), np.minimum(codes[1:], LATIN - 1)] & (codes[:-1] < LATIN) & (codes[1:] < LATIN)
+        cut[starts] = True
+        places = np.flatnonzero(cut)
+        parts = [text[a:b] for a, b in zip(places.tolist(), places[1:].tolist())]
+        first = np.searchsorted(places, starts).tolist()
+        encoded, known = self._encode_word, self.pieces_of
+        return [encoded(word) if b - a < 2 else b"".join([known[p] for p in parts[a:b]]) for word, a, b in zip(words, first, first[1:])]
+
     def _words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words."""
         if len(self.known) >= self.most_words:
             self.older, self.known = self.known, {}
-        known, older, encoded = self.known, self.older, self._encode_word
+        known, older = self.known, self.older
         found = list(map(known.get, words))
+        other = []
         for k, ids in enumerate(found):
             if ids is None:
-                word = words[k]
-                ids = older.get(word)
-                found[k] = known[word] = encoded(word.decode()) if ids is None else ids
+                ids = older.get(words[k])
+                if ids is None:
+                    other.append(k)
+                else:
+                    found[k] = known[words[k]] = ids
+        for k, ids in zip(other, self._encode_words([words[k].decode() for k in other])):
+            found[k] = known[words[k]] = ids
         return found
 
     def _fallback(self, ids: list[int]) -> list[int]:
@@ -280,15 +330,16 @@ class MergeCodec:
         return [next(other if w else own) for w in whole]
 
     def decode(self, packed: bytes) -> str:
-        ids = np.frombuffer(packed, dtype="<u4").tolist()
-        out = b"".join(map(self.raw.__getitem__, ids))
+        ids = np.frombuffer(packed, dtype="<u4").astype(np.uint32, copy=False)
+        _, at, data = self.bytes_of.take(pa.array(ids)).buffers()
+        out = data.slice(0, int(np.frombuffer(at, np.int64)[len(ids)])).to_pybytes() if data else b""
         first = next((i for i in ids if i not in self.plain), None)
         if first is not None and self.marked[first]:
             out = out[1:]
         try:
             return out.decode()
         except UnicodeDecodeError:  # byte pieces that are no text: the library's replacement rule
-            return self.sp.decode(ids)
+            return self.sp.decode(ids.tolist())
 
 
 _CODECS: dict[str, MergeCodec] = {}
@@ -323,6 +374,21 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: s
     return encoded.withColumn(out_col, decoded(F.col(ids_col)))
 
 
+def round_trip(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_tokens, ids and decoded, the text of these ids, as ``decode(encode(docs))``.
+
+    One function gives both: Spark puts ``encode``'s into ``decode``'s and would encode every text twice.
+    """
+    @F.pandas_udf("ids binary, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        own = codec(model_file)
+        ids = own.encode_all(texts.tolist())
+        return pd.DataFrame({"ids": ids, "decoded": list(map(own.decode, ids))}, dtype=object)
+
+    out = id_text(docs, id_col, text_col).select("doc_id", both("text").alias("both"))
+    return out.select("doc_id", (F.octet_length("both.ids") / 4).cast("long").alias("n_tokens"), "both.ids", "both.decoded")
+
+
 def unpacked(ids_col: str = "ids"):
     """Column: packed ids as array<long>, for readers in SQL."""
     hexed = F.hex(F.col(ids_col))

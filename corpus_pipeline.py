@@ -40,7 +40,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, model), model)
+    coded = sentencepiece_bpe.round_trip(docs, model)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 

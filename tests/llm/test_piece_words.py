@@ -47,3 +47,23 @@ def test_merging_keeps_the_order_of_scores():
     for _ in range(3000):
         text = rng.choice(pieces) + rng.choice(pieces)
         assert own.merged(text) == pair_by_pair(text)
+
+
+def test_words_cut_between_letters_equal_library():
+    own, rng = sentencepiece_bpe.MergeCodec(PIECES, cache_entries=300), random.Random(8)
+    assert own.apart.any() and not any(own.apart[ord(c), ord(d)] for p in own.ids for c, d in zip(p, p[1:]) if max(c, d) < "\u0250")
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()] + list("aeionrst") * 40 + list("$#%&*'-\"=_0123")
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    for text, ids in zip(texts, own.encode_all(texts)):
+        want = own.sp.encode(text, add_bos=True, add_eos=True)
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert own.decode(ids) == own.sp.decode(want)
+
+
+def test_a_text_is_encoded_once(spark):
+    from carepulse.llm import queries
+    plan = queries.op2_sentencepiece(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "pythonUDF0" in plan and "pythonUDF1" not in plan
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (2, "ñr ü$$$"), (None, " x ")], "doc_id long, text string")
+    both = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, PIECES), PIECES)
+    assert sorted(map(str, sentencepiece_bpe.round_trip(docs, PIECES).collect())) == sorted(map(str, both.collect()))
