@@ -11,12 +11,14 @@ Two documents link when the Jaccard similarity of their sets of distinct word sh
    ``n - ceil(t n) + l`` shingles share at least l of them. Each document picks the l (up to ``MAX_MATCHES``)
    with the least estimated cost: a longer prefix means more postings, but only a partner that shares l
    of them is verified (about 1 / l of the postings met). A pair of documents with different l must share the
-   smaller of the two.
+   smaller of the two. Shingles that just the same documents have make one bucket, with their number as its weight.
 3. *Hubs.* In each shingle's bucket every document is first held only against the bucket's hub, the document
    with the commonest prefix (an original is commoner than its edited copies), which is linear in the bucket.
-   Verified links give components.
+   Verified links give components. A link of two sizes needs r shared shingles, and what two sets share beyond the prefix that
+   ends first lies in the rest of that set: pairs with fewer than r less that rest are left to the next step.
 4. *The rest.* Buckets whose documents are in one component are done, whatever their size. In the others all
-   pairs from different components that share enough prefix shingles are verified. So every link between
+   pairs from different components that share enough prefix shingles are verified; as a link of their sizes needs r, the l
+   lie within the first ``n - r + l`` of both, a little more than half a prefix for equal sizes. So every link between
    different components is found, and none inside one is needed for the classes (``links`` gives all of them).
 
 Before two documents are paired, a parity bitmap of each set bounds their difference: a bit is the parity of the set's shingles that
@@ -59,6 +61,8 @@ BLOCK = 1 << 16
 PARITY = ("p0", "p1", "p2", "p3")
 #: Most prefix matches that a document may ask for, and the cost of verifying a pair in postings read.
 MAX_MATCHES, VERIFY_COST = 4, 20.0
+#: The low bits of a set's meta: how common its shingles are, later the place of a token.
+LOW = (1 << 24) - 1
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -241,15 +245,16 @@ def _bitmap(marks: DataFrame, size: int = BITMAP_BITS) -> np.ndarray:
 
 
 def shared_only(postings: DataFrame) -> DataFrame:
-    """``postings`` (key, meta, tokens) without most tokens that no other row has.
+    """Rows (key, meta, token, at) of ``postings`` (key, meta, tokens) without most tokens that no other row has; ``at`` is a token's place.
 
     Tokens are counted by cell, of which there are at least 16 for each token: only the small cell numbers are shuffled. Cells met
     twice come back as a bitmap; beyond MOST_CELL_BITS it fills up and lets more pass, which is as right.
     """
     n = postings.agg(F.sum(F.size("tokens"))).head()[0] or 1
     size = min(MOST_CELL_BITS, max(16, math.ceil(math.log2(16 * n))))
-    shift = 64 - size
-    cells = postings.select(F.explode(F.transform("tokens", lambda t: F.shiftrightunsigned(t, shift).cast("int"))).alias("cell"))
+    # the low bits: prefixes prefer small numbers among equally rare shingles, so the high ones are crowded
+    mask = (1 << size) - 1
+    cells = postings.select(F.explode(F.transform("tokens", lambda t: t.bitwiseAND(mask).cast("int"))).alias("cell"))
     twice = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bits = postings.sparkSession.sparkContext.broadcast(_bitmap(twice.select(F.col("cell").cast("long").alias("mark")), size))
 
@@ -259,12 +264,33 @@ def shared_only(postings: DataFrame) -> DataFrame:
             lists = batch.column("tokens")
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64) if len(batch) else np.zeros(0, np.uint64)
             row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False)) if len(batch) else np.zeros(0, int)
-            cell = flat >> np.uint64(shift)
+            cell = flat & np.uint64(mask)
             keep = (held[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
             at = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("meta").take(at), pa.array(flat[keep].view(np.int64))], ["key", "meta", "token"])
+            first = np.searchsorted(row, row[keep])
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("meta").take(at), pa.array(flat[keep].view(np.int64)),
+                                              pa.array((np.flatnonzero(keep) - first).astype(np.int32))], ["key", "meta", "token", "at"])
 
-    return postings.mapInArrow(scan, "key long, meta long, token long")
+    return postings.mapInArrow(scan, "key long, meta long, token long, at int")
+
+
+def merged_buckets(postings: DataFrame) -> DataFrame:
+    """(token, hub, hub_meta, weight) for each group of documents that share tokens: the first token, in the common order, that just these have, and the number of such.
+
+    Documents with a passage in common share dozens of tokens; so they meet once, and not once a token. Groups are told apart by their hub and
+    by the sums of both halves of their members' keys, 64-bit hashes.
+    """
+    buckets = (postings.groupBy("token")
+               .agg(F.count(F.lit(1)).alias("members"), F.sum(F.shiftrightunsigned("key", 32)).alias("high"), F.sum(F.col("key").bitwiseAND(0xFFFFFFFF)).alias("low"),
+                    F.max(F.struct(F.col("meta").bitwiseAND(LOW).alias("c"), "key", "meta", "at")).alias("hub"))
+               .where("members > 1").select("token", "members", "high", "low", F.col("hub.key").alias("hub"), F.col("hub.meta").alias("hub_meta"), F.col("hub.at").alias("hub_at")))
+    return (buckets.groupBy("members", "high", "low", "hub", "hub_meta").agg(F.min(F.struct("hub_at", "token")).alias("first"), F.count(F.lit(1)).alias("weight"))
+            .select(F.col("first.token").alias("token"), "hub", _placed("hub_meta", F.col("first.hub_at")).alias("hub_meta"), "weight"))
+
+
+def _placed(meta: str, at):
+    """``meta`` with a token's place (LOW, if it is beyond) where how common the set is was."""
+    return F.col(meta).bitwiseAND(~LOW).bitwiseOR(F.least(at, F.lit(LOW)).cast("long"))
 
 
 def whole_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
@@ -315,20 +341,12 @@ class Join:
         own = stored(prefixes(self.rows, width, percent, _sketch(scanned), first), "prefixes")
         self.parity = own.select("key", *PARITY).dropDuplicates(["key"])
         postings = stored(shared_only(own.select("key", "meta", "tokens")), "postings")
-        buckets = (postings.groupBy("token")
-                   .agg(F.min("key").alias("low"), F.max("key").alias("high"), F.max(F.struct(F.col("meta").bitwiseAND(0xFFFFFF).alias("c"), "key", "meta")).alias("hub"))
-                   .where("low <> high").select("token", F.col("hub.key").alias("hub"), F.col("hub.meta").alias("hub_meta")))
-        self.matched = stored(postings.join(buckets, "token"), "matched")
-        self.sets: DataFrame | None = None
+        self.matched = stored(postings.withColumn("meta", _placed("meta", F.col("at"))).drop("at").join(merged_buckets(postings), "token"), "matched")
 
     def _sets(self, pairs: DataFrame) -> DataFrame:
-        """The whole sets of all documents in ``pairs``; those that an earlier call has read are not read again."""
+        """The whole sets of the documents in ``pairs``, and a few others by chance."""
         needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        if self.sets is not None:
-            needed = needed.join(self.sets.select("key").distinct(), "key", "left_anti")
-        new = stored(whole_sets(self.rows, self.width, needed.join(self.first, "key")), "whole")
-        self.sets = new if self.sets is None else self.sets.unionByName(new.join(self.sets.select("key").distinct(), "key", "left_anti"))
-        return self.sets
+        return stored(whole_sets(self.rows, self.width, needed.join(self.first, "key")), "whole")
 
     def _fits(self, a: str, b: str):
         """The sizes allow a link."""
@@ -343,37 +361,44 @@ class Join:
     def _parity(self, name: str, before: str = "") -> DataFrame:
         return self.parity.select(F.col("key").alias(name), *[F.col(p).alias(f"{before}{p}") for p in PARITY])
 
-    def _shared(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a < b) with enough matches, of rows (a, ma, b, mb) with one for each shared prefix shingle, in either order."""
-        asked = lambda m: F.shiftright(m, 24).bitwiseAND(0xFF)
+    def _early(self, a: str, b: str):
+        """A shared token is within the first n - r + l of both sets, of whose tokens sets that share r or more have l in common."""
+        size, asked, at = (lambda m: F.shiftright(m, 32)), (lambda m: F.shiftright(m, 24).bitwiseAND(0xFF)), (lambda m: F.col(m).bitwiseAND(LOW))
+        return self.percent * (size(a) + size(b)) <= (100 + self.percent) * (F.least(size(a) - at(a), size(b) - at(b)) + F.least(asked(a), asked(b)) - 1)
+
+    def _matches(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a < b) with their number k of matches, of rows (a, ma, b, mb, weight) with one for each shared bucket, in either order."""
         turned = lambda x, y: F.when(F.col("a") > F.col("b"), F.col(y)).otherwise(F.col(x))
         # buckets orient a pair each by its own hub or main label: all matches of a pair are counted together
-        pairs = pairs.select(F.least("a", "b").alias("a"), turned("ma", "mb").alias("ma"), F.greatest("a", "b").alias("b"), turned("mb", "ma").alias("mb"))
-        return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.first("ma").alias("ma"), F.first("mb").alias("mb"))
-                .where(F.col("k") >= F.least(asked("ma"), asked("mb"))).select("a", "ma", "b", "mb"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), turned("ma", "mb").alias("ma"), F.greatest("a", "b").alias("b"), turned("mb", "ma").alias("mb"), "weight")
+        return (pairs.groupBy("a", "b").agg(F.sum("weight").alias("k"), F.first("ma").alias("ma"), F.first("mb").alias("mb"))
+                .select("a", "b", "k", *[F.shiftright(f"m{x}", 32).alias(f"n{x}") for x in "ab"], *[F.shiftright(f"m{x}", 24).bitwiseAND(0xFF).alias(f"l{x}") for x in "ab"]))
 
     def hub_links(self) -> DataFrame:
         met = self.matched.where("key <> hub").where(self._fits("meta", "hub_meta")).select(
-            F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("hub").alias("b"), F.col("hub_meta").alias("mb"))
-        met = self._shared(met).join(self._parity("a"), "a").join(self._parity("b", "other_"), "b")
-        pairs = stored(met.where(self._close(F.shiftright("ma", 32), F.shiftright("mb", 32), "other_")).select("a", "b"), "pairs")
+            F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("hub").alias("b"), F.col("hub_meta").alias("mb"), "weight")
+        beyond = [F.expr(f"({self.percent} * n{x} + 99) div 100 - l{x}") for x in "ab"]
+        met = self._matches(met).where((100 + self.percent) * (F.col("k") + F.greatest(*beyond)) >= self.percent * (F.col("na") + F.col("nb")))
+        met = met.join(self._parity("a"), "a").join(self._parity("b", "other_"), "b")
+        pairs = stored(met.where(self._close(F.col("na"), F.col("nb"), "other_")).select("a", "b"), "pairs")
         return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 
     def other_links(self, labels: DataFrame | None) -> DataFrame:
         """Links between documents of different labels (None: all links)."""
-        rows = self.matched.select("token", "key", "meta")
+        # a table without weights holds every token
+        rows = self.matched.select("token", "key", "meta", F.col("weight") if "weight" in self.matched.columns else F.lit(1).alias("weight"))
         rows = (rows.withColumn("label", F.col("key")) if labels is None else
                 rows.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
-                .select("token", "key", "meta", F.coalesce("component", "key").alias("label")))
+                .select("token", "key", "meta", "weight", F.coalesce("component", "key").alias("label")))
         sizes = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
         mixed = (sizes.groupBy("token").agg(F.max(F.struct("c", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
                  .where("labels > 1").select("token", F.col("main.label").alias("main")))
         rows = stored(rows.join(mixed, "token").join(self.parity, "key"), "mixed")
-        a = rows.where("label <> main").select("token", F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"), *PARITY)
+        a = rows.where("label <> main").select("token", F.col("key").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"), "weight", *PARITY)
         b = rows.select("token", F.col("key").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"), "main", *[F.col(p).alias(f"other_{p}") for p in PARITY])
         pairs = a.join(b, "token").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b")))
-                                         & self._fits("ma", "mb") & self._close(F.shiftright("ma", 32), F.shiftright("mb", 32), "other_"))
-        pairs = stored(self._shared(pairs).select("a", "b"), "pairs")
+                                         & self._fits("ma", "mb") & self._early("ma", "mb") & self._close(F.shiftright("ma", 32), F.shiftright("mb", 32), "other_"))
+        pairs = stored(self._matches(pairs).where(F.col("k") >= F.least("la", "lb")).select("a", "b"), "pairs")
         return stored(verified(pairs, self._sets(pairs), self.percent), "links")
 
 
