@@ -20,6 +20,13 @@ def _c(name: str) -> Column:
     return F.col(quote(name))
 
 
+def in_pieces(columns: Iterable[Column]) -> list[Column]:
+    """The same columns, for one projection of many: a lambda keeps it out of the stage's one generated method, which would be too long
+    for the JVM to compile, so that it's generated in pieces."""
+    first, *others = columns
+    return [F.transform(F.array(first), lambda x: x)[0], *others]
+
+
 # --- P3 null markers -------------------------------------------------------
 def null_marker_expr(col: Column, markers: Iterable[str] = NULL_MARKERS) -> Column:
     """`?` (and any other marker) -> NULL; other values unchanged."""
@@ -95,11 +102,13 @@ def coerce_int(col: Column) -> Column:
 
 
 _NUMBERS = "_coerced_numbers"
+#: The texts that `_parsed` takes: other ones cost the JVM's parser an exception each.
+_DECIMAL = r"\A[\t-\r ]*+[+-]?+(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[\t-\r ]*+\z"
 
 
 def _coerced(cols: list[str], numeric: str) -> Column:
     """The texts of `cols`, coerced as by `coerce_double` or `coerce_int`, as one array."""
-    parsed = F.transform(F.array(*[_c(c).cast("string") for c in cols]), _parsed)
+    parsed = F.transform(F.array(*[_c(c).cast("string") for c in cols]), lambda x: F.when(x.rlike(_DECIMAL), x.try_cast("double")))
     if numeric == "int":
         return F.transform(parsed, lambda x: x.try_cast("int"))
     return F.transform(parsed, lambda x: F.when(F.abs(x) < float("inf"), x))

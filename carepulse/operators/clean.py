@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from carepulse.operators.ordered import dense_index
 from carepulse.operators.quantile import medians
-from carepulse.functions.encode import replace_null_markers
-from carepulse.schemas import UNMAPPED_TEXT_COLUMNS, quote
+from carepulse.functions.encode import in_pieces
+from carepulse.schemas import NULL_MARKERS, UNMAPPED_TEXT_COLUMNS, quote
 
 
 def _q(c: str):
@@ -124,26 +124,39 @@ def impute_mode(df: DataFrame, cols: Sequence[str] | None = None, all_null: str
 
 
 # --- M1 label encoding -----------------------------------------------------
-def label_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(name, v, code): sorted distinct strings of each column -> 0..k-1."""
-    long = _long(df, cols, "string")
-    return dense_index(long, "v", by=["name"], out="code")
+def label_dictionary(df: DataFrame, cols: Sequence[str], ignored: Sequence[str] = ()) -> DataFrame:
+    """(name, v, code): sorted distinct strings of each column but the `ignored` ones -> 0..k-1."""
+    if not cols:
+        return dense_index(_long(df, cols, "string"), "v", by=["name"], out="code")
+    long = df.select(F.posexplode(F.array(*[_q(c).cast("string") for c in cols])).alias("_place", "v")).where(F.col("v").isNotNull())
+    if ignored:
+        long = long.where(~F.col("v").isin(list(ignored)))
+    names = F.array(*[F.lit(c) for c in cols])  # found for the distinct values only
+    return dense_index(long.distinct().select(names[F.col("_place")].alias("name"), "v"), "v", by=["name"], out="code")
 
 
-#: A dictionary of up to so many entries is broadcast as one row of maps (about 100 bytes each); a larger one is joined.
-MAP_ENTRIES = 200_000
+#: A column's dictionary of up to so many entries is a map, whose entries are searched one by one; a larger one is joined.
+MAP_ENTRIES = 64
+#: Joined dictionaries are broadcast up to so many entries together (about 100 bytes each); beyond, their columns' values are exchanged.
+BROADCAST_ENTRIES = 1_000_000
 
 
 def code_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, unseen: int | str | None = "keep",
                  markers: bool = True) -> DataFrame:
     """The codes (INT) of all `cols` in one pass over the rows, by a dictionary (name, v, code).
 
-    `unseen` text: "keep" = one past the column's last code, NULL, or a fixed code. NULL (and, with `markers`, `?`) stays NULL. While the
-    dictionary is small, its entries come as one value of maps (a scalar subquery) and no row is exchanged; beyond
-    `MAP_ENTRIES` the rows' values are joined in long form, once for all columns, and folded back by row.
+    `unseen` text: "keep" = one past the column's last code, NULL, or a fixed code. NULL (and, with `markers`, `?`) stays NULL. Columns
+    with few texts (`MAP_ENTRIES`) find them in a constant map, others in a broadcast dictionary, so no row is exchanged; beyond
+    `BROADCAST_ENTRIES` the values of those others are joined in long form, once for all, and folded back by row.
     """
     present = [c for c in cols if c in df.columns]
-    src = replace_null_markers(df, present) if markers else df
+    if not present:
+        return df
+    src = df
+    if markers:
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}.intersection(present)
+        marked = [F.when(~_q(c).isin(NULL_MARKERS), _q(c)) if c in text else _q(c) for c in df.columns]
+        src = df.select(*[x.alias(c) for c, x in zip(df.columns, in_pieces(marked))])
     own = dictionary.where(F.col("name").isin(present)).withColumn("v", F.col("v").cast("string"))
     sizes = {r["name"]: (int(r["n"]), int(r["last"])) for r in own.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("code").alias("last")).collect()}  # one row per column
 
@@ -153,12 +166,23 @@ def code_columns(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, unse
         fallback = (sizes[c][1] + 1 if c in sizes else 0) if unseen == "keep" else int(unseen)
         return F.when(_q(c).isNotNull(), F.coalesce(code.cast("int"), F.lit(fallback)))
 
-    if sum(n for n, _ in sizes.values()) <= MAP_ENTRIES or df.isStreaming:
-        entries = [F.map_from_entries(F.collect_list(F.when(F.col("name") == c, F.struct("v", "code")))).alias(f"m{i}") for i, c in enumerate(present)]
-        maps = own.groupBy().agg(F.struct(*entries).alias("maps")).scalar() if present else None  # one row, read once for the whole query
-        codes = {c: coded(c, F.try_element_at(maps[f"m{i}"], _q(c).cast("string"))).alias(c) for i, c in enumerate(present)}
-        return src.select(*[codes.get(c, _q(c)) for c in df.columns])
-    return _coded_by_join(src, present, own, coded)
+    large = [c for c in present if c in sizes and sizes[c][0] > MAP_ENTRIES]
+    small = [c for c in present if c not in large]
+    codes = {}
+    if sum(sizes[c][0] for c in large) <= BROADCAST_ENTRIES or df.isStreaming:
+        for i, c in enumerate(large):
+            entries = own.where(F.col("name") == c).groupBy(F.col("v").alias(f"_v{i}")).agg(F.max("code").alias(f"_code{i}"))
+            [key] = in_pieces([_q(c).cast("string")])  # nor is a join of rows with so many columns one method
+            src = src.join(F.broadcast(entries), key == F.col(f"_v{i}"), "left")
+            codes[c] = coded(c, F.col(f"_code{i}"))
+    else:
+        src = _coded_by_join(src, large, own, coded)
+    texts = {c: [] for c in small}  # MAP_ENTRIES a column at most
+    for r in own.where(F.col("name").isin(small)).select("name", "v", "code").collect() if sizes and small else []:
+        texts[r["name"]] += [F.lit(r["v"]), F.lit(int(r["code"]))]
+    for c, entries in texts.items():
+        codes[c] = coded(c, F.try_element_at(F.create_map(*entries), _q(c).cast("string")) if entries else F.lit(None))
+    return src.select(*[x.alias(c) for c, x in zip(df.columns, in_pieces(codes.get(c, _q(c)) for c in df.columns))])
 
 
 def _coded_by_join(df: DataFrame, cols: list[str], dictionary: DataFrame, coded) -> DataFrame:
@@ -195,7 +219,7 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, dictionary: D
 def text_code_dictionary(train: DataFrame, cols: Sequence[str] = UNMAPPED_TEXT_COLUMNS) -> DataFrame:
     """X1 fix: codes for the text columns that have no value map, fitted on the training split."""
     present = [c for c in cols if c in train.columns]
-    return label_dictionary(replace_null_markers(train.select(*[_q(c) for c in present])), present)
+    return label_dictionary(train, present, ignored=NULL_MARKERS)
 
 
 def apply_text_codes(df: DataFrame, dictionary: DataFrame,

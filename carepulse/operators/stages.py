@@ -6,17 +6,20 @@ training did. All of them are DataFrame expressions and joins; nothing runs in P
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carepulse.functions.encode import encode_features
+from carepulse.functions.encode import encode_features, in_pieces
 from carepulse.operators.clean import code_columns, text_code_dictionary
 from carepulse.schemas import FEATURE_COLUMNS, UNMAPPED_TEXT_COLUMNS, quote
 
@@ -32,17 +35,22 @@ class PopulationScaler(Estimator, HasInputCols, HasOutputCols, DefaultParamsRead
 
     def _fit(self, dataset: DataFrame) -> PopulationScalerModel:
         names = self.getInputCols()
-        row = dataset.agg(*[F.avg(quote(c)).alias(f"m{i}") for i, c in enumerate(names)], *[F.stddev_pop(quote(c)).alias(f"s{i}") for i, c in enumerate(names)]).first()
-        means = [float(row[f"m{i}"] or 0.0) for i in range(len(names))]
-        deviations = [float(row[f"s{i}"] or 0.0) for i in range(len(names))]
+        numbers = dataset.select(*[F.col(quote(c)).cast("double").alias(f"_n{i}") for i, c in enumerate(names)])
+        vectors = VectorAssembler(inputCols=numbers.columns, outputCol="_numbers", handleInvalid="keep").transform(numbers)
+        row = vectors.groupBy(F.lit(0).alias("all")).agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("_numbers")).alias("s")).first()  # none without rows
+        n = row["s"]["count"] if row else 0
+        means = [float(x) for x in row["s"]["mean"]] if row else [0.0] * len(names)
+        deviations = [math.sqrt(float(x) * (n - 1) / n) for x in row["s"]["variance"]] if row else [0.0] * len(names)
+        holed = [i for i in range(len(names)) if not math.isfinite(means[i] + deviations[i])]  # with missing values (NaN in a vector): few columns by themselves
+        if holed:
+            exact = numbers.agg(*[F.avg(f"_n{i}").alias(f"m{i}") for i in holed], *[F.stddev_pop(f"_n{i}").alias(f"s{i}") for i in holed]).first()
+            for i in holed:
+                means[i], deviations[i] = float(exact[f"m{i}"] or 0.0), float(exact[f"s{i}"] or 0.0)
         model = PopulationScalerModel()
         model._set(inputCols=names, outputCols=self.getOutputCols(), means=means, deviations=deviations)
         return model
 
 
-_SCALED = "_scaled_numbers"
-
-
 class PopulationScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
     """(x - mean) / deviation into the output columns; a column without deviation becomes 0. Its statistics are parameters."""
 
@@ -51,11 +59,9 @@ class PopulationScalerModel(Model, HasInputCols, HasOutputCols, DefaultParamsRea
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         names, outs = self.getInputCols(), self.getOutputCols()
-        means, deviations = (F.lit(list(self.getOrDefault(p))).cast("array<double>") for p in (self.means, self.deviations))
-        # as one array, whose lambda keeps the columns out of the stage's one generated method (see `encode_features`)
-        own = F.array(*[F.col(quote(c)).cast("double") for c in names])
-        scaled = F.transform(own, lambda x, i: F.when(deviations[i] == 0, F.when(x.isNotNull(), 0.0)).otherwise((x - means[i]) / deviations[i]))
-        return dataset.select("*", scaled.alias(_SCALED)).select(*[F.col(quote(c)) for c in dataset.columns], *[F.col(_SCALED)[i].alias(out) for i, out in enumerate(outs)])
+        own = [F.col(quote(c)).cast("double") for c in names]
+        scaled = [F.when(x.isNotNull(), 0.0) if d == 0 else (x - m) / d for x, m, d in zip(own, self.getOrDefault(self.means), self.getOrDefault(self.deviations))]
+        return dataset.select("*", *[x.alias(out) for out, x in zip(outs, in_pieces(scaled))])
 
 
 # --- M1, X1: training codes --------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from carepulse.functions.encode import in_pieces
 from carepulse.operators.clean import train_test_split
 from carepulse.operators.forest import fit_record_forest, model_features, score
 from carepulse.operators.spread import spread
@@ -64,7 +65,7 @@ RAW_SQL = "SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in RAW.items()) + " FRO
 
 def raw_records(spark, sf):
     orders = spread(table(spark, sf, "orders").select(*ORDERS))
-    return orders.select(*[F.expr(e).alias(c) for c, e in RAW.items()])
+    return orders.select(*[x.alias(c) for c, x in zip(RAW, in_pieces(F.expr(e) for e in RAW.values()))])
 
 
 def record_model(spark, sf):
