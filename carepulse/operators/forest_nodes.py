@@ -2,13 +2,14 @@
 
 A forest that Spark ML saved holds one row per tree node. ``node_table`` gives them as (tree, node, depth, feature, threshold,
 left_node, right_node, gain, rows, class_probabilities); inner nodes have a feature index from 0, leaves -1. ``score_nodes`` walks
-all trees level by level: each level is one join with the nodes of that depth, so a row's way through a tree can be
-checked against any other engine over the same relation.
+all trees level by level over the nodes of each tree, so a row's way through a tree can be checked against any other engine over the
+same relation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 
 from carepulse.schemas import quote
 
-#: Nodes are broadcast up to so many (about 100 bytes each); beyond, Spark joins them by exchange.
+#: Trees are broadcast together up to so many nodes (about 60 bytes each); more are walked in groups of whole trees.
 BROADCAST_NODES = 2_000_000
-#: Levels whose joins are one generated method; longer ones the JVM doesn't compile.
-LEVELS_TOGETHER = 4
+#: Levels that are one generated method; longer ones the JVM doesn't compile.
+LEVELS_TOGETHER = 8
+#: Rows of a task: each is a hundred walks, and the sums of all stay in memory.
+WALKED_ROWS = 50_000
 LEAF = -1
 
 
@@ -48,37 +51,72 @@ def node_table(spark: SparkSession, model_path: str) -> DataFrame:
     return nodes.groupBy("tree").applyInPandas(with_depth, f"{fields}, depth int")
 
 
+def _tree_groups(sizes: Sequence[tuple[int, int]]) -> list[list[int]]:
+    """The trees of (tree, nodes), in groups of `BROADCAST_NODES` nodes at most (or one tree)."""
+    groups, room = [], 0
+    for tree, n in sorted(sizes):
+        if not groups or n > room:
+            groups.append([])
+            room = BROADCAST_NODES
+        groups[-1].append(tree)
+        room -= n
+    return groups
+
+
+def _tree_arrays(nodes: DataFrame, classes: int) -> DataFrame:
+    """One row for each tree: arrays by node number; a leaf's way leads to itself."""
+    feature, node = F.greatest(F.col("feature"), F.lit(0)), F.col("node").cast("int")
+    own = F.struct(node.alias("node"), feature.cast("int").alias("feature"), F.coalesce("threshold", F.lit(0.0)).alias("threshold"),
+                   F.when(F.col("feature") == LEAF, node).otherwise(F.col("left_node")).cast("int").alias("left"),
+                   F.when(F.col("feature") == LEAF, node).otherwise(F.col("right_node")).cast("int").alias("right"),
+                   *[F.col("class_probabilities")[c].alias(f"p{c}") for c in range(classes)])
+    trees = nodes.groupBy(F.col("tree").cast("int").alias("tree")).agg(F.array_sort(F.collect_list(own)).alias("own"))
+    return trees.select("tree", *[F.col(f"own.{f}").alias(f"_{f}") for f in ("feature", "threshold", "left", "right", *[f"p{c}" for c in range(classes)])])
+
+
+def _walked(trees: DataFrame, group: Sequence[int], depth: int, rows: DataFrame, names: Sequence[str], classes: int) -> DataFrame:
+    """For each key the sums of its leaves' class probabilities over the trees of a group, and their number."""
+    walk = rows.select("*", F.explode(F.array(*[F.lit(t) for t in group])).alias("tree")).withColumn("node", F.lit(0))
+    own = F.broadcast(trees.where(F.col("tree").isin(list(group))))
+    for first in range(0, max(depth, 1), LEVELS_TOGETHER):
+        walk = walk.join(own, "tree")  # a method's rows hold their tree by reference, and leave it before they are copied
+        for _ in range(first, min(first + LEVELS_TOGETHER, depth)):
+            left = F.get("x", F.get("_feature", "node")) <= F.get("_threshold", "node")
+            walk = walk.withColumn("node", F.when(left, F.get("_left", "node")).otherwise(F.get("_right", "node")))
+        if first + LEVELS_TOGETHER < depth:
+            walk = walk.select(*names, "x", "tree", "node").observe(f"depth {first}", F.count(F.lit(1)).alias("visits"))  # ends the generated method
+    leaves = walk.select(*names, *[F.get(f"_p{c}", "node").alias(f"_p{c}") for c in range(classes)])
+    return leaves.groupBy(*names).agg(*[F.sum(f"_p{c}").alias(f"_p{c}") for c in range(classes)], F.count(F.lit(1)).alias("_n"))
+
+
 def score_nodes(nodes: DataFrame, df: DataFrame, features: Sequence[str], key: Sequence[str], positive_index: int = 1) -> DataFrame:
     """Class, P(class ``positive_index``) x 100 and all class probabilities of each ``key``, by walking the nodes.
 
-    ``key`` identifies a row of ``df``; ``nodes`` is read once for each level, so store it. The rows are exchanged by key before they
-    visit every tree, which spreads few large files, and the visits of a row are added up in the same task: no other exchange.
+    ``key`` identifies a row of ``df``; the nodes of a tree are numbered from 0, as `node_table` gives them, and read for each group of
+    trees, so store them. The rows are exchanged by key into tasks of `WALKED_ROWS` before they visit the trees, and the visits of a row are added up
+    in the same task: however large the forest, no visit is exchanged.
     """
-    size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("tree").alias("trees"), F.max("depth").alias("depth"), F.max(F.size("class_probabilities")).alias("k")).first()
-    if not size.n:
+    per = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n"), F.max("node").alias("last"), F.max("depth").alias("depth"), F.max(F.size("class_probabilities")).alias("k")).collect()  # one row per tree
+    if not per:
         raise ValueError("a forest without nodes can't score")
-
-    def joined(walk: DataFrame, at: DataFrame, how: str) -> DataFrame:
-        return walk.join(F.broadcast(at) if size.n <= BROADCAST_NODES else at, ["tree", "node"], how)
-
+    if any(r["last"] + 1 != r["n"] for r in per):
+        raise ValueError("the nodes of a tree are numbered from 0")
+    depth, classes = max(r["depth"] for r in per), max(r["k"] for r in per)
     names = [f"_key{i}" for i in range(len(key))]
     rows = df.select(*[F.col(quote(k)).alias(n) for k, n in zip(key, names)], F.array(*[F.col(quote(f)).cast("double") for f in features]).alias("x"))
-    walk = rows.repartition(*names).select("*", F.explode(F.sequence(F.lit(0), F.lit(size.trees))).alias("tree")).withColumn("node", F.lit(0))
-    for depth in range(size.depth):
-        inner = nodes.where((F.col("depth") == depth) & (F.col("feature") != LEAF)).select("tree", "node", "feature", "threshold", "left_node", "right_node")
-        step = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), F.col("left_node")).otherwise(F.col("right_node"))
-        walk = joined(walk, inner, "left").select(*names, "x", "tree", F.when(F.col("feature").isNull(), F.col("node")).otherwise(step).alias("node"))
-        if depth % LEVELS_TOGETHER == LEVELS_TOGETHER - 1:
-            walk = walk.observe(f"depth {depth}", F.count(F.lit(1)).alias("visits"))  # ends the generated method
-    leaves = nodes.where(F.col("feature") == LEAF).select("tree", "node", "class_probabilities")
-    ended = joined(walk.drop("x"), leaves, "inner")
-    p = [f"_p{c}" for c in range(size.k)]
-    sums = ended.groupBy(*names).agg(*[F.avg(F.element_at("class_probabilities", c + 1)).alias(n) for c, n in enumerate(p)])
-    probabilities = F.array(*p)
-    return sums.select(*[F.col(n).alias(k) for n, k in zip(names, key)],
-                       (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int").alias("readmission_prediction"),
-                       (F.try_element_at(probabilities, F.lit(positive_index + 1)) * 100.0).alias("readmission_probability_pct"),
-                       probabilities.alias("class_probabilities"))
+    tasks = max(1, -(-df.count() // WALKED_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, *names)
+    trees = _tree_arrays(nodes, classes)
+    parts = [_walked(trees, group, depth, rows, names, classes) for group in _tree_groups([(r["tree"], r["n"]) for r in per])]
+    sums = parts[0]
+    if parts[1:]:
+        sums = reduce(DataFrame.unionAll, parts).groupBy(*names).agg(*[F.sum(f"_p{c}").alias(f"_p{c}") for c in range(classes)], F.sum("_n").alias("_n"))
+    probabilities = F.col("_probabilities")
+    return sums.select(*names, F.array(*[F.col(f"_p{c}") / F.col("_n") for c in range(classes)]).alias("_probabilities")).select(
+        *[F.col(n).alias(k) for n, k in zip(names, key)],
+        (F.array_position(probabilities, F.array_max(probabilities)) - 1).cast("int").alias("readmission_prediction"),
+        (F.try_element_at(probabilities, F.lit(positive_index + 1)) * 100.0).alias("readmission_probability_pct"),
+        probabilities.alias("class_probabilities"))
 
 
 def node_importance(nodes: DataFrame, features: Sequence[str]) -> DataFrame:

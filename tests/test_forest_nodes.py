@@ -188,3 +188,29 @@ def test_store_knows_what_the_checkpoint_committed(spark, scratch):
     from pyspark.sql.types import _parse_datatype_string
     store.compact(spark, path, _parse_datatype_string(SCHEMA), last)
     assert sorted(r.id for r in store.read_store(spark, path, _parse_datatype_string(SCHEMA)).collect()) == list(range(8))
+
+
+# ---- many nodes and rows
+
+def test_walks_of_a_large_forest_are_not_exchanged(spark, forest, monkeypatch):
+    """Trees beyond the broadcast limit are walked in groups, rows dealt by their number; equal scores."""
+    model, nodes = forest
+    from carepulse.operators import forest_nodes
+    rows = numbers(spark)
+    rows = rows.union(rows.limit(3)).union(rows.limit(1).withColumn("id", F.lit(None).cast("long")))  # keys may repeat or be missing
+    features, key = ["x", "y", "z-1"], ["id", "label"]
+    plain = sorted(map(tuple, score_nodes(nodes, rows, features, key=key).collect()), key=str)
+    assert len(plain) == 401
+    monkeypatch.setattr(forest_nodes, "BROADCAST_NODES", 150)
+    monkeypatch.setattr(forest_nodes, "WALKED_ROWS", 20, raising=False)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = score_nodes(nodes, rows, features, key=key)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and ", 21), REPARTITION_BY_NUM" in plan
+    for a, b in zip(got, plain, strict=True):
+        assert a[:3] == b[:3] and a[3] == pytest.approx(b[3], abs=1e-9) and a[4] == pytest.approx(b[4], abs=1e-12)
